@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandloom.config import PipelineConfig
@@ -124,19 +124,32 @@ def first_day(spark: SparkSession, sf_dir: str) -> dt.date:
 def write_wide_csv(spark: SparkSession, sf_dir: str, dirty: bool = False) -> str:
     """The wide sales file over all days; a day without sales is 0.
 
-    ``dirty`` replaces cells by malformed text by value and repeats every line, with other numbers, further down.
+    A line is put together as text from a series' days in order, with the gaps filled in, and written as one cell
+    under the whole header (the cell separator of the writer is a character no line holds). A series has at most
+    one row per day. ``dirty`` replaces cells by malformed text by value, leaves gaps empty, and repeats every line
+    with other numbers further down.
     """
     daily = sales_daily(spark, sf_dir).withColumn("n", F.substring_index("d", "_", -1).cast("int"))
     days = daily.agg(F.max("n")).first()[0]
-    wide = daily.groupBy(*SALES_IDS).pivot("n", list(range(1, days + 1))).agg(F.sum("sales"))
-    cell = (lambda n: dirty_cell(F.col(str(n)))) if dirty else (lambda n: F.coalesce(F.col(str(n)), F.lit(0)))
-    lines = wide.select(*SALES_IDS, *[cell(n).alias(f"d_{n}") for n in range(1, days + 1)])
-    path = scratch_path(spark, "sales-csv")
+    gap = "," if dirty else ",0"
+    cell = dirty_cell(F.col("sales")) if dirty else F.col("sales").cast("string")
+    last = F.lag("n", 1, 0).over(Window.partitionBy(*SALES_IDS).orderBy("n"))
+    piece = F.concat(F.repeat(F.lit(gap), F.col("n") - last - 1), F.lit(","), cell)
+    series = daily.select(*SALES_IDS, "n", piece.alias("piece")).groupBy(*SALES_IDS).agg(
+        F.array_sort(F.collect_list(F.struct("n", "piece"))).alias("pieces"), F.max("n").alias("last")
+    )
+    start = F.concat_ws(",", *SALES_IDS)
+    line = F.concat(
+        start, F.array_join(F.transform("pieces", lambda p: p["piece"]), ""),
+        F.repeat(F.lit(gap), F.lit(days) - F.col("last")),
+    )
+    lines = series.select(F.lit(0).alias("copy"), line.alias("line"))
     if dirty:
-        again = wide.select(*SALES_IDS, *[F.lit("77").alias(f"d_{n}") for n in range(1, days + 1)])
-        lines = lines.withColumn("_copy", F.lit(0)).unionByName(again.withColumn("_copy", F.lit(1)))
-        lines = lines.orderBy("_copy", "item_id", "store_id").drop("_copy")
-    lines.write.option("header", True).csv(path)
+        lines = lines.unionByName(series.select(F.lit(1).alias("copy"), F.concat(start, F.repeat(F.lit(",77"), F.lit(days))).alias("line")))
+        lines = lines.orderBy("copy", "line")
+    header = ",".join([*SALES_IDS, *[f"d_{n}" for n in range(1, days + 1)]])
+    path = scratch_path(spark, "sales-csv")
+    lines.select(F.col("line").alias(header)).write.option("header", True).option("sep", "\u0001").csv(path)
     return path
 
 

@@ -80,7 +80,7 @@ def ml_critical_rules() -> list[Rule]:
 
 def ml_soft_rules() -> list[Rule]:
     """Warnings only. Filled lags make the cold-start rule warn on every gold batch; that is how it is meant."""
-    cold = F.col("is_cold_start")
+    cold = F.col("is_cold_start").cast("boolean")
     active = F.col(TARGET) > 0
     missing = lambda name: F.avg(F.when(cold, F.col(name).isNull().cast("int")))
     return [

@@ -32,7 +32,7 @@ def run_bronze(
     batches = [
         Batch(
             sales, cfg.table(BRONZE), "run_date", lambda df: check(df, bronze_rules(), "bronze"),
-            ("item_id", "store_id"), allow_empty=False,
+            ("item_id", "store_id"), tuple(day.isoformat() for day in run_dates),
         )
     ]
     if calendar_csv is not None:

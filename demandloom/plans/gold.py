@@ -73,7 +73,8 @@ def run_gold(
     history = narrow_history(spark, cfg, run_dates, days)
     rules = gold_rules(cfg.states, cfg.event_types, single_date=len(set(run_dates)) == 1)
     replaced = overwrite_partitions(
-        gold_for(history, targets, run_dates, days[0]), cfg.table(GOLD), checks=lambda df: check(df, rules, "gold")
+        gold_for(history, targets, run_dates, days[0]), cfg.table(GOLD), checks=lambda df: check(df, rules, "gold"),
+        expected=run_dates,
     )
     if keep_tail:
         write_tail(history.unionByName(targets.select(*HISTORY_COLUMNS)), spark, cfg, max(run_dates))

@@ -41,5 +41,5 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_dates: Sequence[dt.
     drop_partitions_from(spark, cfg.table(TAIL), min(run_dates), "as_of")
     return overwrite_partitions(
         silver(bronze, calendar, prices, cfg.now(), cfg.version), cfg.table(SILVER),
-        checks=lambda df: check(df, rules, "silver"),
+        checks=lambda df: check(df, rules, "silver"), expected=run_dates,
     )

@@ -459,7 +459,7 @@ SELECT model AS best_model, round(wmape, 6) AS best_wmape FROM (
         f"SELECT '{name}{suffix}' AS model, {i + 1 + shift} AS priority, "
         f"sum(abs(sales - {name})) / (sum(abs(sales)) + CAST(1e-8 AS DOUBLE)) AS wmape FROM gold"
         for shift, suffix in ((0, ""), (4, "_again")) for i, name in enumerate(_STAND_INS))}
-) AS candidates ORDER BY wmape, priority DESC LIMIT 1""")
+) AS candidates ORDER BY round(wmape, 12), priority DESC LIMIT 1""")
 oracle("dataset_window", f"""
 SELECT run_date, window_start,
     window_start + CAST(floor((run_date - window_start) * CAST(0.70 AS DOUBLE)) AS INTEGER) AS train_end,
@@ -601,10 +601,12 @@ SELECT item_id, store_id, run_date, split, CAST(sales AS DOUBLE) AS sales, sales
 
 # ---- whole runs ----------------------------------------------------------------------------------------------
 
-_GRID_DAYS = f"({WINDOW_END} - {WINDOW_START} + 1)"
 oracle("etl_run", f"""
-SELECT 1 AS run_id, 'retail_etl_dag' AS dag_id, {WINDOW_END} AS run_date, 'success' AS status,
-    CAST(NULL AS VARCHAR) AS error_message, series * {_GRID_DAYS} AS rows_bronze, series * calendar_days AS rows_silver,
-    series * calendar_days AS rows_gold
+SELECT 1 AS run_id, 'retail_etl_dag' AS dag_id, last_day AS run_date, 'success' AS status,
+    CAST(NULL AS VARCHAR) AS error_message, series * calendar_days AS rows_bronze,
+    series * calendar_days AS rows_silver, series * calendar_days AS rows_gold
 FROM (SELECT count(*) AS series FROM {_SERIES}) AS counted
-CROSS JOIN (SELECT count(*) AS calendar_days FROM days WHERE date BETWEEN {WINDOW_START} AND {WINDOW_END}) AS kept""")
+CROSS JOIN (
+    SELECT count(*) AS calendar_days, max(date) AS last_day FROM days
+    WHERE date BETWEEN {WINDOW_START} AND {WINDOW_END}
+) AS kept""")

@@ -811,12 +811,16 @@ def _loaded(spark, sf_dir, days: list[dt.date]) -> tuple[PipelineConfig, int]:
     return cfg, runs_plan.run_etl(spark, cfg, days, sales, calendar, prices)
 
 
+def _window_days(spark, sf_dir) -> list[dt.date]:
+    """The calendar days of the dataset window, at most 366."""
+    start, end = splits.trailing_window(X.ML_RUN_DATE, X.BASE)
+    return sorted(row["date"] for row in tables.scan_between(X.calendar(spark, sf_dir), start, end, "date").collect())
+
+
 @query
 def etl_run(spark, sf_dir):
-    """Raw files to gold for the dataset window; the ledger row of the run."""
-    start, end = splits.trailing_window(X.ML_RUN_DATE, X.BASE)
-    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-    cfg, _ = _loaded(spark, sf_dir, days)
+    """Raw files to gold for the days of the dataset window; the ledger row of the run."""
+    cfg, _ = _loaded(spark, sf_dir, _window_days(spark, sf_dir))
     return runs_plan.Ledger(spark, cfg).etl_runs().select(
         "run_id", "dag_id", "run_date", "status", "error_message", "rows_bronze", "rows_silver", "rows_gold"
     )
@@ -825,9 +829,9 @@ def etl_run(spark, sf_dir):
 @query
 def ml_run(spark, sf_dir):
     """Raw files to metrics; the lineage of the run."""
-    start, end = splits.trailing_window(X.ML_RUN_DATE, X.BASE)
-    cfg, _ = _loaded(spark, sf_dir, [start + dt.timedelta(days=i) for i in range((end - start).days + 1)])
-    runs_plan.run_ml(spark, cfg, X.ML_RUN_DATE)
+    days = _window_days(spark, sf_dir)
+    cfg, _ = _loaded(spark, sf_dir, days)
+    runs_plan.run_ml(spark, cfg, max(days))
     return runs_plan.Ledger(spark, cfg).lineage().select(
         "run_id", "pipeline_name", "run_date", "run_status", "total_row_count", "stage", "stage_status"
     )

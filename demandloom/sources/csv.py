@@ -41,9 +41,9 @@ def read_wide_sales(
 ) -> DataFrame:
     """Bronze rows of the wide sales file for some days (all of its days by default).
 
-    Repeated series lines are dropped before the days are unfolded: a line repeats in all its days at once, so
-    keeping the first line per series equals keeping the first row per series and day, and the shuffle carries
-    one row per line instead of one per line and day.
+    The day cells of a line travel as one array, so the plan stays small however many days the file has. Repeated
+    series lines are dropped before the days are unfolded: a line repeats in all its days at once, so keeping the
+    first line per series equals keeping the first row per series and day, and the shuffle carries one row per line.
     """
     wide = read_text_csv(spark, path)
     if days is None:
@@ -51,13 +51,12 @@ def read_wide_sales(
     else:
         labels = [day_label(day, base) for day in days]
     require_columns(wide, [*SALES_IDS, *labels])
-    lines = with_file_order(wide.select(*SALES_IDS, *labels, file_position().alias("_file")))
-    lines = keep_first(lines, SERIES_KEY, "_order").drop("_order")
-    if len(labels) == 1:
-        long = lines.select(*SALES_IDS, F.lit(labels[0]).alias("d"), F.col(labels[0]).alias("sales"))
-    else:
-        long = lines.unpivot(SALES_IDS, labels, "d", "sales")
-    return bronze_rows(long, day_date("d", base), version)
+    cells = F.array(*[F.col(name) for name in labels])
+    lines = with_file_order(wide.select(*SALES_IDS, cells.alias("cells"), file_position().alias("_file")))
+    lines = keep_first(lines, SERIES_KEY, "_order")
+    long = lines.select(*SALES_IDS, F.posexplode("cells").alias("place", "sales"))
+    names = F.lit(labels)
+    return bronze_rows(long.withColumn("d", names[F.col("place")]), day_date("d", base), version)
 
 
 def bronze_rows(long: DataFrame, run_date: Column, version: str) -> DataFrame:
