@@ -602,7 +602,7 @@ SELECT item_id, store_id, run_date, split, CAST(sales AS DOUBLE) AS sales, sales
 # ---- whole runs ----------------------------------------------------------------------------------------------
 
 oracle("etl_run", f"""
-SELECT 1 AS run_id, 'retail_etl_dag' AS dag_id, last_day AS run_date, 'success' AS status,
+SELECT CAST(1 AS BIGINT) AS run_id, 'retail_etl_dag' AS dag_id, last_day AS run_date, 'success' AS status,
     CAST(NULL AS VARCHAR) AS error_message, series * calendar_days AS rows_bronze,
     series * calendar_days AS rows_silver, series * calendar_days AS rows_gold
 FROM (SELECT count(*) AS series FROM {_SERIES}) AS counted

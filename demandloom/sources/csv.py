@@ -51,11 +51,11 @@ def read_wide_sales(
     else:
         labels = [day_label(day, base) for day in days]
     require_columns(wide, [*SALES_IDS, *labels])
-    cells = F.array(*[F.col(name) for name in labels])
+    cells = F.expr(f"array({', '.join(f'`{name}`' for name in labels)})")
     lines = with_file_order(wide.select(*SALES_IDS, cells.alias("cells"), file_position().alias("_file")))
     lines = keep_first(lines, SERIES_KEY, "_order")
     long = lines.select(*SALES_IDS, F.posexplode("cells").alias("place", "sales"))
-    names = F.lit(labels)
+    names = F.split(F.lit(",".join(labels)), ",")
     return bronze_rows(long.withColumn("d", names[F.col("place")]), day_date("d", base), version)
 
 
