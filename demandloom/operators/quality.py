@@ -137,8 +137,8 @@ def enforce(report: DataFrame) -> list:
     return rows
 
 
-def conform(df: DataFrame, schema: T.StructType, layer: str) -> tuple[DataFrame, DataFrame]:
-    """Exactly the columns of the schema, cast to its types, and a report on values that do not cast.
+def conform_columns(df: DataFrame, schema: T.StructType, layer: str) -> DataFrame:
+    """Exactly the columns of the schema, in its order and types; a value that does not cast becomes null.
 
     A missing or surplus column raises at once: it is visible in the plan without reading data.
     """
@@ -146,7 +146,12 @@ def conform(df: DataFrame, schema: T.StructType, layer: str) -> tuple[DataFrame,
     surplus = [name for name in df.columns if name not in schema.names]
     if missing or surplus:
         raise QualityError(f"{layer}: missing columns {missing}, surplus columns {surplus}")
-    cast = df.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema])
+    return df.select(*[F.col(field.name).try_cast(field.dataType).alias(field.name) for field in schema])
+
+
+def conform(df: DataFrame, schema: T.StructType, layer: str) -> tuple[DataFrame, DataFrame]:
+    """The conformed rows and a report on the values that do not cast."""
+    cast = conform_columns(df, schema, layer)
     rules = [
         every_row(
             f"castable({field.name},{field.dataType.simpleString()})",

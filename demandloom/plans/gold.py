@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 
 from demandloom.config import PipelineConfig
 from demandloom.operators.features import gold
-from demandloom.operators.quality import EmptyBatch, check
+from demandloom.operators.quality import EmptyBatch, check, conform_columns
 from demandloom.operators.rules import gold_rules
 from demandloom.operators.storage import delete, overwrite_partitions, partition_days
-from demandloom.schemas import LAGS, SERIES_KEY, SILVER_SCHEMA, TARGET, WINDOWS
-from demandloom.sources.tables import read_table, scan_partitions
+from demandloom.schemas import GOLD_SCHEMA, LAGS, SERIES_KEY, SILVER_SCHEMA, TARGET, WINDOWS, schema_of
+from demandloom.sources.tables import read_days, scan_partitions
 
 SILVER, GOLD, TAIL = "silver_table", "gold_table", "series_tail"
 HISTORY_COLUMNS = [*SERIES_KEY, "run_date", TARGET]
+TAIL_SCHEMA = schema_of(HISTORY_COLUMNS).add("as_of", "date")
 DEPTH = max(*LAGS, *WINDOWS)
 TAILS_KEPT = 2
 
@@ -33,19 +34,16 @@ def narrow_history(
 ) -> DataFrame:
     """Key, date and sales of the rows the windows look back on; no other column of old rows is read.
 
-    ``days`` are the silver days; the filters name partitions, so nothing outside them is listed or opened.
+    ``days`` are the silver days. Only the days after the newest usable tail are opened.
     """
     first, last = min(run_dates), max(run_dates)
-    between = sorted(day for day in set(days) - set(run_dates) if first < day < last)
-    old = F.col("run_date") < F.lit(first)
-    if between:
-        old = old | F.col("run_date").isin([F.lit(day) for day in between])
-    rows = read_table(spark, cfg.table(SILVER), SILVER_SCHEMA).where(old).select(*HISTORY_COLUMNS)
+    older = [day for day in days if day < last and day not in set(run_dates)]
     tails = [day for day in partition_days(spark, cfg.table(TAIL), "as_of") if day < first]
     if not tails:
-        return rows
-    tail = spark.read.parquet(cfg.table(TAIL)).where(F.col("as_of") == F.lit(tails[-1])).select(*HISTORY_COLUMNS)
-    return tail.unionByName(rows.where(F.col("run_date") > F.lit(tails[-1])))
+        return read_days(spark, cfg.table(SILVER), SILVER_SCHEMA, older).select(*HISTORY_COLUMNS)
+    tail = read_days(spark, cfg.table(TAIL), TAIL_SCHEMA, [tails[-1]], "as_of").select(*HISTORY_COLUMNS)
+    since = [day for day in older if day > tails[-1]]
+    return tail.unionByName(read_days(spark, cfg.table(SILVER), SILVER_SCHEMA, since).select(*HISTORY_COLUMNS))
 
 
 def gold_for(history: DataFrame, targets: DataFrame, run_dates: Sequence[dt.date], first_day: dt.date) -> DataFrame:
@@ -69,11 +67,11 @@ def run_gold(
     missing = sorted(set(run_dates) - set(days))
     if missing:
         raise EmptyBatch(f"no silver rows for {', '.join(day.isoformat() for day in missing)}")
-    targets = scan_partitions(read_table(spark, root, SILVER_SCHEMA), run_dates)
+    targets = read_days(spark, root, SILVER_SCHEMA, run_dates)
     history = narrow_history(spark, cfg, run_dates, days)
     rules = gold_rules(cfg.states, cfg.event_types, single_date=len(set(run_dates)) == 1)
     replaced = overwrite_partitions(
-        gold_for(history, targets, run_dates, days[0]), cfg.table(GOLD), checks=lambda df: check(df, rules, "gold"),
+        conform_columns(gold_for(history, targets, run_dates, days[0]), GOLD_SCHEMA, "gold"), cfg.table(GOLD), checks=lambda df: check(df, rules, "gold"),
         expected=run_dates,
     )
     if keep_tail:

@@ -20,7 +20,7 @@ from demandloom.plans.dataset import build_dataset, feature_vectors, manifest_ro
 from demandloom.plans.evaluation import run_evaluation
 from demandloom.plans.training import batch_predict, candidate_metrics, load_best, save_models, select_best, train_candidates
 from demandloom.sources.libsvm import read_libsvm
-from demandloom.sources.tables import read_table, row_count, scan_partitions
+from demandloom.sources.tables import read_days, read_table, row_count
 
 STEPS = ("bronze", "silver", "gold")
 
@@ -168,10 +168,8 @@ class Ledger:
 
 
 def _partition_rows(spark: SparkSession, cfg: PipelineConfig, table: str, days: Sequence[dt.date]) -> int:
-    path = cfg.table(table)
-    if not exists(spark, path):
-        return 0
-    return row_count(scan_partitions(spark.read.parquet(path), days)).first()["rows"]
+    key_only = S.schema_of(["item_id", "run_date"])
+    return row_count(read_days(spark, cfg.table(table), key_only, days)).first()["rows"]
 
 
 def run_etl(

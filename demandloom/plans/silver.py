@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from demandloom.config import PipelineConfig
 from demandloom.functions.scalars import day_label
 from demandloom.operators.joins import silver
-from demandloom.operators.quality import check
+from demandloom.operators.quality import check, conform_columns
 from demandloom.operators.rules import silver_rules
 from demandloom.operators.storage import drop_partitions_from, overwrite_partitions
 from demandloom.plans.bronze import BRONZE, CALENDAR, PRICES
 from demandloom.plans.gold import SILVER, TAIL
-from demandloom.schemas import BRONZE_SCHEMA, CALENDAR_SCHEMA, PRICE_SCHEMA
-from demandloom.sources.tables import read_table, scan_partitions
+from demandloom.schemas import BRONZE_SCHEMA, CALENDAR_SCHEMA, PRICE_SCHEMA, SILVER_SCHEMA
+from demandloom.sources.tables import read_days, read_table
 
 
 def prices_for(prices: DataFrame, calendar: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -34,12 +34,13 @@ def run_silver(spark: SparkSession, cfg: PipelineConfig, run_dates: Sequence[dt.
     Tails that cover one of the days go first: a crash in between costs the next gold run time, never a result.
     """
     labels = [day_label(day, cfg.base_date) for day in run_dates]
-    bronze = scan_partitions(read_table(spark, cfg.table(BRONZE), BRONZE_SCHEMA), run_dates)
+    bronze = read_days(spark, cfg.table(BRONZE), BRONZE_SCHEMA, run_dates)
     calendar = read_table(spark, cfg.table(CALENDAR), CALENDAR_SCHEMA)
     prices = prices_for(read_table(spark, cfg.table(PRICES), PRICE_SCHEMA), calendar, labels)
     rules = silver_rules(single_date=len(set(run_dates)) == 1)
     drop_partitions_from(spark, cfg.table(TAIL), min(run_dates), "as_of")
+    rows = conform_columns(silver(bronze, calendar, prices, cfg.now(), cfg.version), SILVER_SCHEMA, "silver")
     return overwrite_partitions(
-        silver(bronze, calendar, prices, cfg.now(), cfg.version), cfg.table(SILVER),
+        rows, cfg.table(SILVER),
         checks=lambda df: check(df, rules, "silver"), expected=run_dates,
     )

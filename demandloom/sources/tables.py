@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandloom.operators.storage import partition_days
 from demandloom.schemas import DATE_COLUMN
 from demandloom.sources.csv import require_columns
 
@@ -20,6 +21,20 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return table if schema is None else table.select(*schema.names)
 
 
+def read_days(
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[dt.date], column: str = DATE_COLUMN
+) -> DataFrame:
+    """Some days of a date-partitioned table, given by folder: the folders of all other days are not even listed.
+
+    Opening the whole table would list every file of every day before a filter prunes them.
+    """
+    present = set(partition_days(spark, path, column))
+    folders = [f"{path}/{column}={day.isoformat()}" for day in sorted(set(days) & present)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
+
+
 def scan_partition(table: DataFrame, day: dt.date, column: str = DATE_COLUMN) -> DataFrame:
     return table.where(F.col(column) == F.lit(day))
 
