@@ -21,7 +21,7 @@ from demandloom.schemas import (
     DATASET_SCHEMA, DATE_COLUMN, GOLD_SCHEMA, MODEL_COLUMNS, SERIES_KEY, SPLIT_COLUMN, SPLITS, TARGET,
 )
 from demandloom.sources.libsvm import write_libsvm
-from demandloom.sources.tables import read_table, scan_between
+from demandloom.sources.tables import read_days, scan_between
 
 DATASETS = "datasets"
 
@@ -94,7 +94,9 @@ def build_dataset(spark: SparkSession, cfg: PipelineConfig, run_date: dt.date, r
     build_dir = f"{root}/_build-{build}"
     delete(spark, build_dir)
     try:
-        write_splits(window_rows(read_table(spark, cfg.table(GOLD), GOLD_SCHEMA), start, end), f"{build_dir}/parquet")
+        days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+        gold = read_days(spark, cfg.table(GOLD), GOLD_SCHEMA, days)
+        write_splits(window_rows(gold, start, end), f"{build_dir}/parquet")
         rows = read_split(spark, build_dir)
         enforce(check(rows, [*ml_critical_rules(), *ml_soft_rules()], "dataset"))
         write_vocabulary(rows.where(F.col(SPLIT_COLUMN) == "train"), f"{build_dir}/vocabulary")
