@@ -32,6 +32,8 @@ def read_days(
     folders = [f"{path}/{column}={day.isoformat()}" for day in sorted(set(days) & present)]
     if not folders:
         return spark.createDataFrame([], schema)
+    if len(folders) == len(present):
+        folders = [path]
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
 
 
