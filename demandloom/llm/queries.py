@@ -4,16 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from demandloom.llm.mixing import mix_sources
 from demandloom.llm.ngram_join import ngram_join
+from demandloom.llm.passages import repeated_passages
+from demandloom.llm.tiling import contamination
+from demandloom.llm.toxicity import toxicity_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
-QUERIES = {"op10_ngram_join": op10_ngram_join}
+QUERIES = {
+    "op2_passages": op2_passages, "op5_toxicity": op5_toxicity, "op7_decontamination": op7_decontamination,
+    "op9_mixing": op9_mixing, "op10_ngram_join": op10_ngram_join,
+}
 ORACLES: dict[str, str] = {}
