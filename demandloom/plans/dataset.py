@@ -15,7 +15,7 @@ from demandloom.operators.encoding import encode, fit_vocabulary
 from demandloom.operators.ledger import require_status
 from demandloom.operators.quality import check, enforce
 from demandloom.operators.rules import ml_critical_rules, ml_soft_rules
-from demandloom.operators.storage import delete, exists, rename
+from demandloom.operators.storage import Swap, delete
 from demandloom.plans.gold import GOLD
 from demandloom.schemas import (
     DATASET_SCHEMA, DATE_COLUMN, GOLD_SCHEMA, MODEL_COLUMNS, SERIES_KEY, SPLIT_COLUMN, SPLITS, TARGET,
@@ -125,9 +125,13 @@ def build_dataset(spark: SparkSession, cfg: PipelineConfig, run_date: dt.date, r
         }
         _one_row_text(spark, f"{build_dir}/features", features)
         _one_row_text(spark, f"{build_dir}/manifest", manifest)
-        if exists(spark, final):
-            delete(spark, final)
-        rename(spark, build_dir, final)
+        swap = Swap(spark)
+        try:
+            swap.replace(build_dir, final)
+        except BaseException:
+            swap.undo()
+            raise
+        swap.finish()
         return manifest
     except BaseException:
         delete(spark, build_dir)

@@ -106,3 +106,33 @@ def test_dropping_days_from_a_date_on(spark, tmp_path):
 def test_scratch_paths_lie_in_the_shared_folder_and_differ(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second and first.startswith(shared_folder(spark))
+
+
+@pytest.mark.parametrize("failing", range(1, 9))
+def test_a_failed_rename_leaves_every_table_as_it_was(spark, tmp_path, monkeypatch, failing):
+    facts, dim = str(tmp_path / "facts"), str(tmp_path / "dim")
+    storage.publish([storage.Batch(frame(spark, DAYS[:2]), facts, "run_date"), storage.Batch(frame(spark, DAYS[:1]), dim)])
+    before, calls, real = rows(spark, facts), [], storage.rename
+
+    def rename(spark, source, target):
+        calls.append(target)
+        if len(calls) == failing:
+            raise OSError("no connection")
+        real(spark, source, target)
+
+    monkeypatch.setattr(storage, "rename", rename)
+    batches = [storage.Batch(frame(spark, DAYS[:3], 40), facts, "run_date"), storage.Batch(frame(spark, DAYS[:2], 9), dim)]
+    if failing > 7:  # two days replaced, one new, one table: seven moves
+        storage.publish(batches)
+        assert {r[2] for r in rows(spark, dim)} == {9, 10, 11} and len(rows(spark, facts)) == 9
+    else:
+        with pytest.raises(OSError):
+            storage.publish(batches)
+        assert rows(spark, facts) == before and {r[2] for r in rows(spark, dim)} == {1, 2, 3}
+    assert folders(facts) == ["dim", "facts"] and not [f for f in os.listdir(facts) if f.startswith("_replaced")]
+
+
+def test_names_with_commas_and_blanks_are_listed(spark, tmp_path):
+    (tmp_path / "a, b").mkdir()
+    (tmp_path / "a, b" / "c, d=1").mkdir()
+    assert storage.folder_names(spark, str(tmp_path / "a, b")) == ["c, d=1"]
