@@ -23,9 +23,9 @@ class PipelineConfig:
     base_date: dt.date = BASE_DATE
     version: str = "v1"
     feature_version: str = "v1"
-    pipeline_name: str = "retail_pipeline"
-    etl_job: str = "retail_etl_dag"
-    ml_job: str = "retail_ml_dag"
+    pipeline_name: str = "demand_features"
+    etl_job: str = "demand_etl"
+    ml_job: str = "demand_models"
     triggered_by: str = "scheduler"
     clock: dt.datetime | None = None
     states: tuple[str, ...] = ("CA", "TX", "WI")

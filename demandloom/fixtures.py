@@ -60,8 +60,8 @@ def sold_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("state_id")
     )
     return (
-        lines.join(part, "p_partkey").join(supplier, "s_suppkey").join(F.broadcast(nation), "s_nationkey")
-        .join(F.broadcast(region), "n_regionkey")
+        lines.join(part, "p_partkey").join(supplier, "s_suppkey").join(nation, "s_nationkey")
+        .join(region, "n_regionkey")
     )
 
 
@@ -113,9 +113,9 @@ def sell_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.where(F.col("wm_yr_wk") % 10 != 0).select(*PRICE_COLUMNS)
 
 
-def first_day(spark: SparkSession, sf_dir: str) -> dt.date:
-    """The first day of the sales, as a table would know it from its partition names."""
-    return sold_lines(spark, sf_dir).agg(F.min("run_date")).first()[0]
+def first_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first day of the sales as a one-row side of the plan; reads one column of the lines."""
+    return table(spark, sf_dir, "lineitem").agg(F.min(F.col("l_shipdate").cast("date")).alias("_first_day"))
 
 
 # ---- raw files -----------------------------------------------------------------------------------------------
@@ -213,7 +213,6 @@ def pipeline(spark: SparkSession) -> PipelineConfig:
     """Settings of a pipeline over these views with a fresh table root."""
     return PipelineConfig(
         root=scratch_path(spark, "tables"), base_date=BASE, version=VERSION, states=STATES, event_types=EVENT_TYPES,
-        model_rounds=3,
     )
 
 

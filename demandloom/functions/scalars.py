@@ -50,8 +50,9 @@ def safe_double(text: str | Column) -> Column:
 
 
 def safe_int(text: str | Column) -> Column:
-    """Text to int by way of double: malformed, missing and NaN become 0, fractions are cut off."""
-    return F.coalesce(safe_double(text), F.lit(0.0)).cast("int")
+    """Text to int by way of double: malformed, missing, NaN and what no int holds become 0,
+    fractions are cut off."""
+    return F.coalesce(safe_double(text).try_cast("int"), F.lit(0))
 
 
 def safe_date(text: str | Column) -> Column:

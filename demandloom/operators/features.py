@@ -58,15 +58,15 @@ def add_calendar_features(df: DataFrame) -> DataFrame:
     return df.withColumns({"is_weekend": is_weekend("date"), "quarter": quarter("date")})
 
 
-def add_cold_start(df: DataFrame, first_day: dt.date | None = None) -> DataFrame:
+def add_cold_start(df: DataFrame, first_day: dt.date | DataFrame | None = None) -> DataFrame:
     """Flag rows in the first 28 days of the whole history.
 
-    A table knows its first day from its partition names; pass it to save the scan. Without it the minimum is
+    A table knows its first day from its partition names; pass it, or a one-row ``_first_day``, to save the scan. Without it the minimum is
     computed as a one-row side and joined in.
     """
-    if first_day is not None:
+    if isinstance(first_day, dt.date):
         return df.withColumn("is_cold_start", is_cold_start(DATE_COLUMN, F.lit(first_day)))
-    first = df.agg(F.min(DATE_COLUMN).alias("_first_day"))
+    first = df.agg(F.min(DATE_COLUMN).alias("_first_day")) if first_day is None else first_day
     return (
         df.crossJoin(F.broadcast(first))
         .withColumn("is_cold_start", is_cold_start(DATE_COLUMN, "_first_day"))
@@ -76,7 +76,7 @@ def add_cold_start(df: DataFrame, first_day: dt.date | None = None) -> DataFrame
 
 def gold(
     silver: DataFrame,
-    first_day: dt.date | None = None,
+    first_day: dt.date | DataFrame | None = None,
     lags: Sequence[int] = LAGS,
     windows: Sequence[int] = WINDOWS,
 ) -> DataFrame:

@@ -10,23 +10,9 @@ from pyspark.sql import functions as F
 from demandloom.functions.scalars import null_default, sentinel_null
 from demandloom.schemas import CALENDAR_COLUMNS, EVENT_COLUMNS, EVENT_TYPE_COLUMNS, SILVER_COLUMNS, SNAP_COLUMNS
 
-# A calendar row is under 200 bytes, so this many stay far below what an executor can hold.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, key: str, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; beyond the limit Catalyst chooses the join.
-
-    The count stops at the limit and reads the key column only.
-    """
-    size = df.select(key).limit(limit + 1).count()
-    return F.broadcast(df) if size <= limit else df
-
-
 def join_calendar(bronze: DataFrame, calendar: DataFrame) -> DataFrame:
     """Inner join on the day label; sales of a day the calendar lacks are dropped."""
-    days = calendar.select(*CALENDAR_COLUMNS)
-    return bronze.join(broadcast_if_small(days, "d"), "d")
+    return bronze.join(calendar.select(*CALENDAR_COLUMNS), "d")
 
 
 def join_prices(sales: DataFrame, prices: DataFrame) -> DataFrame:

@@ -98,7 +98,15 @@ def run_outcome(steps: DataFrame, names: Sequence[str]) -> DataFrame:
 
     One pivoted value per named step, so a run with any number of rows stays one bounded group.
     """
-    states = [F.max(F.when(F.col("step_name") == name, F.col("status"))).alias(name) for name in names]
+    def state(name: str) -> Column:
+        """One failed row fails a step that also has good rows."""
+        mine = F.when(F.col("step_name") == name, F.col("status"))
+        return (
+            F.when(F.bool_or(mine == "failed"), "failed").when(F.bool_and(mine == "success"), "success")
+            .otherwise(F.min(mine)).alias(name)
+        )
+
+    states = [state(name) for name in names]
     wide = steps.groupBy("run_id").agg(*states)
     succeeded = F.lit(True)
     for name in names:
@@ -106,7 +114,7 @@ def run_outcome(steps: DataFrame, names: Sequence[str]) -> DataFrame:
     listing = F.concat_ws(
         ", ", *[F.concat(F.lit(f"{name}="), F.coalesce(F.col(name), F.lit("none"))) for name in names]
     )
-    message = F.concat(F.lit("Pipeline failed. Task states: "), listing)
+    message = F.concat(F.lit("steps not all successful: "), listing)
     return wide.select(
         "run_id", F.when(succeeded, "success").otherwise("failed").alias("status"),
         F.when(~succeeded, message).alias("error_message"),

@@ -46,7 +46,7 @@ def narrow_history(
     return tail.unionByName(read_days(spark, cfg.table(SILVER), SILVER_SCHEMA, since).select(*HISTORY_COLUMNS))
 
 
-def gold_for(history: DataFrame, targets: DataFrame, run_dates: Sequence[dt.date], first_day: dt.date) -> DataFrame:
+def gold_for(history: DataFrame, targets: DataFrame, run_dates: Sequence[dt.date], first_day: dt.date | DataFrame) -> DataFrame:
     """Gold rows of the target days. History rows carry only what the windows read; the rest is null there."""
     rows = targets.unionByName(history, allowMissingColumns=True)
     return scan_partitions(gold(rows, first_day), run_dates)

@@ -144,11 +144,11 @@ class Ledger:
     def start_stage(self, run_id: str, dataset_id: str, stage: str, tracking_id: str) -> None:
         source = self._row(
             S.ML_STAGE_SCHEMA, ml_run_id=f"{run_id}_{stage}", run_id=run_id, dataset_id=dataset_id, stage=stage,
-            status="running", mlflow_run_id=tracking_id, created_at=self.cfg.now(),
+            status="running", tracking_id=tracking_id, created_at=self.cfg.now(),
         )
         enforce(check_reference(source, self.datasets(), ["dataset_id"], "ml_runs"))
         none = {"ended_at": F.lit(None).cast("timestamp"), "error_message": F.lit(None).cast("string")}
-        update = ["status", "mlflow_run_id", "source_mlflow_run_id"]
+        update = ["status", "tracking_id", "source_tracking_id"]
         self.write("ml_runs", ledger.upsert(self.ml_stages(), source, S.ML_STAGE_KEY, update, none))
 
     def finish_stage(self, run_id: str, dataset_id: str, stage: str, status: str, error: str | None = None) -> None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -17,11 +18,47 @@ from demandloom.session import ensure_checkpoint_dir
 
 # The two candidates. Depth 6 has room for the 64 leaves of the first one; where a tree samples
 # features, Spark samples per node.
+# A tree level is one job.
+FITTING = {"maxBins": 256, "cacheNodeIds": True, "maxMemoryInMB": 1024, "checkpointInterval": 10}
 CANDIDATES: dict[str, dict] = {
-    "gbt_depth6": {"stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
-    "gbt_depth8": {"stepSize": 0.05, "maxDepth": 8, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
+    "gbt_depth6": {**FITTING, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
+    "gbt_depth8": {**FITTING, "stepSize": 0.05, "maxDepth": 8, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
 }
 MAX_ROUNDS = 1000
+PATIENCE = 50  # rounds without a lower validation error that end boosting
+
+
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """The round (from 1) of the lowest error before ``patience`` rounds brought none lower, and whether that happened."""
+    best = 0
+    for at, error in enumerate(errors):
+        if error < errors[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_with_patience(
+    train: DataFrame, validation: DataFrame, rounds: int, params: Mapping[str, object], seed: int, patience: int = PATIENCE
+) -> GBTRegressionModel:
+    """Boost until the validation error has not fallen for ``patience`` rounds, and keep the rounds up to its lowest.
+
+    The learner cannot go on from a model, so the reach is doubled until the stop lies within it; the same seed gives the
+    same trees again. Without validation rows all ``rounds`` are fitted.
+    """
+    def fit(reach: int) -> GBTRegressionModel:
+        return GBTRegressor(maxIter=reach, seed=seed, **params).fit(train)
+
+    if validation.isEmpty():
+        return fit(rounds)
+    reach = min(rounds, patience + patience // 4)
+    while True:
+        model = fit(reach)
+        best, stopped = best_round(model.evaluateEachIteration(validation, "squared"), patience)
+        if stopped or reach >= rounds:
+            return model if best == reach else fit(best)
+        reach = min(rounds, 2 * reach)
 
 
 def train_candidates(
@@ -31,24 +68,23 @@ def train_candidates(
     candidates: Mapping[str, dict] = CANDIDATES,
     seed: int = 42,
 ) -> dict[str, GBTRegressionModel]:
-    """Fit each candidate on ``label``/``features``; boosting stops early once the validation rows stop improving.
+    """Fit each candidate on ``label``/``features``; the validation rows end boosting, see ``fit_with_patience``.
 
     Rows stay on the executors: a round shuffles only the split statistics of its nodes. The tree learner cuts its
     lineage in the checkpoint folder every few rounds.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    rows = train.select("label", "features", F.lit(False).alias("held_out")).unionByName(
-        validation.select("label", "features", F.lit(True).alias("held_out"))
-    ).persist()
+    rows, held = train.select("label", "features").persist(), validation.select("label", "features").persist()
     try:
-        return {
-            name: GBTRegressor(
-                maxIter=rounds, validationIndicatorCol="held_out", seed=seed, checkpointInterval=10, **params
-            ).fit(rows)
-            for name, params in candidates.items()
-        }
+        # The jobs of a round are short; candidates side by side keep the cores busy between them.
+        with ThreadPoolExecutor(max_workers=max(1, len(candidates))) as pool:
+            fits = {
+                name: pool.submit(fit_with_patience, rows, held, rounds, params, seed) for name, params in candidates.items()
+            }
+            return {name: fit.result() for name, fit in fits.items()}
     finally:
         rows.unpersist()
+        held.unpersist()
 
 
 def candidate_metrics(

@@ -276,7 +276,7 @@ _FEATURE_HASH = f"sha256('feature_version=v1|features={','.join(FEATURES)}')"
 
 def _dataset_id(day: str, rows: str) -> str:
     return (
-        f"sha256('etl_run_id=1|feature_hash=' || {_FEATURE_HASH} || '|pipeline_name=retail_pipeline|row_count=' || "
+        f"sha256('etl_run_id=1|feature_hash=' || {_FEATURE_HASH} || '|pipeline_name=demand_features|row_count=' || "
         f"{rows} || '|run_date=' || {day} || '|schema_hash=' || {_SCHEMA_HASH})"
     )
 
@@ -558,14 +558,19 @@ SELECT k.dag_id, k.run_date, k.run_id, coalesce(r.status, k.status) AS status, k
 FROM known_runs AS k LEFT JOIN rerun_requests AS r ON k.dag_id = r.dag_id AND k.run_date = r.run_date""")
 oracle("run_outcome", """
 SELECT run_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
-    CASE WHEN NOT ok THEN 'Pipeline failed. Task states: bronze=' || coalesce(bronze, 'none') || ', silver='
+    CASE WHEN NOT ok THEN 'steps not all successful: bronze=' || coalesce(bronze, 'none') || ', silver='
         || coalesce(silver_state, 'none') || ', gold=' || coalesce(gold_state, 'none') END AS error_message
 FROM (SELECT *, coalesce(bronze = 'success', FALSE) AND coalesce(silver_state = 'success', FALSE)
         AND coalesce(gold_state = 'success', FALSE) AS ok
-    FROM (SELECT run_id, max(CASE WHEN step_name = 'bronze' THEN status END) AS bronze,
-            max(CASE WHEN step_name = 'silver' THEN status END) AS silver_state,
-            max(CASE WHEN step_name = 'gold' THEN status END) AS gold_state
-        FROM etl_steps GROUP BY run_id) AS wide) AS judged""")
+    FROM (SELECT run_id, max(CASE WHEN step_name = 'bronze' THEN judged_state END) AS bronze,
+            max(CASE WHEN step_name = 'silver' THEN judged_state END) AS silver_state,
+            max(CASE WHEN step_name = 'gold' THEN judged_state END) AS gold_state
+        FROM (SELECT l_orderkey AS run_id,
+                CASE WHEN l_linenumber = 1 THEN 'bronze' WHEN l_linenumber = 2 THEN 'silver' ELSE 'gold' END AS step_name,
+                CASE WHEN count(*) = count(*) FILTER (WHERE l_returnflag <> 'R' OR l_linestatus <> 'O') THEN 'success'
+                    ELSE 'failed' END AS judged_state
+            FROM lineitem GROUP BY 1, 2) AS steps
+        GROUP BY run_id) AS wide) AS judged""")
 oracle("step_metrics", f"""
 SELECT run_id, {", ".join(
     f"CAST(coalesce(sum(CASE WHEN step_name = '{name}' THEN output_rows END), 0) AS BIGINT) AS rows_{name}"
@@ -586,12 +591,12 @@ LEFT JOIN etl_steps AS s USING (run_id)""")
 oracle("time_split", "SELECT item_id, store_id, run_date, split FROM split_rows")
 oracle("fingerprints", f"""
 SELECT run_date, rows, {_SCHEMA_HASH} AS schema_hash, {_FEATURE_HASH} AS feature_hash,
-    sha256('feature_version=v1|pipeline_name=retail_pipeline|run_date=' || run_date || '|run_id=1') AS build_id,
+    sha256('feature_version=v1|pipeline_name=demand_features|run_date=' || run_date || '|run_id=1') AS build_id,
     {_dataset_id("run_date", "rows")} AS dataset_id
 FROM (SELECT run_date, count(*) AS rows FROM sales_daily GROUP BY run_date) AS per_day""")
 oracle("build_dataset", f"""
 SELECT {_dataset_id(f"CAST({WINDOW_END} AS VARCHAR)", "total_row_count")} AS dataset_id, '1' AS run_id,
-    'retail_pipeline' AS pipeline_name, 'gold_table' AS source_table, {WINDOW_START} AS dataset_start_date,
+    'demand_features' AS pipeline_name, 'gold_table' AS source_table, {WINDOW_START} AS dataset_start_date,
     {WINDOW_END} AS dataset_end_date, train_row_count, val_row_count, test_row_count, total_row_count,
     'v1' AS feature_version, {_FEATURE_HASH} AS feature_hash, {_SCHEMA_HASH} AS schema_hash
 FROM (SELECT {_COUNTS}, count(*) AS total_row_count FROM split_rows) AS counted""")
@@ -602,11 +607,16 @@ SELECT item_id, store_id, run_date, split, CAST(sales AS DOUBLE) AS sales, sales
 # ---- whole runs ----------------------------------------------------------------------------------------------
 
 oracle("etl_run", f"""
-SELECT CAST(1 AS BIGINT) AS run_id, 'retail_etl_dag' AS dag_id, last_day AS run_date, 'success' AS status,
+SELECT CAST(1 AS BIGINT) AS run_id, 'demand_etl' AS dag_id, last_day AS run_date, 'success' AS status,
     CAST(NULL AS VARCHAR) AS error_message, series * calendar_days AS rows_bronze,
     series * calendar_days AS rows_silver, series * calendar_days AS rows_gold
 FROM (SELECT count(*) AS series FROM {_SERIES}) AS counted
+CROSS JOIN (SELECT count(*) AS calendar_days, max(date) AS last_day FROM days WHERE year(date) >= 2000) AS kept""")
+oracle("ml_run", f"""
+SELECT '1' AS run_id, 'demand_features' AS pipeline_name, last_day AS run_date, 'success' AS run_status,
+    series * window_days AS total_row_count, stage, 'success' AS stage_status
+FROM (SELECT count(*) AS series FROM {_SERIES}) AS counted
 CROSS JOIN (
-    SELECT count(*) AS calendar_days, max(date) AS last_day FROM days
-    WHERE date BETWEEN {WINDOW_START} AND {WINDOW_END}
-) AS kept""")
+    SELECT max(date) AS last_day, count(*) FILTER (WHERE date >= (SELECT max(date) FROM days) - 365) AS window_days FROM days
+) AS kept
+CROSS JOIN (SELECT unnest(['train', 'predict', 'evaluate']) AS stage) AS stages""")

@@ -17,6 +17,7 @@ from demandloom.functions import scalars as C
 from demandloom.operators import encoding, evaluation, features, joins, ledger, quality, rules, splits, storage
 from demandloom.operators.dedup import keep_first
 from demandloom.plans import bronze as bronze_plan
+from demandloom.operators.rules import FIRST_YEAR
 from demandloom.plans import dataset as dataset_plan
 from demandloom.plans import gold as gold_plan
 from demandloom.plans import runs as runs_plan
@@ -28,10 +29,6 @@ from demandloom.sources import csv, libsvm, tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Boosting rounds of the registered model queries; the library's own default is the full number.
-ROUNDS = 5
-
-
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -242,7 +239,7 @@ def dataset_metadata(spark, sf_dir):
     manifest = counts.select(
         "*", schema.alias("schema_hash"), feature.alias("feature_hash"),
         splits.dataset_id(
-            "retail_pipeline", X.ML_RUN_DATE, 1, schema, feature, F.col("total_row_count")
+            "demand_features", X.ML_RUN_DATE, 1, schema, feature, F.col("total_row_count")
         ).alias("dataset_id"),
         F.lit(start).alias("dataset_start_date"), F.lit(end).alias("dataset_end_date"),
         F.lit(len(names)).alias("feature_count"),
@@ -738,8 +735,8 @@ def fingerprints(spark, sf_dir):
     day = F.col("run_date")
     return days.select(
         "run_date", "rows", schema.alias("schema_hash"), feature.alias("feature_hash"),
-        splits.build_id("retail_pipeline", day, "v1", 1).alias("build_id"),
-        splits.dataset_id("retail_pipeline", day, 1, schema, feature, F.col("rows")).alias("dataset_id"),
+        splits.build_id("demand_features", day, "v1", 1).alias("build_id"),
+        splits.dataset_id("demand_features", day, 1, schema, feature, F.col("rows")).alias("dataset_id"),
     )
 
 
@@ -772,7 +769,7 @@ def _trained(spark, sf_dir):
     cfg, manifest = _dataset(spark, sf_dir)
     names, home = manifest["features"], manifest["dataset_dir"]
     train, val = (libsvm.read_libsvm(spark, f"{home}/libsvm/{split}", len(names)) for split in ("train", "val"))
-    return manifest, names, val, training.train_candidates(train, val, ROUNDS)
+    return manifest, names, val, training.train_candidates(train, val)
 
 
 @query
@@ -811,16 +808,16 @@ def _loaded(spark, sf_dir, days: list[dt.date]) -> tuple[PipelineConfig, int]:
     return cfg, runs_plan.run_etl(spark, cfg, days, sales, calendar, prices)
 
 
-def _window_days(spark, sf_dir) -> list[dt.date]:
-    """The calendar days of the dataset window, at most 366."""
-    start, end = splits.trailing_window(X.ML_RUN_DATE, X.BASE)
-    return sorted(row["date"] for row in tables.scan_between(X.calendar(spark, sf_dir), start, end, "date").collect())
+def _all_days(spark, sf_dir) -> list[dt.date]:
+    """Every day that the gold rules accept (its year must be 2000 or later): partition names only."""
+    days = X.calendar(spark, sf_dir).where(F.col("year") >= FIRST_YEAR)
+    return sorted(row["date"] for row in days.select("date").collect())
 
 
 @query
 def etl_run(spark, sf_dir):
-    """Raw files to gold for the days of the dataset window; the ledger row of the run."""
-    cfg, _ = _loaded(spark, sf_dir, _window_days(spark, sf_dir))
+    """Raw files to gold for all days in one backfill; the ledger row of the run."""
+    cfg, _ = _loaded(spark, sf_dir, _all_days(spark, sf_dir))
     return runs_plan.Ledger(spark, cfg).etl_runs().select(
         "run_id", "dag_id", "run_date", "status", "error_message", "rows_bronze", "rows_silver", "rows_gold"
     )
@@ -829,7 +826,7 @@ def etl_run(spark, sf_dir):
 @query
 def ml_run(spark, sf_dir):
     """Raw files to metrics; the lineage of the run."""
-    days = _window_days(spark, sf_dir)
+    days = _all_days(spark, sf_dir)
     cfg, _ = _loaded(spark, sf_dir, days)
     runs_plan.run_ml(spark, cfg, max(days))
     return runs_plan.Ledger(spark, cfg).lineage().select(

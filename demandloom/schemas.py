@@ -105,7 +105,7 @@ DATASET_SCHEMA = _struct({
 })
 ML_STAGE_SCHEMA = _struct({
     "ml_run_id": _TEXT, "run_id": _TEXT, "dataset_id": _TEXT, "stage": _TEXT, "status": _TEXT,
-    "mlflow_run_id": _TEXT, "source_mlflow_run_id": _TEXT, "created_at": _TIME, "ended_at": _TIME,
+    "tracking_id": _TEXT, "source_tracking_id": _TEXT, "created_at": _TIME, "ended_at": _TIME,
     "error_message": _TEXT,
 })
 ETL_RUN_KEY = ["pipeline_name", "dag_id", "run_date"]

@@ -72,9 +72,9 @@ def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     raw = read_text_csv(spark, path)
     raw = require_columns(raw.toDF(*[name.lower() for name in raw.columns]), CALENDAR_COLUMNS)
     whole = ["wm_yr_wk", "wday", "month", "year"]
-    parsed = {name: safe_double(name).cast("int") for name in whole}
-    parsed |= {name: null_default(safe_double(name).cast("int")) for name in SNAP_COLUMNS}
-    parsed["date"] = F.col("date").cast("date")
+    parsed = {name: safe_double(name).try_cast("int") for name in whole}
+    parsed |= {name: null_default(safe_double(name).try_cast("int")) for name in SNAP_COLUMNS}
+    parsed["date"] = F.col("date").try_cast("date")
     return raw.select(*[parsed.get(name, F.col(name)).alias(name) for name in CALENDAR_COLUMNS])
 
 
@@ -82,6 +82,6 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
     """The price file: 4 columns, a malformed price is null."""
     raw = require_columns(read_text_csv(spark, path), PRICE_COLUMNS)
     return raw.select(
-        "store_id", "item_id", F.col("wm_yr_wk").cast("int").alias("wm_yr_wk"),
+        "store_id", "item_id", F.col("wm_yr_wk").try_cast("int").alias("wm_yr_wk"),
         F.round(safe_double("sell_price"), 4).alias("sell_price"),
     )

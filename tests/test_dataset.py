@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from demandloom.plans.training import best_round
 from demandloom.operators import encoding, evaluation, splits
 from demandloom.operators.features import gold
 from demandloom.schemas import MODEL_COLUMNS
@@ -92,3 +93,9 @@ def test_baseline_and_selection(spark):
     assert {r["baseline_prediction"] for r in evaluation.baseline_forecast(plain).collect()} == {4.5}
     scores = spark.createDataFrame([("first", 0, 0.5), ("second", 1, 0.5), ("third", 2, 0.7)], "model string, priority int, wmape double")
     assert evaluation.best_candidate(scores).first()["best_model"] == "second"
+
+
+def test_patience_ends_boosting_at_the_lowest_error():
+    assert best_round([5.0, 4.0, 4.5, 3.0, 3.5, 3.4, 3.3, 2.0], 3) == (4, True)
+    assert best_round([5.0, 4.0, 4.5, 3.0], 3) == (4, False)
+    assert best_round([1.0], 3) == (1, False)

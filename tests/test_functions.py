@@ -87,3 +87,9 @@ def test_metrics_by_hand(spark):
 def test_improvement_is_null_on_a_perfect_baseline(spark):
     assert one(spark, M.improvement_pct(F.lit(0.0), F.lit(1.0))) is None
     assert one(spark, M.improvement_pct(F.lit(4.0), F.lit(3.0))) == 25.0
+
+
+def test_numbers_no_int_holds_become_zero(spark):
+    texts = ["1e20", "3000000000", "Infinity", "-Infinity", "NaN", "x", None, "7.9"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(C.safe_int("t").alias("n"))
+    assert [r["n"] for r in df.collect()] == [0, 0, 0, 0, 0, 0, 0, 7]

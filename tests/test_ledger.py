@@ -73,7 +73,7 @@ def test_run_outcome_and_metrics(spark):
     )
     got = by_key(L.run_outcome(steps, ["bronze", "silver"]), "run_id")
     assert got[1] == ("success", None) and got[2][0] == "failed" and "silver=failed" in got[2][1]
-    assert got[3] == ("failed", "Pipeline failed. Task states: bronze=success, silver=none")
+    assert got[3] == ("failed", "steps not all successful: bronze=success, silver=none")
     assert by_key(L.step_metrics(steps, ["bronze", "silver"]), "run_id") == {1: (5, 4), 2: (9, 0), 3: (1, 0)}
 
 
@@ -87,3 +87,9 @@ def test_cascade_and_lineage(spark):
     metrics = spark.createDataFrame([("r", "d", "train", 0.5)], "run_id string, dataset_id string, stage string, wmape double")
     row = L.lineage(runs, sets, stages, metrics).first()
     assert (row["run_status"], row["stage"], row["stage_status"], row["wmape"]) == ("success", "train", "success", 0.5)
+
+
+def test_a_failed_row_fails_a_step_that_also_has_good_rows(spark):
+    rows = [(1, "bronze", "failed"), (1, "bronze", "success"), (2, "bronze", "success"), (2, "bronze", "success"), (3, "bronze", "running"), (3, "bronze", "success")]
+    got = L.run_outcome(spark.createDataFrame(rows, "run_id long, step_name string, status string"), ["bronze"]).collect()
+    assert {r["run_id"]: r["status"] for r in got} == {1: "failed", 2: "success", 3: "failed"}

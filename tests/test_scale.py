@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom import fixtures as X
+from demandloom.operators.rules import percentile_below
 from demandloom.operators import encoding, evaluation, joins, quality
 from demandloom.operators.storage import scoped_settings
 from demandloom.plans.training import load_best
@@ -62,13 +63,20 @@ def test_grouped_measures_combine_before_the_shuffle(spark):
     assert rows["store_id", "hot"] == 20000 and rows["dept_id", "d"] == 60000
 
 
-def test_calendar_is_broadcast_only_when_counted_small(spark):
-    days = spark.range(50).select(F.concat(F.lit("d_"), F.col("id").cast("string")).alias("d"))
+def test_calendar_join_is_left_to_the_planner(spark):
+    days = X.calendar(spark, "/root/testdata/sf0.001")
     facts = hot_rows(spark).select(F.concat(F.lit("d_"), (F.col("id") % 50).cast("string")).alias("d"))
     with scoped_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
-        small = final_plan(facts.join(joins.broadcast_if_small(days, "d", 50), "d"))
-        large = final_plan(facts.join(joins.broadcast_if_small(days, "d", 49), "d"))
-    assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
+        assert "BroadcastHashJoin" not in final_plan(joins.join_calendar(facts, days))
+
+
+def test_percentile_rule_equals_the_exact_percentile_without_a_map_of_values(spark):
+    for size, limit in ((1, 0.5), (1, 5.0), (100, 97.0), (100, 98.01), (101, 99.0), (101, 98.9), (3, 2.0), (250, 246.5), (250, 246.4)):
+        df = spark.range(size).select(F.col("id").cast("double").alias("sales"))
+        both = df.agg(percentile_below("sales", 99, limit).alias("ours"), (F.percentile("sales", 0.99) < limit).alias("exact")).first()
+        assert both["ours"] == both["exact"], (size, limit)
+    many = spark.range(10_000_000).select(F.col("id").cast("double").alias("sales")).agg(percentile_below("sales", 99, 9_900_000.0).alias("ok"))
+    assert many.first()["ok"] and "percentile" not in final_plan(many)
 
 
 def test_raw_scans_read_only_what_they_need(spark):
