@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 WORD = re.compile(r"\w+")
 ENCODING = "utf-16-le"
-KEPT_WINDOWS = 300_000  # window scores a task remembers; they are computed again beyond that
+KEPT_WINDOWS = 200_000  # window scores a task remembers; they are computed again beyond that
 
 
 def windows_of(text: str | None) -> list[str]:
@@ -73,12 +73,12 @@ class Dictionaries:
 
 
 def train_dictionaries(
-    rows: list[tuple[list[str], int]], shared_size: int = 8000, tail_size: int = 4000, min_documents: int = 5,
+    rows: list[tuple[str | None, int]], shared_size: int = 8000, tail_size: int = 4000, min_documents: int = 5,
     min_odds: float = 5.0,
 ) -> Dictionaries:
     toxic, ordinary, sizes = Counter(), Counter(), [0, 0]
-    for windows, label in rows:
-        (toxic if label else ordinary).update(set(windows))
+    for text, label in rows:
+        (toxic if label else ordinary).update(set(windows_of(text)))
         sizes[label] += 1
 
     def odds(word: str) -> float:
@@ -133,21 +133,20 @@ def _logistic(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-4, round
 
 def fit(rows: list[tuple[str | None, int]]) -> ToxicityModel:
     """Dictionaries and calibration from labelled texts; with one class only, every score is that class's share."""
-    parts = [(windows_of(text), int(label > 0)) for text, label in rows]
-    labels = np.array([label for _, label in parts], float)
+    rows = [(text, int(label > 0)) for text, label in rows]
+    labels = np.array([label for _, label in rows], float)
     prior = float(labels.mean()) if len(labels) else 0.0
     none = np.zeros(1)
     if not 2 <= labels.sum() <= len(labels) - 2:
         return ToxicityModel(None, none, none, none, prior)
-    folds = np.arange(len(parts)) % 2
+    # Windows are cut again for each pass: kept, they would take several times the memory of the texts.
     table, order = [], []
     for fold in (0, 1):
-        trained = train_dictionaries([p for p, f in zip(parts, folds) if f != fold])
-        for (windows, label), f in zip(parts, folds):
-            if f == fold:
-                table.append(features(trained.scores(windows))), order.append(label)
+        trained = train_dictionaries(rows[1 - fold :: 2])
+        for text, label in rows[fold::2]:
+            table.append(features(trained.scores(windows_of(text)))), order.append(label)
     mean, scale, weights = _logistic(np.array(table), np.array(order, float))
-    return ToxicityModel(train_dictionaries(parts), mean, scale, weights, prior)
+    return ToxicityModel(train_dictionaries(rows), mean, scale, weights, prior)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> list[tuple[str | None, int]]:
@@ -165,7 +164,7 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = 8000) -> ToxicityModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", limit: int = 6000) -> ToxicityModel:
     """Fit on at most ``limit`` labelled rows. ``limit`` bounds what the driver holds; scoring covers all rows."""
     return fit(training_rows(docs, labels, label, limit))
 
@@ -184,14 +183,14 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "toxicity")
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: int = 8000) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, limit: int = 6000) -> DataFrame:
     """``doc_id, held_out, score, predicted`` per row of ``docs``."""
     model = train_toxicity(docs, labels, limit=limit)
     scored = with_toxicity(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), model, "score")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame, limit: int = 8000) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: int = 6000) -> DataFrame:
     """The rows of ``docs`` scored under 0.5; columns stay."""
     name = "__toxicity"
     return with_toxicity(docs, train_toxicity(docs, labels, limit=limit), name).where(F.col(name) < 0.5).drop(name)
