@@ -45,10 +45,17 @@ def bounds(one, two) -> tuple[np.ndarray, np.ndarray]:
 
 
 def cosine(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Cosines in double precision; rows are reduced alike, so equal vectors get equal values."""
-    scale_one, scale_many = np.abs(one).max(), np.abs(many).max(1, keepdims=True)
-    x, y = one / scale_one, many / scale_many
-    return (y * x).sum(1) / np.sqrt((x * x).sum() * (y * y).sum(1))
+    """Cosines in double precision, summed from left to right as SQL does; equal vectors get equal values.
+
+    Scaling by powers of two keeps very large and small vectors in range without rounding.
+    """
+    x = np.ldexp(one, -np.frexp(np.abs(one).max())[1])
+    y = np.ldexp(many, -np.frexp(np.abs(many).max(1, keepdims=True))[1])
+
+    def total(values: np.ndarray) -> np.ndarray:
+        return values.cumsum(axis=-1)[..., -1]
+
+    return total(y * x) / np.sqrt(total(x * x) * total(y * y))
 
 
 def _packed(kind: str):

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from demandloom.llm.crossentropy import cross_entropy_difference
 from demandloom.llm.licenses import license_scan
 from demandloom.llm.mixing import mix_sources
 from demandloom.llm.neighbours import nearest
 from demandloom.llm.ngram_join import ngram_join
+from demandloom.llm.oracles import ORACLES
 from demandloom.llm.passages import repeated_passages
 from demandloom.llm.quality import quality_scores
 from demandloom.llm.tiling import contamination
@@ -57,7 +59,7 @@ def op8_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"))
+    return mix_sources(table(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 9))
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +71,3 @@ QUERIES = {
     "op5_toxicity": op5_toxicity, "op6_neighbours": op6_neighbours, "op7_decontamination": op7_decontamination,
     "op8_cross_entropy": op8_cross_entropy, "op9_mixing": op9_mixing, "op10_ngram_join": op10_ngram_join,
 }
-ORACLES: dict[str, str] = {}
