@@ -47,10 +47,9 @@ def bounds(one, two) -> tuple[np.ndarray, np.ndarray]:
 def cosine(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     """Cosines in double precision, summed from left to right as SQL does; equal vectors get equal values.
 
-    Scaling by powers of two keeps very large and small vectors in range without rounding.
+    Vectors are divided by their largest component first, so multiples of a vector tie and no square leaves the range.
     """
-    x = np.ldexp(one, -np.frexp(np.abs(one).max())[1])
-    y = np.ldexp(many, -np.frexp(np.abs(many).max(1, keepdims=True))[1])
+    x, y = one / np.abs(one).max(), many / np.abs(many).max(1, keepdims=True)
 
     def total(values: np.ndarray) -> np.ndarray:
         return values.cumsum(axis=-1)[..., -1]

@@ -26,14 +26,18 @@ FROM named
 
 OP6 = """
 WITH sound AS (
-  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding::DOUBLE[], lambda x:
+    x / greatest(list_max(embedding::DOUBLE[]), -list_min(embedding::DOUBLE[]))) AS v
+  FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), measured AS (
+  SELECT vec_id, v, list_sum(list_transform(v, lambda x: x * x)) AS squares FROM sound
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)
-    / sqrt(list_dot_product(q.v, q.v) * list_dot_product(c.v, c.v)) AS score
-  FROM sound q JOIN sound c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))
+    / sqrt(q.squares * c.squares) AS score
+  FROM measured q JOIN measured c ON len(q.v) = len(c.v) AND q.vec_id <> c.vec_id
   WHERE q.vec_id % 50 = 0
 ), ranked AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
