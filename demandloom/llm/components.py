@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.storage import written
+from demandloom.llm.storage import discard, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,4 +41,5 @@ def components(links: DataFrame, left: str, right: str, label: str = "components
         if seen == before or not seen[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = seen
-        edges = written(_small_star(_large_star(edges)), label)
+        older, edges = edges, written(_small_star(_large_star(edges)), label)
+        discard(older)

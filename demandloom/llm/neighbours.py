@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandloom.llm.storage import written
+from demandloom.llm.storage import discard, written
 from demandloom.llm.words import fingerprint
 
 BLOCK_ROWS = 2048
@@ -128,6 +128,7 @@ def nearest(vectors: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     columns = "block bigint, ids array<bigint>, vectors binary, dims int"
     blocks = written(used.mapInArrow(_packed(kind), columns), "nearest-blocks")
     queries = written(used.where(F.col("vec_id") % every == 0).mapInArrow(_packed(kind), columns), "nearest-queries")
+    discard(used)
     # Every block of rows meets every query block of its length. Which ones meet is told by their numbers alone; a query
     # block is then copied to a fixed number of slices, so that its meetings are not one task's.
     numbers_only = queries.select(F.col("block").alias("asked_block"), "dims")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from demandloom.llm import words as W
 from demandloom.llm.components import components
-from demandloom.llm.storage import in_membership, membership, written
+from demandloom.llm.storage import discard, in_membership, membership, written
 
 TIERS = 4
 PIECES = 16
@@ -171,8 +171,11 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     left = tiered.join(shared, "h").groupBy("node", F.col("h").bitwiseAND(TIERS - 1).alias("tier")).agg(
         F.countDistinct("h").alias("shared"), F.max("need").alias("need"))
     survivors = written(left.where("shared > need").select("node").distinct(), "ngram-survivors")
+    names = written(screened.select("doc_id", "node", "n"), "ngram-names")
+    discard(screened)
 
     maps = spark.sparkContext.broadcast(membership(survivors, "node"))
+    discard(survivors)
     sets = written(texts.mapInArrow(
         _whole_sets(size, maps), "node bigint, n bigint, shingles array<bigint>, pieces array<bigint>"
     ).dropDuplicates(["node"]), "ngram-sets")
@@ -189,14 +192,16 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     ends = pivots.select("h", F.col("y.node").alias("node")).join(rooted, "node", "left").select(
         "h", F.coalesce("root", "node").alias("pivot"))
     grouped = written(grouped.join(ends, "h"), "ngram-grouped")
+    discard(postings)
     outside = grouped.where("root <> pivot").select("h", F.struct("node", "n", "pos", "pieces", "root").alias("x"))
     members = grouped.select("h", F.struct("node", "n", "pos", "pieces", "root").alias("y"))
     rest = outside.join(members, "h").where(F.col("x.root") != F.col("y.root")).where(_filters(percent))
     more = written(_verified(_ordered_pairs(rest).join(first, ["a", "b"], "left_anti"), sets, percent), "ngram-links")
+    discard(grouped, first, sets)
     if not more.isEmpty():
         roots = components(links.union(more), "a", "b")
 
-    named = screened.select("doc_id", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = names.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
@@ -210,5 +215,7 @@ def one_per_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFram
     copies = found.where("doc_id <> component_id").select("doc_id").distinct()
     repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
     kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():  # whole texts then move once
+        return kept
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)

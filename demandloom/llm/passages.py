@@ -20,9 +20,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.llm import words as W
-from demandloom.llm.storage import in_membership, membership, written
+from demandloom.llm.storage import discard, in_membership, membership, written
 
 SIDE = 23  # tokens whose min-hash tells contexts apart: half a shortest window
 PLACE_BITS = 28  # places of a text; longer texts fail rather than lose windows
@@ -171,6 +172,7 @@ def repeated_passages(
     sided = written(rows.join(shared, "key").select(
         sides.alias("bucket"), "doc_id", place.alias("place"),
         F.shiftright("anchor", 32).bitwiseAND(3).cast("int").alias("function")), "passage-shared")
+    discard(windows)
     heads = sided.groupBy("bucket").agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
         "head.doc_id < last").select("bucket", "head")
     matches = sided.join(heads, "bucket").where("doc_id > head.doc_id").select(
@@ -186,6 +188,7 @@ def repeated_passages(
     requests = written(spans.select(
         "doc_id", "first_doc_id", (F.col("low") - before).alias("start"),
         (F.col("low") - F.col("shift") - before).alias("first_start"), length.cast("bigint").alias("length")), "passage-requests")
+    discard(sided)
 
     ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
     maps = spark.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
@@ -214,12 +217,14 @@ def repeated_passages(
 def _cut(spans_at: int, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for text, spans in zip(batch.column(text_at).to_pylist(), batch.column(spans_at).to_pylist()):
-                texts.append(remove_words(text, [(s["start_word"], s["end_word"]) for s in spans]) if spans else text)
-            columns = list(batch.columns)
-            columns[text_at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns[:spans_at], names=batch.schema.names[:spans_at])
+            columns, touched = list(batch.columns), batch.column(spans_at).is_valid()
+            if touched.true_count:
+                texts = []
+                for text, spans in zip(columns[text_at].to_pylist(), columns[spans_at].to_pylist()):
+                    texts.append(remove_words(text, [(s["start_word"], s["end_word"]) for s in spans]) if spans else text)
+                columns[text_at] = pa.array(texts, columns[text_at].type)
+            columns[spans_at] = touched
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:spans_at], "__cut"])
 
     return run
 
@@ -250,13 +255,13 @@ def without_repeats(docs: DataFrame, **settings) -> DataFrame:
 
     ``n_chars``, where present, follows the text.
     """
-    spans = repeated_passages(docs, **settings).groupBy("doc_id").agg(
-        F.array_sort(F.collect_set(F.struct("start_word", "end_word"))).alias("__spans"))
+    spans = written(repeated_passages(docs, **settings).groupBy("doc_id").agg(
+        F.array_sort(F.collect_set(F.struct("start_word", "end_word"))).alias("__spans")), "passage-spans")
     joined = docs.join(spans, "doc_id", "left").select(*docs.columns, "__spans")
-    untouched = joined.where("__spans is null").select(*docs.columns)
-    cut = joined.where("__spans is not null").mapInArrow(
-        _cut(len(docs.columns), docs.columns.index("text")), docs.schema).where(F.trim("text") != "")
+    cut = joined.mapInArrow(
+        _cut(len(docs.columns), docs.columns.index("text")),
+        T.StructType([*docs.schema.fields, T.StructField("__cut", T.BooleanType())])).where(~F.col("__cut") | (F.trim("text") != ""))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.length("text").cast(kind))
-    return untouched.unionByName(cut)
+        cut = cut.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)

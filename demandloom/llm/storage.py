@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.operators.storage import delete
 from demandloom.session import scratch_path
 
 BITMAP_BITS = 15  # Spark's bitmap functions work on buckets of 2**15 bits
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -16,7 +20,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` once everything read from them has been written itself."""
+    for table in tables:
+        delete(table.sparkSession, _FOLDERS.pop(table))
 
 
 def membership(keys: DataFrame, column: str, bits: int = 24) -> tuple[np.ndarray, np.ndarray]:

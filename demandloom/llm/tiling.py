@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import words as W
-from demandloom.llm.storage import in_membership, membership, written
+from demandloom.llm.storage import discard, in_membership, membership, written
 
 BASE = np.uint64(0x9E3779B97F4A7C55)  # odd, so that its powers never vanish
 
@@ -186,6 +186,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, per
         "text_key bigint, item_id bigint, item_words bigint, covered bigint, "
         "tiles array<struct<item_word:bigint,doc_word:bigint,words:bigint>>")
     found = written(tiled.where(F.col("covered") * 100 >= F.col("item_words") * percent).where("covered > 0"), "tiling-found")
+    discard(items)
     return hits.select("doc_id", "text_key").join(found, "text_key").select(
         "doc_id", "text_key", "item_id", "item_words", "covered", (F.col("covered") / F.col("item_words")).alias("coverage"), "tiles")
 
