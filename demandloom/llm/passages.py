@@ -6,8 +6,8 @@ about ``2 n / min_tokens`` per function. All subsequences inside a window that c
 every run of ``min_tokens`` tokens that two documents share has a window with the same key in both, for every function.
 
 Windows with equal keys, and equal min-hashes of the tokens to their left or right, form a bucket; each is compared with
-the bucket's first one (the smallest document), so a passage in very many documents costs a row per document. A match
-counts only where windows of at least two functions meet (the interval join), and is then verified on the words
+the bucket's first one (the smallest document), so a passage in very many documents costs a row per document. Windows
+that lie in no passage found that way are then compared with all earlier windows of their buckets. A match counts only where windows of at least two functions meet (the interval join), and is then verified on the words
 themselves: along the shared diagonal, runs of equal tokens are joined while 8 of 9 agree, which is a Jaccard similarity
 of 0.8 of the two passages.
 """
@@ -145,6 +145,39 @@ def _verified(size: int, min_tokens: int):
     return run
 
 
+def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int, meeting: int) -> DataFrame:
+    """Verified stretches of ``matches``: windows of ``doc_id`` and of an earlier document that share a bucket."""
+    around = Window.partitionBy("doc_id").orderBy("place").rangeBetween(1 - min_tokens, min_tokens - 1)
+    distinct_functions = F.size(F.collect_set("function").over(around))
+    met = matches.withColumn("met", distinct_functions).where(F.col("met") >= meeting)
+    spans = met.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
+        F.min("place").alias("low"), F.max("place").alias("high"))
+    # The same margins on both sides keep the two stretches aligned; multiples of 64 let requests coincide.
+    before = F.least(F.col("low") - F.col("shift"), F.col("low"), (F.col("low") - F.col("shift")) % MARGIN + MARGIN)
+    length = F.ceil((F.col("high") - F.col("low") + before + MARGIN + size) / F.lit(MARGIN)) * MARGIN
+    requests = written(spans.select(
+        "doc_id", "first_doc_id", (F.col("low") - before).alias("start"),
+        (F.col("low") - F.col("shift") - before).alias("first_start"), length.cast("bigint").alias("length")), "passage-requests")
+
+    ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
+    maps = texts.sparkSession.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
+    held = written(texts.mapInArrow(_requested_ids(maps), "doc_id bigint, words array<bigint>"), "passage-words")
+
+    def cut(holder: str, start: str) -> DataFrame:
+        wanted = requests.select(F.col(holder).alias("doc_id"), F.col(start).alias("start"), "length").distinct()
+        return wanted.join(held, "doc_id").select(
+            F.col("doc_id").alias(holder), F.col("start").alias(start), "length",
+            F.slice("words", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias(f"{start}_words"))
+
+    both = requests.join(cut("doc_id", "start"), ["doc_id", "start", "length"]).join(
+        cut("first_doc_id", "first_start"), ["first_doc_id", "first_start", "length"])
+    names = "doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "tokens"
+    found = written(both.select("doc_id", "first_doc_id", "start", "first_start", "start_words", "first_start_words").mapInArrow(
+        _verified(size, min_tokens), ", ".join(f"{name} bigint" for name in names)).distinct(), "passage-found")
+    discard(requests, held)
+    return found
+
+
 def repeated_passages(
     docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 4, meeting: int = 2
 ) -> DataFrame:
@@ -156,7 +189,6 @@ def repeated_passages(
     passage; rows without ``doc_id`` take no part, rows of one ``doc_id`` are never compared with each other. Repeated
     rows count once; other columns are ignored.
     """
-    spark = docs.sparkSession
     min_tokens = min_words - size + 1
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null and text is not null")
@@ -173,43 +205,28 @@ def repeated_passages(
         sides.alias("bucket"), "doc_id", place.alias("place"),
         F.shiftright("anchor", 32).bitwiseAND(3).cast("int").alias("function")), "passage-shared")
     discard(windows)
-    heads = sided.groupBy("bucket").agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
-        "head.doc_id < last").select("bucket", "head")
+    heads = written(sided.groupBy("bucket").agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
+        "head.doc_id < last").select("bucket", "head"), "passage-heads")
     matches = sided.join(heads, "bucket").where("doc_id > head.doc_id").select(
         "doc_id", "place", "function", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).distinct()
-    around = Window.partitionBy("doc_id").orderBy("place").rangeBetween(1 - min_tokens, min_tokens - 1)
-    distinct_functions = F.size(F.collect_set("function").over(around))
-    met = matches.withColumn("met", distinct_functions).where(F.col("met") >= meeting)
-    spans = met.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
-        F.min("place").alias("low"), F.max("place").alias("high"))
-    # The same margins on both sides keep the two stretches aligned; multiples of 64 let requests coincide.
-    before = F.least(F.col("low") - F.col("shift"), F.col("low"), (F.col("low") - F.col("shift")) % MARGIN + MARGIN)
-    length = F.ceil((F.col("high") - F.col("low") + before + MARGIN + size) / F.lit(MARGIN)) * MARGIN
-    requests = written(spans.select(
-        "doc_id", "first_doc_id", (F.col("low") - before).alias("start"),
-        (F.col("low") - F.col("shift") - before).alias("first_start"), length.cast("bigint").alias("length")), "passage-requests")
-    discard(sided)
+    first = _compared(texts, matches, size, min_tokens, meeting)
+
+    # A window that no passage found so far covers meets all earlier members of its buckets, not only their heads.
+    known = first.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", (F.col("end_word") - size).alias("last"))).alias("known"))
+    members = sided.join(heads, "bucket").select("bucket", "head", "doc_id", "place", "function")
+    alone = members.where("doc_id > head.doc_id").join(known, "doc_id", "left").where(~F.coalesce(
+        F.exists("known", lambda k: F.col("place").between(k["start_word"], k["last"])), F.lit(False))).drop("known", "head")
+    earlier = members.where("doc_id <> head.doc_id or place <> head.place").select(
+        "bucket", F.col("doc_id").alias("first_doc_id"), F.col("place").alias("first_place"))
+    rest = alone.join(earlier, "bucket").where("first_doc_id < doc_id").drop("bucket").distinct()
+    more = _compared(texts, rest, size, min_tokens, meeting)
+    discard(sided, heads)
 
-    ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
-    maps = spark.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
-    held = written(texts.mapInArrow(_requested_ids(maps), "doc_id bigint, words array<bigint>"), "passage-words")
-
-    def cut(holder: str, start: str) -> DataFrame:
-        wanted = requests.select(F.col(holder).alias("doc_id"), F.col(start).alias("start"), "length").distinct()
-        return wanted.join(held, "doc_id").select(
-            F.col("doc_id").alias(holder), F.col("start").alias(start), "length",
-            F.slice("words", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias(f"{start}_words"))
-
-    both = requests.join(cut("doc_id", "start"), ["doc_id", "start", "length"]).join(
-        cut("first_doc_id", "first_start"), ["first_doc_id", "first_start", "length"])
-    names = "doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "tokens"
-    found = both.select("doc_id", "first_doc_id", "start", "first_start", "start_words", "first_start_words").mapInArrow(
-        _verified(size, min_tokens), ", ".join(f"{name} bigint" for name in names)).distinct()
     # Requests on one diagonal may show the same stretch in pieces; the widest one is kept.
     overlap = Window.partitionBy("doc_id", "first_doc_id", F.col("start_word") - F.col("first_start")).orderBy(
         "start_word", F.desc("end_word"))
     covered = F.max("end_word").over(overlap.rowsBetween(Window.unboundedPreceding, -1))
-    return found.withColumn("covered", covered).where("covered is null or end_word > covered").select(
+    return first.union(more).distinct().withColumn("covered", covered).where("covered is null or end_word > covered").select(
         "doc_id", "start_word", "end_word", "first_doc_id", "first_start",
         (F.col("shared") / (F.col("tokens") * 2 - F.col("shared"))).alias("similarity"))
 

@@ -139,6 +139,28 @@ def test_repeated_passages_hold_every_repeat(docs, texts):
     assert not set(found) & {1, 2, 3, 4, 5, 6, 70, 80}
 
 
+def test_passages_behind_partial_holders_and_along_chains(spark):
+    """The first holder of a bucket has too little of the passage, or is too unlike the document, and hides another."""
+    rng = random.Random(21)
+    out, partial, chains = [], [], []
+    for k in range(12):
+        passage, base = prose(rng, 70), 100 * k
+        for part in range(4):  # 40 words each at most, between other words
+            out.append((base + part, " ".join(prose(rng, 30) + passage[10 * part : 10 * part + 40] + prose(rng, 30))))
+        out += [(base + i, " ".join(prose(rng, 30) + passage + prose(rng, 30))) for i in (10, 11)]
+        partial.append(base + 11)
+        one = prose(rng, 200)
+        two, three = list(one), list(one)
+        for place in range(20, 200, 50):  # 20 of 196 shingles a step; four and eight changes
+            two[place] = three[place] = "changed"
+            three[place + 25 if place < 170 else 195] = "again"
+        out += [(base + 20 + i, " ".join(words)) for i, words in enumerate((one, two, three))]
+        chains.append(base + 22)
+    rows = P.repeated_passages(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in rows if r.doc_id in partial and r.first_doc_id % 100 == 10} == set(partial)
+    assert {r.doc_id for r in rows} >= set(chains)
+
+
 def test_without_repeats_leaves_first_copy(docs, texts):
     kept = P.without_repeats(docs.withColumn("n_chars", F.length("text")))
     assert kept.columns == [*docs.columns, "n_chars"]
