@@ -8,17 +8,19 @@ every run of ``min_tokens`` tokens that two documents share has a window with th
 Windows with equal keys, and equal min-hashes of the tokens to their left or right, form a bucket; each is compared with
 the bucket's first one (the smallest document), so a passage in very many documents costs a row per document. Windows
 that lie in no passage found that way are then compared with all earlier windows of their buckets. A match counts only where windows of at least two functions meet (the interval join), and is then verified on the words
-themselves: along the shared diagonal, runs of equal tokens are joined while 8 of 9 agree, which is a Jaccard similarity
-of 0.8 of the two passages.
+themselves: runs of equal shingles on the matched and the neighbouring diagonals are joined, so words may be changed, put
+in or left out, and the Jaccard similarity of the shingles of the two stretches is 0.8 or more.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +30,7 @@ from demandloom.llm.storage import discard, in_membership, membership, written
 SIDE = 23  # tokens whose min-hash tells contexts apart: half a shortest window
 PLACE_BITS = 28  # places of a text; longer texts fail rather than lose windows
 MARGIN = 64  # tokens around the outermost matched places: an anchor lies in each run of min_tokens
+BAND = 8  # words put in or left out between two runs of one passage, and around the shifts at which windows meet
 SEEDS = tuple(int(W.mixed(np.array([k + 1], np.uint64))[0]) for k in range(16))
 
 
@@ -110,35 +113,88 @@ def _requested_ids(maps):
     return run
 
 
-def alike(one: np.ndarray, two: np.ndarray, size: int, min_tokens: int) -> list[tuple[int, int, int]]:
-    """``(first token, end, equal tokens)`` of the stretches of aligned word hashes that agree in 8 of 9 tokens."""
-    places = min(len(one), len(two)) - size + 1
-    if places < min_tokens:
+def _diagonals(one: np.ndarray, two: np.ndarray, low: int, high: int) -> list[tuple[int, int, int]]:
+    """``(start in one, start in two, length)`` of the runs of equal tokens whose shift, place less place, is in the range."""
+    ends = np.zeros(1, bool)
+    runs = []
+    for shift in range(max(low, 1 - len(two)), min(high, len(one) - 1) + 1):
+        begin, other = max(shift, 0), max(-shift, 0)
+        count = min(len(one) - begin, len(two) - other)
+        equal = one[begin : begin + count] == two[other : other + count]
+        edges = np.flatnonzero(np.diff(np.concatenate((ends, equal, ends)).view(np.int8)))
+        runs += [(begin + x, other + x, y - x) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist())]
+    return runs
+
+
+def _in_order(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Runs that advance in both texts, longest first; others keep what does not overlap them."""
+    taken: list[tuple[int, int, int]] = []
+    for x, y, n in sorted(runs, key=lambda run: (-run[2], run[0], run[1])):
+        at = bisect_left(taken, (x, y, n))
+        if at:
+            before = taken[at - 1]
+            cut = max(0, before[0] + before[2] - x, before[1] + before[2] - y)
+            x, y, n = x + cut, y + cut, n - cut
+        if at < len(taken):
+            n = min(n, taken[at][0] - x, taken[at][1] - y)
+        if n > 0:
+            taken.insert(at, (x, y, n))
+    return taken
+
+
+def alike(
+    one: np.ndarray, two: np.ndarray, size: int, min_tokens: int, shifts: tuple[int, int] = (-BAND, BAND)
+) -> list[tuple[int, int, int, int, int, int]]:
+    """``(start, end, start and end in two, shared, all)`` of stretches whose shingle sets are 0.8 or more similar.
+
+    ``one`` and ``two`` are word hashes, places count shingles. Runs of equal shingles on all diagonals of the range are
+    put in order; neighbours join while the shared shingles would be 0.8 of all if none repeated. The measure itself is
+    then taken on the sets of distinct shingles; a joined stretch below it is undone step by step.
+    """
+    first = W.shingle_hashes(one.view(np.uint64), size)
+    second = W.shingle_hashes(two.view(np.uint64), size)
+    if min(len(first), len(second)) < min_tokens:
         return []
-    same = one[: places + size - 1] == two[: places + size - 1]
-    upto = np.concatenate(([0], np.cumsum(same)))
-    equal = (upto[size:] - upto[:-size] == size).astype(np.int8)
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], equal, [0]))))
-    found: list[list[int]] = []
-    for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
-        run = [start, end, end - start]
-        while found and 9 * (found[-1][2] + run[2]) >= 8 * (run[1] - found[-1][0]):
+    found: list[tuple] = []
+    for x, y, n in _in_order(_diagonals(first, second, *shifts)):
+        run = (x, x + n, y, y + n, n, ())
+        while found and 9 * (found[-1][4] + run[4]) >= 4 * (run[1] - found[-1][0] + run[3] - found[-1][2]):
             before = found.pop()
-            run = [before[0], run[1], before[2] + run[2]]
+            run = (before[0], run[1], before[2], run[3], before[4] + run[4], (before, run))
         found.append(run)
-    return [tuple(run) for run in found if run[1] - run[0] >= min_tokens]
+    passages = []
+    while found:
+        start, end, other, last, _, parts = found.pop()
+        if min(end - start, last - other) < min_tokens:
+            continue
+        here, there = np.unique(first[start:end]), np.unique(second[other:last])
+        shared = len(np.intersect1d(here, there, assume_unique=True))
+        union = len(here) + len(there) - shared
+        if 5 * shared >= 4 * union:
+            passages.append((start, end, other, last, shared, union))
+        else:
+            found.extend(parts)
+    return sorted(passages)
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """An Arrow column of lists as numpy arrays, without Python integers."""
+    flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1])
 
 
 def _verified(size: int, min_tokens: int):
-    names = ("doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "tokens")
+    names = ("doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "union")
     schema = pa.schema([(name, pa.int64()) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
             rows = []
-            for doc, first, start, other, one, two in zip(*[batch.column(i).to_pylist() for i in range(6)]):
-                for begin, end, shared in alike(np.array(one, np.int64), np.array(two, np.int64), size, min_tokens):
-                    rows.append((doc, start + begin, start + end + size - 1, first, other + begin, shared, end - begin))
+            given = [batch.column(i).to_pylist() for i in range(6)] + [_lists(batch.column(i)) for i in (6, 7)]
+            for doc, first, start, other, low, high, one, two in zip(*given):
+                shifts = low - start + other - BAND, high - start + other + BAND
+                for begin, end, there, _, shared, union in alike(one, two, size, min_tokens, shifts):
+                    rows.append((doc, start + begin, start + end + size - 1, first, other + there, shared, union))
             columns = list(zip(*rows)) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], schema=schema)
 
@@ -152,27 +208,41 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int,
     met = matches.withColumn("met", distinct_functions).where(F.col("met") >= meeting)
     spans = met.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
         F.min("place").alias("low"), F.max("place").alias("high"))
-    # The same margins on both sides keep the two stretches aligned; multiples of 64 let requests coincide.
-    before = F.least(F.col("low") - F.col("shift"), F.col("low"), (F.col("low") - F.col("shift")) % MARGIN + MARGIN)
-    length = F.ceil((F.col("high") - F.col("low") + before + MARGIN + size) / F.lit(MARGIN)) * MARGIN
-    requests = written(spans.select(
-        "doc_id", "first_doc_id", (F.col("low") - before).alias("start"),
-        (F.col("low") - F.col("shift") - before).alias("first_start"), length.cast("bigint").alias("length")), "passage-requests")
+    # Spans of neighbouring shifts that lie near each other are one request: words may be put in or left out between them.
+    # Sorted by shift, places rise where words were put in and fall where they were left out.
+    pair = Window.partitionBy("doc_id", "first_doc_id").orderBy("shift", "low")
+    apart = (F.col("shift") - F.lag("shift").over(pair) > BAND) | (F.col("low") - F.lag("high").over(pair) > 2 * MARGIN) | (
+        F.lag("low").over(pair) - F.col("high") > 2 * MARGIN)
+    islands = spans.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("island", F.sum("apart").over(pair)).groupBy(
+        "doc_id", "first_doc_id", "island").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.min(F.col("low") - F.col("shift")).alias("first_low"),
+        F.max(F.col("high") - F.col("shift")).alias("first_high"), F.min("shift").alias("shift"), F.max("shift").alias("last_shift"))
+
+    def start_of(low: str) -> Column:  # multiples of 64 let requests coincide
+        return F.greatest(F.lit(0), F.floor((F.col(low) - MARGIN) / F.lit(MARGIN)) * MARGIN).cast("bigint")
+
+    def length_of(low: str, high: str) -> Column:
+        return (F.ceil((F.col(high) + MARGIN + size) / F.lit(MARGIN)) * MARGIN - start_of(low)).cast("bigint")
+
+    requests = written(islands.select(
+        "doc_id", "first_doc_id", "shift", "last_shift", start_of("low").alias("start"), length_of("low", "high").alias("length"),
+        start_of("first_low").alias("first_start"), length_of("first_low", "first_high").alias("first_length")), "passage-requests")
 
     ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
     maps = texts.sparkSession.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
     held = written(texts.mapInArrow(_requested_ids(maps), "doc_id bigint, words array<bigint>"), "passage-words")
 
-    def cut(holder: str, start: str) -> DataFrame:
-        wanted = requests.select(F.col(holder).alias("doc_id"), F.col(start).alias("start"), "length").distinct()
+    def cut(holder: str, start: str, length: str) -> DataFrame:
+        wanted = requests.select(F.col(holder).alias("doc_id"), F.col(start).alias("start"), F.col(length).alias("length")).distinct()
         return wanted.join(held, "doc_id").select(
-            F.col("doc_id").alias(holder), F.col("start").alias(start), "length",
+            F.col("doc_id").alias(holder), F.col("start").alias(start), F.col("length").alias(length),
             F.slice("words", (F.col("start") + 1).cast("int"), F.col("length").cast("int")).alias(f"{start}_words"))
 
-    both = requests.join(cut("doc_id", "start"), ["doc_id", "start", "length"]).join(
-        cut("first_doc_id", "first_start"), ["first_doc_id", "first_start", "length"])
-    names = "doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "tokens"
-    found = written(both.select("doc_id", "first_doc_id", "start", "first_start", "start_words", "first_start_words").mapInArrow(
+    both = requests.join(cut("doc_id", "start", "length"), ["doc_id", "start", "length"]).join(
+        cut("first_doc_id", "first_start", "first_length"), ["first_doc_id", "first_start", "first_length"])
+    names = "doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "union"
+    found = written(both.select(
+        "doc_id", "first_doc_id", "start", "first_start", "shift", "last_shift", "start_words", "first_start_words").mapInArrow(
         _verified(size, min_tokens), ", ".join(f"{name} bigint" for name in names)).distinct(), "passage-found")
     discard(requests, held)
     return found
@@ -228,7 +298,7 @@ def repeated_passages(
     covered = F.max("end_word").over(overlap.rowsBetween(Window.unboundedPreceding, -1))
     return first.union(more).distinct().withColumn("covered", covered).where("covered is null or end_word > covered").select(
         "doc_id", "start_word", "end_word", "first_doc_id", "first_start",
-        (F.col("shared") / (F.col("tokens") * 2 - F.col("shared"))).alias("similarity"))
+        (F.col("shared") / F.col("union")).alias("similarity"))
 
 
 def _cut(spans_at: int, text_at: int):

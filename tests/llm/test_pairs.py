@@ -161,6 +161,36 @@ def test_passages_behind_partial_holders_and_along_chains(spark):
     assert {r.doc_id for r in rows} >= set(chains)
 
 
+def test_passages_with_words_put_in_or_left_out(spark):
+    """Neither part has 46 shingles of its own; the Jaccard similarity of the whole is 0.86 or more."""
+    rng = random.Random(8)
+    out, edits = [], {"in": lambda w: w[:40] + ["new"] + w[40:], "out": lambda w: w[:40] + w[41:], "two": lambda w: w[:40] + ["new", "er"] + w[40:]}
+    for k in range(30):
+        passage, edit = prose(rng, 80), list(edits.values())[k % 3]
+        out += [(10 * k, " ".join(prose(rng, 30) + passage + prose(rng, 30))), (10 * k + 1, " ".join(prose(rng, 45) + edit(passage) + prose(rng, 9)))]
+    texts = {i: t.encode().split() for i, t in out}
+    rows = P.repeated_passages(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    found = {r.doc_id: r for r in rows}
+    assert set(found) == {10 * k + 1 for k in range(30)} and len(rows) == 30
+    for i, r in found.items():
+        one = shingles(b" ".join(texts[i][r.start_word : r.end_word]).decode(), 5)
+        whole = shingles(b" ".join(texts[r.first_doc_id]).decode(), 5)
+        assert 79 <= r.end_word - r.start_word <= 82 and r.first_start == 30
+        assert r.similarity == pytest.approx(len(one & whole) / (len(one) + 76 - len(one & whole)))
+
+
+def test_similarity_is_that_of_the_shingle_sets():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        one = rng.integers(1, 40, 120)
+        two = one.copy()
+        two[rng.integers(0, 120, rng.integers(0, 5))] = 99
+        two = np.insert(two, rng.integers(0, 120, rng.integers(0, 4)), 77)
+        for start, end, other, last, shared, union in P.alike(one, two, 5, 46):
+            here, there = ({tuple(w[k : k + 5]) for k in range(x, y)} for w, x, y in ((one.tolist(), start, end), (two.tolist(), other, last)))
+            assert (shared, union) == (len(here & there), len(here | there)) and shared >= 0.8 * union and end - start >= 46
+
+
 def test_without_repeats_leaves_first_copy(docs, texts):
     kept = P.without_repeats(docs.withColumn("n_chars", F.length("text")))
     assert kept.columns == [*docs.columns, "n_chars"]
