@@ -7,8 +7,8 @@ every run of ``min_tokens`` tokens that two documents share has a window with th
 
 Windows with equal keys, and equal min-hashes of the tokens to their left or right, form a bucket; each is compared with
 the bucket's first one (the smallest document), so a passage in very many documents costs a row per document. Windows
-that lie in no passage found that way are then compared with all earlier windows of their buckets. A match counts only where windows of at least two functions meet (the interval join), and is then verified on the words
-themselves: runs of equal shingles on the matched and the neighbouring diagonals are joined, so words may be changed, put
+that lie in no passage found that way are then compared with all earlier windows of their buckets. Each match, be it of
+one function, is verified on the words themselves: runs of equal shingles on the matched and the neighbouring diagonals are joined, so words may be changed, put
 in or left out, and the Jaccard similarity of the shingles of the two stretches is 0.8 or more.
 """
 
@@ -31,7 +31,7 @@ SIDE = 23  # tokens whose min-hash tells contexts apart: half a shortest window
 PLACE_BITS = 28  # places of a text; longer texts fail rather than lose windows
 MARGIN = 64  # tokens around the outermost matched places: an anchor lies in each run of min_tokens
 BAND = 8  # words put in or left out between two runs of one passage, and around the shifts at which windows meet
-SEEDS = tuple(int(W.mixed(np.array([k + 1], np.uint64))[0]) for k in range(16))
+SEEDS = tuple(int(W.mixed(np.array([k + 1], np.uint64))[0]) for k in range(32))
 
 
 def window_centres(order: np.ndarray, least: int) -> list[int]:
@@ -58,22 +58,22 @@ def _side_minima(hashes: np.ndarray) -> np.ndarray:
 
 
 def compact_windows(tokens: np.ndarray, functions: int, min_tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and anchors of the windows; an anchor packs place, function and 16 bits of either side's min-hash."""
+    """Keys and anchors of the windows; an anchor packs place and 16 bits of either side's min-hash."""
     if len(tokens) < min_tokens:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     if len(tokens) >> PLACE_BITS:
         raise ValueError(f"a text has more than 2**{PLACE_BITS} words")
     spread = W.mixed(np.arange(len(tokens), dtype=np.uint64)) & np.uint64(0xFFFF)
-    minima = _side_minima(W.mixed(tokens ^ np.uint64(SEEDS[-1])))
     keys, anchors = [], []
     for f in range(functions):
         hashes = W.mixed(tokens ^ np.uint64(SEEDS[f]))
         order = (hashes & ~np.uint64(0xFFFF)) | spread  # equal tokens are told apart by place, so trees stay shallow
         centres = np.array(window_centres(order, min_tokens), np.int64)
+        minima = _side_minima(W.mixed(tokens ^ np.uint64(SEEDS[-1 - f])))  # by function: one unlucky side is not that of all
         right = minima[centres] >> np.uint64(48)
         left = minima[np.maximum(centres - SIDE + 1, 0)] >> np.uint64(48)
         keys.append(hashes[centres])
-        anchors.append((centres << 34) | (f << 32) | (left.astype(np.int64) << 16) | right.astype(np.int64))
+        anchors.append((centres << 32) | (left.astype(np.int64) << 16) | right.astype(np.int64))
     return W.signed(np.concatenate(keys)), np.concatenate(anchors)
 
 
@@ -201,12 +201,9 @@ def _verified(size: int, min_tokens: int):
     return run
 
 
-def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int, meeting: int) -> DataFrame:
+def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int) -> DataFrame:
     """Verified stretches of ``matches``: windows of ``doc_id`` and of an earlier document that share a bucket."""
-    around = Window.partitionBy("doc_id").orderBy("place").rangeBetween(1 - min_tokens, min_tokens - 1)
-    distinct_functions = F.size(F.collect_set("function").over(around))
-    met = matches.withColumn("met", distinct_functions).where(F.col("met") >= meeting)
-    spans = met.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
+    spans = matches.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
         F.min("place").alias("low"), F.max("place").alias("high"))
     # Spans of neighbouring shifts that lie near each other are one request: words may be put in or left out between them.
     # Sorted by shift, places rise where words were put in and fall where they were left out.
@@ -248,9 +245,7 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int,
     return found
 
 
-def repeated_passages(
-    docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 4, meeting: int = 2
-) -> DataFrame:
+def repeated_passages(docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 6) -> DataFrame:
     """``doc_id, start_word, end_word, first_doc_id, first_start, similarity``: passages that an earlier document holds.
 
     A row says that the words ``start_word`` to before ``end_word`` of a document repeat those from ``first_start`` in the
@@ -267,29 +262,28 @@ def repeated_passages(
     rows = windows.select("doc_id", F.explode(F.arrays_zip("keys", "anchors")).alias("w")).select(
         F.col("w.keys").alias("key"), "doc_id", F.col("w.anchors").alias("anchor"))
     shared = rows.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("key")
-    place = F.shiftright("anchor", 34)
+    place = F.shiftright("anchor", 32)
     sides = F.explode(F.array(
         F.xxhash64("key", F.lit(0), F.col("anchor").bitwiseAND(0xFFFF)),
         F.xxhash64("key", F.lit(1), F.shiftright("anchor", 16).bitwiseAND(0xFFFF))))
     sided = written(rows.join(shared, "key").select(
-        sides.alias("bucket"), "doc_id", place.alias("place"),
-        F.shiftright("anchor", 32).bitwiseAND(3).cast("int").alias("function")), "passage-shared")
+        sides.alias("bucket"), "doc_id", place.alias("place")), "passage-shared")
     discard(windows)
     heads = written(sided.groupBy("bucket").agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
         "head.doc_id < last").select("bucket", "head"), "passage-heads")
     matches = sided.join(heads, "bucket").where("doc_id > head.doc_id").select(
-        "doc_id", "place", "function", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).distinct()
-    first = _compared(texts, matches, size, min_tokens, meeting)
+        "doc_id", "place", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).distinct()
+    first = _compared(texts, matches, size, min_tokens)
 
     # A window that no passage found so far covers meets all earlier members of its buckets, not only their heads.
     known = first.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", (F.col("end_word") - size).alias("last"))).alias("known"))
-    members = sided.join(heads, "bucket").select("bucket", "head", "doc_id", "place", "function")
+    members = sided.join(heads, "bucket").select("bucket", "head", "doc_id", "place")
     alone = members.where("doc_id > head.doc_id").join(known, "doc_id", "left").where(~F.coalesce(
         F.exists("known", lambda k: F.col("place").between(k["start_word"], k["last"])), F.lit(False))).drop("known", "head")
     earlier = members.where("doc_id <> head.doc_id or place <> head.place").select(
         "bucket", F.col("doc_id").alias("first_doc_id"), F.col("place").alias("first_place"))
     rest = alone.join(earlier, "bucket").where("first_doc_id < doc_id").drop("bucket").distinct()
-    more = _compared(texts, rest, size, min_tokens, meeting)
+    more = _compared(texts, rest, size, min_tokens)
     discard(sided, heads)
 
     # Requests on one diagonal may show the same stretch in pieces; the widest one is kept.

@@ -191,6 +191,17 @@ def test_similarity_is_that_of_the_shingle_sets():
             assert (shared, union) == (len(here & there), len(here | there)) and shared >= 0.8 * union and end - start >= 46
 
 
+def test_shortest_near_passages_are_found(spark):
+    """50 words, the middle one replaced: 41 of 51 shingles are shared, just above 0.8."""
+    rng, out = random.Random(50), []
+    for k in range(200):
+        passage = prose(rng, 50)
+        other = passage[:25] + ["replaced"] + passage[26:]
+        out += [(2 * k, " ".join(prose(rng, 60) + passage + prose(rng, 60))), (2 * k + 1, " ".join(prose(rng, 80) + other + prose(rng, 40)))]
+    rows = P.repeated_passages(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    assert len({r.doc_id for r in rows}) >= 190 and all(r.first_doc_id == r.doc_id - 1 for r in rows)
+
+
 def test_without_repeats_leaves_first_copy(docs, texts):
     kept = P.without_repeats(docs.withColumn("n_chars", F.length("text")))
     assert kept.columns == [*docs.columns, "n_chars"]
