@@ -87,6 +87,22 @@ def test_license_scan(spark):
     assert licenses.rule_count() > 200
 
 
+RULE_NAMES = ["Apache 2.0", "MIT", "CC0 1.0", "GPL v3", "public domain", "PostgreSQL"]
+RULE_TEXTS = [text.format(name) for name in RULE_NAMES for text in (
+    "SPDX-License-Identifier: {}", "is licensed under the {}", "Released under {}.", "published in the {}", "available under {}", "placed into {}",
+    "provided under {}", "distributed under {}", "under the terms of the {}", "License: {}", "{} licence")] + [
+    "copyright 2020", "(c) 2020", "without warranty", "Permission is hereby granted, free of charge, to all", "proprietary and confidential",
+    "Redistribution and use in source and binary forms", "for non-commercial use only"]
+
+
+def test_license_prefilter_drops_no_rule(spark):
+    docs = spark.createDataFrame(list(enumerate(RULE_TEXTS)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
+    assert found == {r.doc_id: r for r in licenses.license_scan(docs, prefilter=False).collect()}
+    by = {text: found[k].labels for k, text in enumerate(RULE_TEXTS)}
+    assert all(by.values()) and by["Released under Apache 2.0."] == "apache-2.0" and by["for non-commercial use only"] == "non-commercial"
+
+
 def test_license_scan_of_given_documents(spark):
     docs = queries.table(spark, SF, "documents")
     texts = dict(docs.select("doc_id", "text").collect())
