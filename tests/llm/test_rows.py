@@ -103,6 +103,27 @@ def test_license_prefilter_drops_no_rule(spark):
     assert all(by.values()) and by["Released under Apache 2.0."] == "apache-2.0" and by["for non-commercial use only"] == "non-commercial"
 
 
+SPDX_IDS = {
+    "Apache-2.0": "apache-2.0", "MIT": "mit", "BSD-3-Clause": "bsd-3-clause", "BSD-2-Clause": "bsd-2-clause", "GPL-2.0-only": "gpl-2.0",
+    "GPL-3.0-or-later": "gpl-3.0", "LGPL-2.1-only": "lgpl-2.1", "AGPL-3.0-only": "agpl-3.0", "MPL-2.0": "mpl-2.0", "EPL-2.0": "epl-2.0",
+    "CDDL-1.0": "cddl-1.0", "BSL-1.0": "boost", "CC0-1.0": "cc0-1.0", "CC-BY-NC-4.0": "cc-by-nc", "CC-BY-SA-4.0": "cc-by-sa",
+    "CC-BY-NC-ND-4.0": "cc-by-nc-nd", "CC-BY-NC-SA-4.0": "cc-by-nc-sa", "CC-BY-ND-4.0": "cc-by-nd", "OFL-1.1": "ofl-1.1", "EUPL-1.2": "eupl-1.2",
+    "MS-PL": "ms-pl", "ISC": "isc", "Zlib": "zlib", "Unlicense": "unlicense", "Artistic-2.0": "artistic-2.0", "ODbL-1.0": "odbl"}
+WRAPPED = {
+    "Licensed under the\nApache License, Version 2.0": ("apache-2.0", 0.95), "released under the\n# MIT license": ("mit", 0.9),
+    " * Licensed  under the   *\n * Apache License,   *\n * Version 2.0": ("apache-2.0", 0.95), "// for\n// non-commercial\n// use only": ("non-commercial", 0.6),
+    "/* Permission is hereby granted, free of charge, to any person\n * obtaining a copy of this software and associated\n * documentation files": ("mit", 0.95)}
+
+
+def test_license_ids_and_wrapped_notices(spark):
+    cases = [(f"SPDX-License-Identifier: {name}", label, 1.0) for name, label in SPDX_IDS.items()]
+    cases += [(f"License: {name}", label, 0.85) for name, label in SPDX_IDS.items()] + [(text, *both) for text, both in WRAPPED.items()]
+    docs = spark.createDataFrame([(k, text) for k, (text, _, _) in enumerate(cases)], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.license_scan(docs).collect()}
+    got = [(text, [x for x in found[k].labels.split(",") if x != "cc-by" or label == "cc-by"], found[k].score) for k, (text, label, _) in enumerate(cases)]
+    assert got == [(text, [label], score) for text, label, score in cases]
+
+
 def test_license_scan_of_given_documents(spark):
     docs = queries.table(spark, SF, "documents")
     texts = dict(docs.select("doc_id", "text").collect())
