@@ -1,118 +1,146 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models with one vocabulary of hashed words and one smoothing are counted over all documents: the target model
-over the documents of the target set, the background model over every document. A document's score is its loss per token
-under the target model less that under the background model; low scores read like the target.
+Two bigram models with one vocabulary and one smoothing are counted over all documents: the target model over the
+documents of the target set, the background model over every document. A document's score is its loss per token under the
+target model less that under the background model; low scores read like the target.
 
-Counts live in tables of a fixed number of slots, so a model has one size whatever the corpus. Each task adds its rows into
-its own tables and hands them on in compressed chunks; chunks of one place are added as they stream by. The more the
-corpus grows, the more tasks send tables: what is moved follows the input, what is kept does not.
+The vocabulary of both models is every distinct word of all documents, by 64-bit hash, so the models grow with the corpus.
+Tasks add up their pairs of words first; the counts are tables, each pair's two losses are joined to it once, and the
+distinct pairs of a text are joined to those. The driver receives five numbers.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import words as W
-from demandloom.llm.storage import written
+from demandloom.llm.storage import discard, written
 
-WORD_BITS, PAIR_BITS, CHUNK_BITS = 18, 20, 14
-TABLES = ("target_words", "target_pairs", "all_words", "all_pairs")
-SCHEMA = pa.schema([("name", pa.string()), ("chunk", pa.int32()), ("counts", pa.binary())])
+START = 0  # stands before the first word; no word's hash but with a chance of 2**-64
+HELD = 1 << 20  # words a task holds before it adds them up
+STRENGTH = 8.0  # weight of the word model within a pair's probability
 
 
 def slots(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """Word slots of a text, and the slots of its words with the word before (from the second word on)."""
-    hashes = W.word_hashes(W.split_words(text))
-    pairs = W.shingle_hashes(hashes, 2)
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64), (pairs >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    """Hashes of a text's words, and of each word (from the second on) the word before and itself."""
+    hashes = W.signed(W.word_hashes(W.split_words(text)))
+    return hashes, np.stack((hashes[:-1], hashes[1:]), 1)
 
 
-def _bits(name: str) -> int:
-    return WORD_BITS if name.endswith("words") else PAIR_BITS
+def _begun(hashes: np.ndarray) -> np.ndarray:
+    return np.concatenate((np.full(min(len(hashes), 1), START, np.int64), hashes[:-1]))
 
 
-def _row(name: str, chunk: int, counts: np.ndarray) -> tuple[str, int, bytes]:
-    return name, chunk, zlib.compress(counts.astype(np.int64).tobytes(), 1)
+def _added(before: np.ndarray, words: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs and the sums of their weights, a column each."""
+    with np.errstate(over="ignore"):
+        keys = W.mixed(W.mixed(before.view(np.uint64) + W.MIX[1]) * W.MIX[0] + words.view(np.uint64))
+    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    sums = np.stack([np.bincount(which, column, len(first)).astype(np.int64) for column in weights])
+    return before[first], words[first], sums
 
 
-def _batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*rows), SCHEMA)], schema=SCHEMA)
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["before", "word", "whole", "target"]
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    size = 0
 
+    def flushed() -> pa.RecordBatch:
+        before, words, sums = _added(*[np.concatenate([part[k] for part in held], axis=-1) for k in range(3)])
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in (before, words, *sums)], names=names)
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables = {name: np.zeros(1 << _bits(name), np.int64) for name in TABLES}
     for batch in W.slices(batches):
-        chosen = np.array(batch.column(0).to_pylist(), bool)
-        parts = [slots(text) for text in W.column_bytes(batch, "text")]
-        for which, name in ((chosen, "target"), (np.ones(len(parts), bool), "all")):
-            for k, kind in enumerate(("words", "pairs")):
-                found = [p[k] for p, take in zip(parts, which) if take]
-                if found:
-                    table = tables[f"{name}_{kind}"]
-                    table += np.bincount(np.concatenate(found), minlength=len(table))
-    for name, table in tables.items():
-        blocks = table.reshape(-1, 1 << CHUNK_BITS)
-        rows = [_row(name, k, blocks[k]) for k in np.flatnonzero(blocks.any(1)).tolist()]
-        if rows:
-            yield _batch(rows)
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the chunks of each place; rows arrive sorted by place."""
-    place, total = None, None
-    for batch in batches:
-        for name, chunk, data in zip(*[column.to_pylist() for column in batch.columns]):
-            counts = np.frombuffer(zlib.decompress(data), np.int64)
-            if place == (name, chunk):
-                total = total + counts
-                continue
-            if place is not None:
-                yield _batch([_row(*place, total)])
-            place, total = (name, chunk), counts
-    if place is not None:
-        yield _batch([_row(*place, total)])
+        for chosen, text in zip(batch.column(0).to_pylist(), W.column_bytes(batch, "text")):
+            hashes = slots(text)[0]
+            held.append((_begun(hashes), hashes, np.stack((np.ones(len(hashes)), np.full(len(hashes), float(chosen))))))
+            size += len(hashes)
+            if size >= HELD:
+                yield flushed()
+                held, size = [], 0
+    if size:
+        yield flushed()
+
+
+def _own_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in W.slices(batches, 64):
+        parts, seen = [], set()
+        for key, text in zip(batch.column(0).to_pylist(), W.column_bytes(batch, "text")):
+            hashes = slots(text)[0]
+            if len(hashes) and key not in seen:
+                seen.add(key)
+                before, words, sums = _added(_begun(hashes), hashes, np.ones((1, len(hashes))))
+                parts.append((np.full(len(words), key, np.int64), before, words, sums[0]))
+        if parts:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(column)) for column in zip(*parts)], names=["key", "before", "word", "n"])
+
+
+@dataclass
+class CountTable:
+    """One column of counts; looked up by a word's hash, or the hashes of two words."""
+
+    rows: DataFrame
+    keys: tuple[str, ...]
+    column: str
+
+    def sum(self) -> int:
+        return self.rows.agg(F.sum(self.column)).first()[0] or 0
+
+    def __len__(self) -> int:
+        return self.rows.count()
+
+    def __getitem__(self, key) -> int:
+        found = self.rows
+        for name, value in zip(self.keys, np.atleast_1d(key)):
+            found = found.where(F.col(name) == int(value))
+        return found.agg(F.sum(self.column)).first()[0] or 0
 
 
 @dataclass
 class BigramPair:
-    """Counts of both models; ``strength`` is the weight of the word model within a pair's probability."""
+    """Counts of both models: ``before, word, whole, target`` and ``word, whole, target``, all words in both."""
 
-    tables: dict[str, np.ndarray]
-    strength: float = 8.0
+    pairs: DataFrame
+    words: DataFrame
 
-    def losses(self, words: np.ndarray, pairs: np.ndarray, name: str) -> float:
-        """Mean negative log probability per token; the first token has no word before it."""
-        counts, twos = self.tables[f"{name}_words"], self.tables[f"{name}_pairs"]
-        single = (counts[words] + 0.5) / (counts.sum(dtype=np.float64) + 0.5 * len(counts))
-        both = single.copy()
-        both[1:] = (twos[pairs] + self.strength * single[1:]) / (counts[words[:-1]] + self.strength)
-        return float(-np.log(np.minimum(both, 1.0)).mean())
+    @property
+    def tables(self) -> dict[str, CountTable]:
+        inner = self.pairs.where(F.col("before") != START)
+        return {
+            "target_words": CountTable(self.words, ("word",), "target"), "all_words": CountTable(self.words, ("word",), "whole"),
+            "target_pairs": CountTable(inner, ("before", "word"), "target"), "all_pairs": CountTable(inner, ("before", "word"), "whole"),
+        }
 
+    def losses(self) -> DataFrame:
+        """``before, word, target_loss, whole_loss``: negative log probabilities of all pairs."""
+        size, target, whole = self.words.agg(F.count("*"), F.sum("target"), F.sum("whole")).first()
+        totals = {"target": target or 0, "whole": whole or 0}
+        ahead = self.words.select(F.col("word").alias("before"), *[F.col(k).alias(f"{k}_before") for k in totals])
+        own = self.words.select("word", *[F.col(k).alias(f"{k}_word") for k in totals])
 
-def train_pair(docs: DataFrame, target: DataFrame) -> BigramPair:
-    """Counts over every row of ``docs``; ``target`` lists the ``doc_id`` of the target set.
+        def loss(k: str) -> Column:
+            single = (F.col(f"{k}_word") + 0.5) / F.lit(totals[k] + 0.5 * size)
+            both = (F.col(k) + STRENGTH * single) / (F.col(f"{k}_before") + STRENGTH)
+            return (-F.log(F.when(F.col("before") == START, single).otherwise(both))).alias(f"{k}_loss")
 
-    The driver receives the summed tables: ``2 * (2**18 + 2**20)`` counts, whatever the corpus.
-    """
+        return self.pairs.join(own, "word").join(ahead, "before", "left").select("before", "word", *map(loss, totals))
+
+
+def train_pair(docs: DataFrame, target: DataFrame) -> BigramPair:
+    """Counts over every row of ``docs``; ``target`` lists the ``doc_id`` of the target set."""
     chosen = target.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct().withColumn("chosen", F.lit(True))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     flagged = texts.join(chosen, "doc_id", "left").select(F.coalesce("chosen", F.lit(False)).alias("chosen"), "text")
-    kinds = "name string, chunk int, counts binary"
-    parts = flagged.mapInArrow(_counted, kinds)
-    sums = written(parts.repartition("name", "chunk").sortWithinPartitions("name", "chunk").mapInArrow(_added, kinds), "language-model")
-    tables = {name: np.zeros(1 << _bits(name), np.float32) for name in TABLES}
-    for row in sums.collect():
-        start = row["chunk"] << CHUNK_BITS
-        tables[row["name"]][start : start + (1 << CHUNK_BITS)] = np.frombuffer(zlib.decompress(bytes(row["counts"])), np.int64)
-    return BigramPair(tables)
+    parts = flagged.mapInArrow(_counted, "before bigint, word bigint, whole bigint, target bigint")
+    sums = [F.sum(name).alias(name) for name in ("whole", "target")]
+    pairs = written(parts.groupBy("before", "word").agg(*sums), "language-pairs")
+    return BigramPair(pairs, written(pairs.groupBy("word").agg(*sums), "language-words"))
 
 
 def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -120,21 +148,23 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     Losses are nats per word; ``score`` is the target's less the background's. Texts without words have no losses and no
     score (null). A row without ``doc_id`` belongs to the background only. Repeated rows count and are scored each; other
-    columns are ignored. An empty target leaves a uniform model in its place.
+    columns are ignored. An empty target leaves a uniform model in its place. Equal texts are scored together, named by a
+    64-bit hash.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train_pair(docs, target))
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = model.value
-        for batch in W.slices(batches):
-            parts = [slots(text) for text in W.column_bytes(batch, "text")]
-            losses = [[pair.losses(*part, name) if len(part[0]) else None for part in parts] for name in ("target", "all")]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(words) for words, _ in parts], pa.int64()), pa.array(losses[0], pa.float64()),
-                pa.array(losses[1], pa.float64())], schema=schema)
-
+    model = train_pair(docs, target)
+    losses = written(model.losses(), "language-losses")
+    discard(model.pairs, model.words)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(run, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double")
-    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    named = texts.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").isNotNull().alias("given"), "text")
+    own = named.where("given").select("key", "text").mapInArrow(_own_pairs, "key bigint, before bigint, word bigint, n bigint")
+    # A text met more than once adds up so often: each time it has one first word.
+    times = F.sum(F.when(F.col("before") == START, F.col("n")).otherwise(0))
+    scored = own.join(losses, ["before", "word"]).groupBy("key").agg(
+        (F.sum("n") / times).cast("bigint").alias("n_tokens"), *[
+            (F.sum(F.col("n") * F.col(f"{k}_loss")) / F.sum("n")).alias(name) for k, name in (("target", "target_loss"), ("whole", "background_loss"))])
+    scored = written(scored, "language-scores")
+    discard(losses)
+    rows = named.select("doc_id", "key").join(scored, "key", "left")
+    return rows.select(
+        "doc_id", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"), "target_loss", "background_loss",
+        (F.col("target_loss") - F.col("background_loss")).alias("score"))

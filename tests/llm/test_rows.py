@@ -189,6 +189,24 @@ def test_cross_entropy_counts_everything(spark):
     assert found[2, 3].background_loss == pytest.approx(-sum(map(math.log, chances)) / 3)
 
 
+def test_cross_entropy_model_grows_with_the_words(spark):
+    """More distinct words than the 2**18 slots that once held them: no two share a count, losses are those of exact counts."""
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(1000))) for k in range(300)] + [(300, "w0x0 w0x1 w0x1"), (301, "w0x0 w0x1 w0x1"), (302, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    target = spark.createDataFrame([(0,), (300,)], "doc_id long")
+    pair = crossentropy.train_pair(docs, target)
+    assert len(pair.tables["all_words"]) == 300_000 and len(pair.tables["all_pairs"]) == 300 * 999 + 1
+    found = {r.doc_id: r for r in crossentropy.cross_entropy_difference(docs, target).collect()}
+    size, total, goal = 300_000, 300_006, 1003
+    assert found[301].n_tokens == 3 and found[302].n_tokens == 0 and found[302].score is None and len(found) == 303
+    one, two = (3 + 0.5) / (total + 0.5 * size), (5 + 0.5) / (total + 0.5 * size)
+    whole = -sum(map(math.log, (one, (3 + 8 * two) / (3 + 8), (2 + 8 * two) / (5 + 8)))) / 3
+    one, two = (2 + 0.5) / (goal + 0.5 * size), (3 + 0.5) / (goal + 0.5 * size)
+    near = -sum(map(math.log, (one, (2 + 8 * two) / (2 + 8), (1 + 8 * two) / (3 + 8)))) / 3
+    assert found[301].background_loss == pytest.approx(whole) and found[301].target_loss == pytest.approx(near)
+    assert found[300].score == pytest.approx(near - whole)
+
+
 def test_mixing_meets_its_weights(spark):
     rows = [(k, "w " * (k % 7 + 1), "big" if k % 4 else ("mid" if k % 8 else "small"), "x") for k in range(800)]
     rows += [(9000, "one two", None, "x"), (9001, None, "big", "x"), (None, "a b c", "big", "x"), (9002, "", "none", "x")]
