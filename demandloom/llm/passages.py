@@ -151,10 +151,16 @@ def alike(
     put in order; neighbours join while the shared shingles would be 0.8 of all if none repeated. The measure itself is
     then taken on the sets of distinct shingles; a joined stretch below it is undone step by step.
     """
-    first = W.shingle_hashes(one.view(np.uint64), size)
-    second = W.shingle_hashes(two.view(np.uint64), size)
+    return _alike(W.shingle_hashes(one.view(np.uint64), size), W.shingle_hashes(two.view(np.uint64), size), min_tokens, shifts)
+
+
+def _alike(first: np.ndarray, second: np.ndarray, min_tokens: int, shifts: tuple[int, int]) -> list[tuple[int, int, int, int, int, int]]:
     if min(len(first), len(second)) < min_tokens:
         return []
+    there = np.sort(second)
+    at = np.minimum(np.searchsorted(there, first), len(there) - 1)
+    if 9 * np.count_nonzero(there[at] == first) < 8 * min_tokens:  # runs of fewer shingles join to no passage
+        return []
     found: list[tuple] = []
     for x, y, n in _in_order(_diagonals(first, second, *shifts)):
         run = (x, x + n, y, y + n, n, ())
@@ -177,10 +183,12 @@ def alike(
     return sorted(passages)
 
 
-def _lists(column: pa.Array) -> list[np.ndarray]:
-    """An Arrow column of lists as numpy arrays, without Python integers."""
-    flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
-    return np.split(flat, ends[:-1])
+def _shingle_lists(column: pa.Array, size: int) -> list[np.ndarray]:
+    """The shingle hashes of an Arrow column of lists of word hashes, hashed in one go."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    hashes = W.shingle_hashes(flat.view(np.uint64), size)
+    ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False)).tolist()
+    return [hashes[start : max(start, end - size + 1)] for start, end in zip([0, *ends], ends)]
 
 
 def _verified(size: int, min_tokens: int):
@@ -190,10 +198,10 @@ def _verified(size: int, min_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
             rows = []
-            given = [batch.column(i).to_pylist() for i in range(6)] + [_lists(batch.column(i)) for i in (6, 7)]
+            given = [batch.column(i).to_pylist() for i in range(6)] + [_shingle_lists(batch.column(i), size) for i in (6, 7)]
             for doc, first, start, other, low, high, one, two in zip(*given):
                 shifts = low - start + other - BAND, high - start + other + BAND
-                for begin, end, there, _, shared, union in alike(one, two, size, min_tokens, shifts):
+                for begin, end, there, _, shared, union in _alike(one, two, min_tokens, shifts):
                     rows.append((doc, start + begin, start + end + size - 1, first, other + there, shared, union))
             columns = list(zip(*rows)) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], schema=schema)
