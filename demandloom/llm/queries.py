@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.llm.conversations import repaired_after_damage
 from demandloom.llm.crossentropy import cross_entropy_difference
 from demandloom.llm.licenses import license_scan
 from demandloom.llm.mixing import mix_sources
@@ -66,8 +67,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_warc": op1_warc, "op2_passages": op2_passages, "op3_quality": op3_quality, "op4_licenses": op4_licenses,
     "op5_toxicity": op5_toxicity, "op6_neighbours": op6_neighbours, "op7_decontamination": op7_decontamination,
     "op8_cross_entropy": op8_cross_entropy, "op9_mixing": op9_mixing, "op10_ngram_join": op10_ngram_join,
+    "op11_conversations": op11_conversations,
 }
