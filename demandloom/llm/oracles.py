@@ -109,7 +109,7 @@ SELECT doc_id, CASE WHEN NOT unnamed THEN source END AS source, n_tokens::BIGINT
 FROM timed WHERE times > 0
 """
 
-OP10 = rf"""
+LINKED = rf"""
 WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS words
   FROM documents
@@ -128,7 +128,7 @@ WITH RECURSIVE worded AS (
   SELECT a.doc_id AS one, b.doc_id AS two
   FROM rows a JOIN rows b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   GROUP BY a.doc_id, b.doc_id, a.n, b.n
-  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+  HAVING 100 * count(*) >= %d * (a.n + b.n - count(*))
 ), reached AS (
   SELECT DISTINCT one, one AS other FROM links
   UNION
@@ -140,4 +140,46 @@ SELECT doc_id, n AS n_shingles, coalesce(component_id, doc_id) AS component_id
 FROM sets LEFT JOIN least ON one = doc_id
 """
 
-ORACLES = {"op1_warc": OP1, "op6_neighbours": OP6, "op9_mixing": OP9, "op10_ngram_join": OP10}
+OP10 = LINKED % 90
+
+OP12 = f"SELECT *, doc_id = component_id AS kept FROM ({LINKED % 85}) AS linked"
+
+OP13 = rf"""
+WITH named AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\x{{80}}-\x{{10FFFF}}]+') AS terms
+  FROM documents
+), occurring AS (
+  SELECT doc, lang, source, unnest(terms) AS term FROM named
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM occurring GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), cells AS (
+  SELECT lang, source, term, count(*) AS n FROM occurring JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS whole FROM kept GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS whole
+  FROM (SELECT DISTINCT lang, source FROM named) g LEFT JOIN cells c USING (lang, source) GROUP BY ALL
+), shares AS (  -- every group by every kept term
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.whole + 2 * l.v) AS p,
+    1 + 1000000000::HUGEINT * (k.total + 2) // (l.whole + 2 * l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN cells c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), told AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM told
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES = {
+    "op1_warc": OP1, "op6_neighbours": OP6, "op9_mixing": OP9, "op10_ngram_join": OP10, "op12_minhash": OP12, "op13_divergence": OP13,
+}

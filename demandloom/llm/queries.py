@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from demandloom.llm.conversations import repaired_after_damage
 from demandloom.llm.crossentropy import cross_entropy_difference
+from demandloom.llm.divergence import source_divergence
+from demandloom.llm.hyperminhash import near_duplicates
 from demandloom.llm.licenses import license_scan
 from demandloom.llm.mixing import mix_sources
 from demandloom.llm.neighbours import nearest
@@ -71,9 +73,17 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_after_damage(table(spark, sf_dir, "conversations"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_warc": op1_warc, "op2_passages": op2_passages, "op3_quality": op3_quality, "op4_licenses": op4_licenses,
     "op5_toxicity": op5_toxicity, "op6_neighbours": op6_neighbours, "op7_decontamination": op7_decontamination,
     "op8_cross_entropy": op8_cross_entropy, "op9_mixing": op9_mixing, "op10_ngram_join": op10_ngram_join,
-    "op11_conversations": op11_conversations,
+    "op11_conversations": op11_conversations, "op12_minhash": op12_minhash, "op13_divergence": op13_divergence,
 }
