@@ -121,9 +121,9 @@ def _skybands(k: int):
 
 
 def share(n: Column, whole: Column, terms: Column) -> Column:
-    """``1 + floor(SCALE * (n + 2) / (whole + 2 * terms))``, exact beyond 64 bits."""
+    """``1 + floor(SCALE * (n + 2) / (whole + 2 * terms))``, exact beyond 64 bits; not used where there are no terms."""
     wide = F.lit(SCALE).cast("decimal(10,0)") * (n + 2).cast("decimal(20,0)")
-    return F.call_function("div", wide, (whole + terms * 2).cast("decimal(20,0)")) + 1
+    return F.call_function("div", wide, F.greatest(whole + terms * 2, F.lit(1)).cast("decimal(20,0)")) + 1
 
 
 def difference(p: Column, q: Column) -> Column:
