@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -51,10 +52,12 @@ def initial(role: str) -> int:
     return {"s": SYSTEM, "u": USER, "a": ASSISTANT}.get(role[:1], NOTHING)
 
 
+@lru_cache(1 << 14)
 def product(a: Matrix, b: Matrix) -> Matrix:
     return tuple(tuple(min(min(a[i][k] + b[k][j] for k in range(4)), FAR) for j in range(4)) for i in range(4))
 
 
+@lru_cache(1 << 14)
 def applied(a: Matrix, v: Vector) -> Vector:
     return tuple(min(min(a[i][k] + v[k] for k in range(4)), FAR) for i in range(4))
 
