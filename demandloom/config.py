@@ -31,6 +31,8 @@ class PipelineConfig:
     states: tuple[str, ...] = ("CA", "TX", "WI")
     event_types: tuple[str, ...] = ("Sporting", "Cultural", "National", "Religious")
     model_rounds: int = 1000
+    tails_kept: int = 2  # newest series tails; an older rerun reads the whole history
+    snapshots_kept: int = 200  # published states that readers may still be on
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"

@@ -138,7 +138,7 @@ def cascade_delete(child: DataFrame, removed: DataFrame, on: Sequence[str]) -> D
 
 
 def lineage(runs: DataFrame, datasets: DataFrame, stages: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
-    """Run, dataset, stage and the stage's metrics side by side."""
+    """Run, dataset, stage and the stage's metrics side by side; a stage without metrics keeps its row."""
     view = (
         runs.select("run_id", "pipeline_name", "run_date", F.col("status").alias("run_status"))
         .join(datasets.select("run_id", "dataset_id", "total_row_count", "feature_hash", "schema_hash"), "run_id")

@@ -1,17 +1,18 @@
 """Quality rules over a batch.
 
 A rule is an aggregate that counts violations, so all rules of a layer run in one pass and only one row per
-rule reaches the driver. Uniqueness needs a second pass, a grouped count that is combined before its shuffle.
+rule reaches the driver. While a batch is written they are counted by the write itself (``observed``). Uniqueness needs a
+second pass, a grouped count that is combined before its shuffle; after a write it reads the written key columns only.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,11 @@ CRITICAL, SOFT = "critical", "soft"
 
 
 class QualityError(ValueError):
-    """A critical rule failed."""
+    """A critical rule failed; ``report`` holds the rows of all rules checked with it."""
+
+    def __init__(self, message: str, report: list | None = None) -> None:
+        super().__init__(message)
+        self.report = report or []
 
 
 class EmptyBatch(QualityError):
@@ -83,6 +88,7 @@ def single_value(column: str) -> Rule:
     return batch(f"single_value({column})", F.min(column) == F.max(column))
 
 
+REPORT_DDL = "layer string, rule string, severity string, failed_rows long, total_rows long, passed boolean"
 REPORT_COLUMNS = ["layer", "rule", "severity", "failed_rows", "total_rows", "passed"]
 
 
@@ -98,6 +104,26 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
+def _failed(rules: Iterable[Rule]) -> list[Column]:
+    return [F.coalesce(rule.failed.cast("long"), F.lit(0)).alias(f"failed_{i}") for i, rule in enumerate(rules)]
+
+
+def observed(rules: Iterable[Rule | UniqueKey]) -> list[Column]:
+    """The counts of all rules but unique keys, for ``DataFrame.observe``; none without such rules."""
+    plain = [rule for rule in rules if isinstance(rule, Rule)]
+    return [F.count(F.lit(1)).alias("total"), *_failed(plain)] if plain else []
+
+
+def observed_report(spark: SparkSession, rules: Iterable[Rule | UniqueKey], layer: str, counts: Mapping[str, int]) -> DataFrame:
+    """The report of the rules whose ``observed`` counts a job has brought back."""
+    plain = [rule for rule in rules if isinstance(rule, Rule)]
+    rows = [
+        (layer, rule.name, rule.severity, counts[f"failed_{i}"], counts["total"], counts[f"failed_{i}"] == 0)
+        for i, rule in enumerate(plain)
+    ]
+    return spark.createDataFrame(rows, REPORT_DDL)
+
+
 def check(df: DataFrame, rules: Iterable[Rule | UniqueKey], layer: str) -> DataFrame:
     """One report row per rule."""
     rules = list(rules)
@@ -105,8 +131,7 @@ def check(df: DataFrame, rules: Iterable[Rule | UniqueKey], layer: str) -> DataF
     reports = []
     if plain:
         counted = df.agg(
-            F.count(F.lit(1)).alias("total"),
-            *[F.coalesce(rule.failed.cast("long"), F.lit(0)).alias(f"failed_{i}") for i, rule in enumerate(plain)],
+            F.count(F.lit(1)).alias("total"), *_failed(plain),
         )
         rows = [
             _report_row(layer, rule.name, rule.severity, F.col(f"failed_{i}"), F.col("total"))
@@ -133,7 +158,7 @@ def enforce(report: DataFrame) -> list:
     broken = [row for row in rows if not row["passed"] and row["severity"] == CRITICAL]
     if broken:
         parts = [f"{row['rule']} ({row['failed_rows']} of {row['total_rows']})" for row in broken]
-        raise QualityError(f"{broken[0]['layer']}: {'; '.join(parts)}")
+        raise QualityError(f"{broken[0]['layer']}: {'; '.join(parts)}", rows)
     return rows
 
 

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from demandloom.config import PipelineConfig
-from demandloom.operators.quality import check
 from demandloom.operators.rules import bronze_rules, calendar_rules, price_rules
 from demandloom.operators.storage import Batch, publish
 from demandloom.sources.csv import read_calendar, read_prices, read_wide_sales
@@ -31,19 +30,19 @@ def run_bronze(
     sales = read_wide_sales(spark, sales_csv, cfg.base_date, run_dates, cfg.version)
     batches = [
         Batch(
-            sales, cfg.table(BRONZE), "run_date", lambda df: check(df, bronze_rules(), "bronze"),
-            ("item_id", "store_id"), tuple(day.isoformat() for day in run_dates),
+            sales, cfg.table(BRONZE), "run_date", None, ("item_id", "store_id"),
+            tuple(day.isoformat() for day in run_dates), rules=tuple(bronze_rules()), layer="bronze",
         )
     ]
     if calendar_csv is not None:
         days = read_calendar(spark, calendar_csv)
-        batches.append(Batch(days, cfg.table(CALENDAR), checks=lambda df: check(df, calendar_rules(), "calendar")))
+        batches.append(Batch(days, cfg.table(CALENDAR), rules=tuple(calendar_rules()), layer="calendar"))
     if prices_csv is not None:
         prices = read_prices(spark, prices_csv)
         batches.append(
             Batch(
-                prices, cfg.table(PRICES), checks=lambda df: check(df, price_rules(), "sell_prices"),
-                sort=("wm_yr_wk", "store_id", "item_id"),
+                prices, cfg.table(PRICES), sort=("wm_yr_wk", "store_id", "item_id"), rules=tuple(price_rules()),
+                layer="sell_prices",
             )
         )
     return publish(batches)[0]

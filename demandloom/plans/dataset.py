@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandloom.config import PipelineConfig
@@ -52,6 +52,20 @@ def read_split(spark: SparkSession, dataset_dir: str, split: str | None = None)
     return rows if split is None else rows.where(F.col(SPLIT_COLUMN) == split)
 
 
+def read_places(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of written splits with ``place``: their number, from 1, in the order of files and of rows inside them.
+
+    Only one row per file is numbered in one group.
+    """
+    rows = spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy(SPLIT_COLUMN, "_file").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(SPLIT_COLUMN).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select(SPLIT_COLUMN, "_file", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    placed = rows.join(starts, [SPLIT_COLUMN, "_file"])
+    return placed.withColumn("place", F.col("_start") + F.col("_row") + 1).drop("_file", "_row", "_start")
+
+
 def read_vocabulary(spark: SparkSession, dataset_dir: str) -> DataFrame:
     return spark.read.parquet(f"{dataset_dir}/vocabulary")
 
@@ -64,7 +78,7 @@ def write_vocabulary(train: DataFrame, path: str) -> None:
 def feature_vectors(spark: SparkSession, dataset_dir: str, split: str, features: list[str]) -> DataFrame:
     """The rows of a split with their feature vector; all other columns stay beside it."""
     rows = read_split(spark, dataset_dir, split)
-    keep = rows.select("*", *[F.col(name).alias(f"raw_{name}") for name in ("store_id", "dept_id")])
+    keep = rows.select("*", *[F.col(name).alias(f"raw_{name}") for name in ("item_id", "store_id", "dept_id")])
     return assemble(encode(keep, read_vocabulary(spark, dataset_dir)), features)
 
 
@@ -111,9 +125,10 @@ def build_dataset(spark: SparkSession, cfg: PipelineConfig, run_date: dt.date, r
             schema.alias("schema_hash"), feature.alias("feature_hash"),
             splits.dataset_id(cfg.pipeline_name, run_date, run_id, schema, feature, F.lit(total)).alias("dataset_id"),
         ).first()
+        content = splits.content_sums(rows).first()["content_hash"]
         final = f"{root}/{hashes['dataset_id']}"
         manifest = {
-            **hashes.asDict(), "run_id": str(run_id), "pipeline_name": cfg.pipeline_name, "source_table": GOLD,
+            **hashes.asDict(), "content_hash": content, "run_id": str(run_id), "pipeline_name": cfg.pipeline_name, "source_table": GOLD,
             "run_date": run_date.isoformat(), "dataset_start_date": start.isoformat(),
             "dataset_end_date": end.isoformat(), "train_end": train_end.isoformat(),
             "feature_version": cfg.feature_version, "features": features, "dataset_dir": final,
@@ -145,6 +160,7 @@ def manifest_row(spark: SparkSession, manifest: dict, clock: dt.datetime) -> Dat
         manifest["dataset_id"], manifest["run_id"], manifest["pipeline_name"], manifest["source_table"],
         dt.date.fromisoformat(manifest["dataset_start_date"]), dt.date.fromisoformat(manifest["dataset_end_date"]),
         paths["train"], paths["val"], paths["test"], counts["train"], counts["val"], counts["test"], counts["total"],
-        manifest["feature_version"], manifest["feature_hash"], manifest["schema_hash"], clock,
+        manifest["feature_version"], manifest["feature_hash"], manifest["schema_hash"],
+        manifest["content_hash"], clock,
     )
     return spark.createDataFrame([row], DATASET_SCHEMA)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,46 +14,75 @@ from demandloom.config import PipelineConfig
 from demandloom.operators import ledger
 from demandloom.operators.quality import check, check_reference, enforce
 from demandloom.operators.rules import status_rules
-from demandloom.operators.storage import exists, overwrite_table
+from demandloom.operators.storage import Batch, Snapshot, StaleWrite, current, expire, publish
 from demandloom.plans import bronze, gold, silver
 from demandloom.plans.dataset import build_dataset, feature_vectors, manifest_row
-from demandloom.plans.evaluation import run_evaluation
-from demandloom.plans.training import batch_predict, candidate_metrics, load_best, save_models, select_best, train_candidates
+from demandloom.plans.evaluation import OVERALL, run_evaluation
+from demandloom.plans.training import batch_predict, candidate_metrics, load_best, save_models, select_best, train_candidates, training_metric_rows
 from demandloom.sources.libsvm import read_libsvm
 from demandloom.sources.tables import read_days, read_table, row_count
 
 STEPS = ("bronze", "silver", "gold")
+METRICS = "ml_metrics"
+ATTEMPTS = 20  # of a ledger change that other writers keep overtaking
+
+
+def stage_key(run_id: str, stage: str) -> str:
+    return f"{run_id}_{stage}"
 
 
 class Ledger:
-    """The run tables: small, keyed, rewritten as a whole by one writer at a time."""
+    """The run tables: small and keyed, each change a new version of them.
+
+    An operation reads one snapshot and publishes all it changes as one step. If another writer has changed one of these
+    tables meanwhile it is refused, and done again on what that writer left; so nothing is lost and ids stay unique.
+    """
 
     def __init__(self, spark: SparkSession, cfg: PipelineConfig):
         self.spark, self.cfg = spark, cfg
 
-    def read(self, name: str, schema: T.StructType) -> DataFrame:
-        path = self.cfg.table(name)
-        if not exists(self.spark, path):
+    def snapshot(self) -> Snapshot:
+        return current(self.spark, self.cfg.root.rstrip("/"))
+
+    def read(self, name: str, schema: T.StructType, at: Snapshot | None = None) -> DataFrame:
+        at, path = at or self.snapshot(), self.cfg.table(name)
+        if at.table(path) is None:
             return self.spark.createDataFrame([], schema)
-        return read_table(self.spark, path, schema)
+        return read_table(self.spark, path, schema, at)
+
+    def write(self, tables: Mapping[str, DataFrame], base: Snapshot, dropped: Mapping[str, Sequence[str]] | None = None) -> None:
+        """Publish the tables together; refused with ``StaleWrite`` if one of them has changed since ``base``."""
+        publish([Batch(table.coalesce(1), self.cfg.table(name)) for name, table in tables.items()], base, dropped)
+
+    def change(self, make: Callable[[Snapshot], Mapping[str, DataFrame]]) -> None:
+        """Write what ``make`` builds on the newest snapshot; again if another writer was faster."""
+        for attempt in range(1, ATTEMPTS + 1):
+            at = self.snapshot()
+            try:
+                self.write(make(at), at)
+                return
+            except StaleWrite:
+                if attempt == ATTEMPTS:
+                    raise
 
-    def write(self, name: str, table: DataFrame) -> None:
-        overwrite_table(table.coalesce(1), self.cfg.table(name))
+    def etl_runs(self, at: Snapshot | None = None) -> DataFrame:
+        return self.read("etl_pipeline_runs", S.ETL_RUN_SCHEMA, at)
 
-    def etl_runs(self) -> DataFrame:
-        return self.read("etl_pipeline_runs", S.ETL_RUN_SCHEMA)
+    def etl_steps(self, at: Snapshot | None = None) -> DataFrame:
+        return self.read("etl_pipeline_steps", S.ETL_STEP_SCHEMA, at)
 
-    def etl_steps(self) -> DataFrame:
-        return self.read("etl_pipeline_steps", S.ETL_STEP_SCHEMA)
+    def ml_runs(self, at: Snapshot | None = None) -> DataFrame:
+        return self.read("ml_pipeline_runs", S.ML_RUN_SCHEMA, at)
 
-    def ml_runs(self) -> DataFrame:
-        return self.read("ml_pipeline_runs", S.ML_RUN_SCHEMA)
+    def datasets(self, at: Snapshot | None = None) -> DataFrame:
+        return self.read("ml_dataset", S.DATASET_SCHEMA, at)
 
-    def datasets(self) -> DataFrame:
-        return self.read("ml_dataset", S.DATASET_SCHEMA)
+    def ml_stages(self, at: Snapshot | None = None) -> DataFrame:
+        return self.read("ml_runs", S.ML_STAGE_SCHEMA, at)
 
-    def ml_stages(self) -> DataFrame:
-        return self.read("ml_runs", S.ML_STAGE_SCHEMA)
+    def metrics(self, at: Snapshot | None = None) -> DataFrame:
+        """``run_id, dataset_id, stage, metric, slice, value, ml_run_id`` of every stage that has reported."""
+        return self.read(METRICS, S.METRIC_SCHEMA, at)
 
     def _row(self, schema: T.StructType, **values) -> DataFrame:
         row = tuple(values.get(field.name) for field in schema)
@@ -64,49 +93,61 @@ class Ledger:
 
     def start_etl_run(self, run_date: dt.date) -> int:
         """Insert or reset the run of a date; a known run keeps its id and start."""
-        cfg, runs, now = self.cfg, self.etl_runs(), self.cfg.now()
-        source = self._row(
-            S.ETL_RUN_SCHEMA, run_id=self._next_id(runs, "run_id"), dag_id=cfg.etl_job,
-            pipeline_name=cfg.pipeline_name, run_date=run_date, status="running", triggered_by=cfg.triggered_by,
-            started_at=now, created_at=now, rows_bronze=0, rows_silver=0, rows_gold=0,
-        )
+        cfg, now = self.cfg, self.cfg.now()
         none = {"ended_at": F.lit(None).cast("timestamp"), "error_message": F.lit(None).cast("string")}
-        self.write(
-            "etl_pipeline_runs", ledger.upsert(runs, source, S.ETL_RUN_KEY, ["status", "triggered_by"], none)
-        )
+
+        def make(at: Snapshot) -> Mapping[str, DataFrame]:
+            runs = self.etl_runs(at)
+            source = self._row(
+                S.ETL_RUN_SCHEMA, run_id=self._next_id(runs, "run_id"), dag_id=cfg.etl_job,
+                pipeline_name=cfg.pipeline_name, run_date=run_date, status="running", triggered_by=cfg.triggered_by,
+                started_at=now, created_at=now, rows_bronze=0, rows_silver=0, rows_gold=0,
+            )
+            return {"etl_pipeline_runs": ledger.upsert(runs, source, S.ETL_RUN_KEY, ["status", "triggered_by"], none)}
+
+        self.change(make)
         mine = (F.col("dag_id") == cfg.etl_job) & (F.col("pipeline_name") == cfg.pipeline_name)
         return self.etl_runs().where(mine & (F.col("run_date") == F.lit(run_date))).first()["run_id"]
 
     def start_step(self, run_id: int, step: str) -> None:
-        steps = self.etl_steps()
-        source = self._row(
-            S.ETL_STEP_SCHEMA, step_run_id=self._next_id(steps, "step_run_id"), run_id=run_id,
-            dag_id=self.cfg.etl_job, step_name=step, status="running", started_at=self.cfg.now(), input_rows=0,
-            output_rows=0,
-        )
+        """Insert or reset a step; its run must be known."""
         reset = {
             "ended_at": F.lit(None).cast("timestamp"), "error_message": F.lit(None).cast("string"),
             "input_rows": F.lit(0).cast("long"), "output_rows": F.lit(0).cast("long"),
         }
-        self.write("etl_pipeline_steps", ledger.upsert(steps, source, S.ETL_STEP_KEY, ["status"], reset))
+
+        def make(at: Snapshot) -> Mapping[str, DataFrame]:
+            steps = self.etl_steps(at)
+            source = self._row(
+                S.ETL_STEP_SCHEMA, step_run_id=self._next_id(steps, "step_run_id"), run_id=run_id,
+                dag_id=self.cfg.etl_job, step_name=step, status="running", started_at=self.cfg.now(), input_rows=0,
+                output_rows=0,
+            )
+            enforce(check_reference(source, self.etl_runs(at), ["run_id"], "etl_pipeline_steps"))
+            return {"etl_pipeline_steps": ledger.upsert(steps, source, S.ETL_STEP_KEY, ["status"], reset)}
+
+        self.change(make)
 
     def finish_step(self, run_id: int, step: str, status: str, rows: tuple[int, int], error: str | None = None) -> None:
         change = self.spark.createDataFrame(
-            [(run_id, self.cfg.etl_job, step, status, self.cfg.now(), rows[0], rows[1], error)],
-            "run_id long, dag_id string, step_name string, status string, ended_at timestamp, input_rows long, "
-            "output_rows long, error_message string",
-        )
-        steps = ledger.update_by_key(self.etl_steps(), change, S.ETL_STEP_KEY, must_match=True)
-        self._checked("etl_pipeline_steps", steps, S.STEP_STATES)
+            [(run_id, self.cfg.etl_job, step, status, rows[0], rows[1], error)],
+            "run_id long, dag_id string, step_name string, status string, input_rows long, output_rows long, "
+            "error_message string",
+        ).withColumn("ended_at", ledger.terminal_stamp("status", self.cfg.now()))
+        self.change(lambda at: self._checked(
+            "etl_pipeline_steps", ledger.update_by_key(self.etl_steps(at), change, S.ETL_STEP_KEY, must_match=True), S.STEP_STATES))
 
     def finish_etl_run(self, run_id: int) -> str:
         """Fold the steps into the run: state, message and row counts."""
-        steps = self.etl_steps().where(F.col("run_id") == run_id)
-        change = (
-            ledger.run_outcome(steps, STEPS).join(ledger.step_metrics(steps, STEPS), "run_id")
-            .withColumn("ended_at", ledger.terminal_stamp("status", self.cfg.now()))
-        )
-        self._checked("etl_pipeline_runs", ledger.update_by_key(self.etl_runs(), change, ["run_id"]), S.RUN_STATES)
+        def make(at: Snapshot) -> Mapping[str, DataFrame]:
+            steps = self.etl_steps(at).where(F.col("run_id") == run_id)
+            change = (
+                ledger.run_outcome(steps, STEPS).join(ledger.step_metrics(steps, STEPS), "run_id")
+                .withColumn("ended_at", ledger.terminal_stamp("status", self.cfg.now()))
+            )
+            return self._checked("etl_pipeline_runs", ledger.update_by_key(self.etl_runs(at), change, ["run_id"]), S.RUN_STATES)
+
+        self.change(make)
         return self.etl_runs().where(F.col("run_id") == run_id).first()["status"]
 
     def latest_etl_run(self, run_date: dt.date) -> int:
@@ -123,48 +164,97 @@ class Ledger:
             triggered_by=self.cfg.triggered_by, created_at=self.cfg.now(),
         )
         none = {"ended_at": F.lit(None).cast("timestamp"), "error_message": F.lit(None).cast("string")}
-        self.write(
-            "ml_pipeline_runs",
-            ledger.upsert(self.ml_runs(), source, S.ML_RUN_KEY, ["status", "triggered_by", "run_date"], none),
-        )
+        self.change(lambda at: {"ml_pipeline_runs": ledger.upsert(
+            self.ml_runs(at), source, S.ML_RUN_KEY, ["status", "triggered_by", "run_date"], none)})
 
     def finish_ml_run(self, run_id: str, status: str, error: str | None = None) -> None:
         change = self.spark.createDataFrame(
             [(run_id, status, error)], "run_id string, status string, error_message string"
         ).withColumn("ended_at", ledger.terminal_stamp("status", self.cfg.now()))
-        runs = ledger.update_by_key(self.ml_runs(), change, S.ML_RUN_KEY, must_match=True)
-        self._checked("ml_pipeline_runs", runs, S.RUN_STATES)
+        self.change(lambda at: self._checked(
+            "ml_pipeline_runs", ledger.update_by_key(self.ml_runs(at), change, S.ML_RUN_KEY, must_match=True), S.RUN_STATES))
 
     def log_dataset(self, manifest: dict) -> None:
         """Register a dataset; a known fingerprint keeps its row."""
         row = manifest_row(self.spark, manifest, self.cfg.now())
-        enforce(check_reference(row, self.ml_runs(), ["run_id"], "ml_dataset"))
-        self.write("ml_dataset", ledger.insert_ignore(self.datasets(), row, S.DATASET_KEY))
 
-    def start_stage(self, run_id: str, dataset_id: str, stage: str, tracking_id: str) -> None:
+        def make(at: Snapshot) -> Mapping[str, DataFrame]:
+            enforce(check_reference(row, self.ml_runs(at), ["run_id"], "ml_dataset"))
+            return {"ml_dataset": ledger.insert_ignore(self.datasets(at), row, S.DATASET_KEY)}
+
+        self.change(make)
+
+    def start_stage(self, run_id: str, dataset_id: str, stage: str, tracking_id: str, source_tracking_id: str | None = None) -> None:
+        """Insert or reset a stage; its run and its dataset must be known. ``source_tracking_id``: the stage it builds on."""
         source = self._row(
-            S.ML_STAGE_SCHEMA, ml_run_id=f"{run_id}_{stage}", run_id=run_id, dataset_id=dataset_id, stage=stage,
-            status="running", tracking_id=tracking_id, created_at=self.cfg.now(),
+            S.ML_STAGE_SCHEMA, ml_run_id=stage_key(run_id, stage), run_id=run_id, dataset_id=dataset_id, stage=stage,
+            status="running", tracking_id=tracking_id, source_tracking_id=source_tracking_id, created_at=self.cfg.now(),
         )
-        enforce(check_reference(source, self.datasets(), ["dataset_id"], "ml_runs"))
         none = {"ended_at": F.lit(None).cast("timestamp"), "error_message": F.lit(None).cast("string")}
         update = ["status", "tracking_id", "source_tracking_id"]
-        self.write("ml_runs", ledger.upsert(self.ml_stages(), source, S.ML_STAGE_KEY, update, none))
+
+        def make(at: Snapshot) -> Mapping[str, DataFrame]:
+            enforce(check_reference(source, self.ml_runs(at), ["run_id"], "ml_runs"))
+            enforce(check_reference(source, self.datasets(at), ["dataset_id"], "ml_runs"))
+            return {"ml_runs": ledger.upsert(self.ml_stages(at), source, S.ML_STAGE_KEY, update, none)}
+
+        self.change(make)
 
     def finish_stage(self, run_id: str, dataset_id: str, stage: str, status: str, error: str | None = None) -> None:
         change = self.spark.createDataFrame(
             [(run_id, dataset_id, stage, status, error)],
             "run_id string, dataset_id string, stage string, status string, error_message string",
         ).withColumn("ended_at", ledger.terminal_stamp("status", self.cfg.now()))
-        stages = ledger.update_by_key(self.ml_stages(), change, S.ML_STAGE_KEY, must_match=True)
-        self._checked("ml_runs", stages, S.RUN_STATES)
-
-    def _checked(self, name: str, table: DataFrame, states: Sequence[str]) -> None:
+        self.change(lambda at: self._checked(
+            "ml_runs", ledger.update_by_key(self.ml_stages(at), change, S.ML_STAGE_KEY, must_match=True), S.RUN_STATES))
+
+    def log_metrics(self, run_id: str, dataset_id: str, stage: str, rows: DataFrame) -> None:
+        """Store ``metric, slice, value`` rows of a stage; a rerun of the stage replaces its rows and no others."""
+        named = rows.select(
+            F.lit(run_id).alias("run_id"), F.lit(dataset_id).alias("dataset_id"), F.lit(stage).alias("stage"),
+            "metric", "slice", F.col("value").cast("double").alias("value"), F.lit(stage_key(run_id, stage)).alias("ml_run_id"),
+        )
+        known = self.ml_stages().where(F.col("stage") == stage)
+        enforce(check_reference(named.limit(1), known, ["run_id", "dataset_id"], METRICS))
+        publish([Batch(named, self.cfg.table(METRICS), "ml_run_id", sort=("metric", "slice"))])
+
+    def delete_etl_run(self, run_id: int) -> None:
+        """Remove a run and its steps in one step."""
+        gone = self.spark.createDataFrame([(run_id,)], "run_id long")
+        self.change(lambda at: {
+            "etl_pipeline_runs": ledger.cascade_delete(self.etl_runs(at), gone, ["run_id"]),
+            "etl_pipeline_steps": ledger.cascade_delete(self.etl_steps(at), gone, ["run_id"]),
+        })
+
+    def delete_ml_run(self, run_id: str) -> None:
+        """Remove a run with its datasets, stages and metrics in one step; files of datasets and models stay."""
+        gone = self.spark.createDataFrame([(run_id,)], "run_id string")
+        for attempt in range(1, ATTEMPTS + 1):
+            at = self.snapshot()
+            stages = self.ml_stages(at)
+            mine = [row["ml_run_id"] for row in stages.where(F.col("run_id") == run_id).select("ml_run_id").collect()]
+            tables = {
+                "ml_pipeline_runs": self.ml_runs(at), "ml_dataset": self.datasets(at), "ml_runs": stages,
+            }
+            try:
+                self.write(
+                    {name: ledger.cascade_delete(table, gone, ["run_id"]) for name, table in tables.items()}, at,
+                    {self.cfg.table(METRICS): mine},
+                )
+                return
+            except StaleWrite:
+                if attempt == ATTEMPTS:
+                    raise
+
+    def _checked(self, name: str, table: DataFrame, states: Sequence[str]) -> Mapping[str, DataFrame]:
         enforce(check(table, status_rules(states), name))
-        self.write(name, table)
+        return {name: table}
 
-    def lineage(self, metrics: DataFrame | None = None) -> DataFrame:
-        return ledger.lineage(self.ml_runs(), self.datasets(), self.ml_stages(), metrics)
+    def lineage(self, metrics: bool = False) -> DataFrame:
+        """Runs, datasets and stages of one snapshot; with their stored metrics if asked for."""
+        at = self.snapshot()
+        values = self.metrics(at).drop("ml_run_id") if metrics else None
+        return ledger.lineage(self.ml_runs(at), self.datasets(at), self.ml_stages(at), values)
 
 
 def _partition_rows(spark: SparkSession, cfg: PipelineConfig, table: str, days: Sequence[dt.date]) -> int:
@@ -205,11 +295,15 @@ def run_etl(
             book.finish_step(run_id, name, "success", (read, _partition_rows(spark, cfg, target, run_dates)))
     finally:
         book.finish_etl_run(run_id)
+    expire(spark, cfg.root.rstrip("/"), cfg.snapshots_kept)
     return run_id
 
 
 def run_ml(spark: SparkSession, cfg: PipelineConfig, run_date: dt.date) -> dict:
-    """Dataset, training, prediction and evaluation of a date under the ledger; returns manifest and metrics."""
+    """Dataset, training, prediction and evaluation of a date under the ledger; returns manifest and overall metrics.
+
+    Every stage stores its metrics: the candidates' validation errors, the number of predictions, and the evaluation.
+    """
     book = Ledger(spark, cfg)
     etl_id = book.latest_etl_run(run_date)
     run_id = str(etl_id)
@@ -220,37 +314,44 @@ def run_ml(spark: SparkSession, cfg: PipelineConfig, run_date: dt.date) -> dict:
     except Exception as error:
         book.finish_ml_run(run_id, "failed", str(error))
         raise
-    home, features = manifest["dataset_dir"], manifest["features"]
-    models_dir = f"{cfg.table('models')}/{manifest['dataset_id']}"
+    home, features, dataset_id = manifest["dataset_dir"], manifest["features"], manifest["dataset_id"]
+    models_dir = f"{cfg.table('models')}/{dataset_id}"
 
-    def train() -> None:
+    def train() -> DataFrame:
         rows = {
             split: read_libsvm(spark, f"{home}/libsvm/{split}", len(features)) for split in ("train", "val")
         }
         models = train_candidates(rows["train"], rows["val"], cfg.model_rounds)
         scores = candidate_metrics(models, rows["val"], features)
         scores.coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/metrics")
-        save_models(spark, models, select_best(spark.read.parquet(f"{models_dir}/metrics")), models_dir)
+        scores = spark.read.parquet(f"{models_dir}/metrics")
+        save_models(spark, models, select_best(scores), models_dir)
+        return training_metric_rows(scores)
 
-    def predict() -> None:
+    def predict() -> DataFrame:
         _, model = load_best(spark, models_dir)
         scored = batch_predict(model, feature_vectors(spark, home, "test", features))
         scored.write.mode("overwrite").parquet(f"{home}/predictions")
+        count = spark.read.parquet(f"{home}/predictions").agg(F.count(F.lit(1)).alias("value"))
+        return count.select(F.lit("prediction_rows").alias("metric"), F.lit(OVERALL).alias("slice"), "value")
 
-    def evaluate() -> dict:
+    def evaluate() -> DataFrame:
         return run_evaluation(spark, f"{home}/predictions", f"{home}/evaluation")
 
-    result: dict = {"manifest": manifest}
+    before = None
     for stage, work in {"train": train, "predict": predict, "evaluate": evaluate}.items():
-        book.start_stage(run_id, manifest["dataset_id"], stage, run_id)
+        tracking = f"{stage_key(run_id, stage)}-{dataset_id[:12]}"
+        book.start_stage(run_id, dataset_id, stage, tracking, before)
         try:
-            outcome = work()
+            book.log_metrics(run_id, dataset_id, stage, work())
         except Exception as error:
-            book.finish_stage(run_id, manifest["dataset_id"], stage, "failed", str(error))
+            book.finish_stage(run_id, dataset_id, stage, "failed", str(error))
             book.finish_ml_run(run_id, "failed", str(error))
             raise
-        book.finish_stage(run_id, manifest["dataset_id"], stage, "success")
-        if stage == "evaluate":
-            result["metrics"] = outcome
+        book.finish_stage(run_id, dataset_id, stage, "success")
+        before = tracking
     book.finish_ml_run(run_id, "success")
-    return result
+    expire(spark, cfg.root.rstrip("/"), cfg.snapshots_kept)
+    told = book.metrics().where((F.col("ml_run_id") == stage_key(run_id, "evaluate")) & ~F.col("slice").contains("="))
+    named = F.when(F.col("slice") == OVERALL, F.col("metric")).otherwise(F.concat_ws("_", "slice", "metric"))
+    return {"manifest": manifest, "metrics": {row["name"]: row["value"] for row in told.select(named.alias("name"), "value").collect()}}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 from demandloom.functions import metrics as M
 from demandloom.operators.evaluation import BASELINE, PREDICTION, best_candidate
-from demandloom.operators.storage import exists
-from demandloom.schemas import PREDICTION_COLUMNS, TARGET
-from demandloom.session import ensure_checkpoint_dir
+from demandloom.operators.storage import delete, exists
+from demandloom.schemas import DATE_COLUMN, PREDICTION_COLUMNS, TARGET
+from demandloom.session import ensure_checkpoint_dir, scratch_path
 
 # The two candidates. Depth 6 has room for the 64 leaves of the first one; where a tree samples
 # features, Spark samples per node.
@@ -39,13 +40,35 @@ def best_round(errors: Sequence[float], patience: int = PATIENCE) -> tuple[int,
     return best + 1, False
 
 
+def cut_model(spark: SparkSession, model: GBTRegressionModel, rounds: int) -> GBTRegressionModel:
+    """The model of its first ``rounds`` trees: its own saved tables, filtered and loaded again.
+
+    Trees are numbered from 0 in the order they were boosted, in the node table (``treeID``) and in the table of their
+    weights (first column); the metadata holds their number.
+    """
+    whole, part = scratch_path(spark, "model"), scratch_path(spark, "model")
+    model.write().save(whole)
+    try:
+        spark.read.parquet(f"{whole}/data").where(F.col("treeID") < rounds).write.parquet(f"{part}/data")
+        trees = spark.read.parquet(f"{whole}/treesMetadata")
+        trees.where(F.col(trees.columns[0]) < rounds).write.parquet(f"{part}/treesMetadata")
+        about = json.loads(spark.read.text(f"{whole}/metadata").first()["value"])
+        about["numTrees"], about["paramMap"]["maxIter"] = rounds, rounds
+        spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{part}/metadata")
+        return GBTRegressionModel.load(part)
+    finally:
+        delete(spark, whole)
+        delete(spark, part)
+
+
 def fit_with_patience(
     train: DataFrame, validation: DataFrame, rounds: int, params: Mapping[str, object], seed: int, patience: int = PATIENCE
 ) -> GBTRegressionModel:
     """Boost until the validation error has not fallen for ``patience`` rounds, and keep the rounds up to its lowest.
 
     The learner cannot go on from a model, so the reach is doubled until the stop lies within it; the same seed gives the
-    same trees again. Without validation rows all ``rounds`` are fitted.
+    same trees again. The rounds after the lowest are cut off the fitted model. Without validation rows all ``rounds`` are
+    fitted.
     """
     def fit(reach: int) -> GBTRegressionModel:
         return GBTRegressor(maxIter=reach, seed=seed, **params).fit(train)
@@ -57,7 +80,7 @@ def fit_with_patience(
         model = fit(reach)
         best, stopped = best_round(model.evaluateEachIteration(validation, "squared"), patience)
         if stopped or reach >= rounds:
-            return model if best == reach else fit(best)
+            return model if best == reach else cut_model(train.sparkSession, model, best)
         reach = min(rounds, 2 * reach)
 
 
@@ -118,6 +141,12 @@ def candidate_metrics(
     return measured.select(F.inline(F.array(*rows)))
 
 
+def training_metric_rows(metrics: DataFrame) -> DataFrame:
+    """``metric, slice, value`` of ``candidate_metrics``, one slice per candidate and for the baseline."""
+    named = metrics.select(F.concat(F.lit("model="), "model").alias("slice"), "rmse", "wmape", "improvement_pct")
+    return named.unpivot(["slice"], ["rmse", "wmape", "improvement_pct"], "metric", "value").select("metric", "slice", "value")
+
+
 def select_best(metrics: DataFrame) -> str:
     return best_candidate(metrics.where(F.col("priority").isNotNull())).first()["best_model"]
 
@@ -139,13 +168,13 @@ def load_best(spark: SparkSession, path: str) -> tuple[str, GBTRegressionModel]:
 
 
 def batch_predict(model: GBTRegressionModel, test: DataFrame) -> DataFrame:
-    """Predictions beside the row's own target, baseline and slice keys: nothing is paired by position.
+    """Predictions beside the row's own key, target, baseline and slice keys: nothing is paired by position.
 
-    ``test`` holds ``features``, the target, ``sales_lag_7`` and the unencoded slice keys as ``raw_<name>``.
+    ``test`` holds ``features``, the date, the target, ``sales_lag_7`` and the unencoded keys as ``raw_<name>``.
     """
     scored = model.copy({model.predictionCol: PREDICTION}).transform(test)
     return scored.select(
         F.col(PREDICTION).cast("double").alias(PREDICTION), F.col("sales_lag_7").cast("double").alias(BASELINE),
         F.col(TARGET).cast("double").alias(TARGET), F.col("raw_store_id").alias("store_id"),
-        F.col("raw_dept_id").alias("dept_id"),
+        F.col("raw_dept_id").alias("dept_id"), F.col("raw_item_id").alias("item_id"), DATE_COLUMN,
     ).select(*PREDICTION_COLUMNS)

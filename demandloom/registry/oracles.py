@@ -265,7 +265,9 @@ oracle("publish_if_valid", "SELECT *, 2 AS refused FROM sales_daily")
 oracle("bronze_run", f"""
 SELECT item_id, store_id, dept_id, cat_id, state_id, '{_RUN_DAY} AS d,
     CASE WHEN coalesce(b.sales, 0) % 5 IN (1, 3) THEN 0 ELSE coalesce(b.sales, 0) END AS sales,
-    {RUN_DATE} AS run_date, 'v1' AS _pipeline_version
+    {RUN_DATE} AS run_date, 'v1' AS _pipeline_version, (SELECT count(*) FROM calendar) AS calendar_rows,
+    (SELECT CAST(sum(coalesce(snap_tx, 0)) AS BIGINT) FROM calendar) AS snap_days, (SELECT count(*) FROM sell_prices) AS price_rows,
+    (SELECT count(*) FROM sell_prices WHERE wm_yr_wk % 10 <> 5) AS readable_prices
 FROM {_SERIES} LEFT JOIN (SELECT item_id, store_id, sales FROM sales_daily WHERE run_date = {RUN_DATE}) AS b
     USING (item_id, store_id)""")
 oracle("split_sink", "SELECT item_id, store_id, run_date, sales, sell_price, split FROM split_rows")
@@ -344,14 +346,19 @@ def _code(name: str) -> str:
     )
 
 
-oracle("feature_vector", f"""
-SELECT item_id, store_id, run_date, {len(FEATURES)} AS width, CAST({_code("item_id")} AS DOUBLE) AS f_item_id,
-    CAST({_code("store_id")} AS DOUBLE) AS f_store_id, CAST({_code("event_type_1")} AS DOUBLE) AS f_event_type_1,
-    round(CAST(CAST(coalesce(sell_price, 0) AS FLOAT) AS DOUBLE), 4) AS f_sell_price,
-    CAST(sales_lag_7 AS DOUBLE) AS f_sales_lag_7,
-    round(CAST(CAST(sales_roll_std_28 AS FLOAT) AS DOUBLE), 4) AS f_sales_roll_std_28,
-    CAST(CAST(is_cold_start AS TINYINT) AS DOUBLE) AS f_is_cold_start, CAST(wm_yr_wk AS DOUBLE) AS f_wm_yr_wk
-FROM split_rows AS s""")
+def _cell(name: str) -> str:
+    if name in CATEGORICAL:
+        value = _code(name)
+    elif name in _FLOATS:
+        value = f"round(CAST(CAST(coalesce({name}, 0) AS FLOAT) AS DOUBLE), 4)"
+    else:
+        value = f"CAST(coalesce({name}, {'FALSE' if name == 'is_cold_start' else 0}) AS INTEGER)"
+    return f"CAST({value} AS DOUBLE) AS f_{name}"
+
+
+_CELLS = ", ".join(_cell(name) for name in FEATURES)
+oracle("feature_vector", f"SELECT item_id, store_id, run_date, {_CELLS} FROM split_rows AS s")
+oracle("dataset_libsvm", f"SELECT split, CAST(sales AS DOUBLE) AS label, {_CELLS} FROM split_rows AS s")
 oracle("baseline_forecast", """
 SELECT item_id, store_id, run_date, sales, CAST(sales_lag_7 AS DOUBLE) AS baseline_prediction, 'lag' AS kind FROM gold
 UNION ALL
@@ -442,15 +449,26 @@ SELECT slice, value, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(wmape,
 oracle("slice_summary", f"""
 SELECT slice, {", ".join(f"round({value}, 6) AS {name}" for name, value in _SPREAD.items())}
 FROM ({_slices()}) AS slices GROUP BY slice""")
-oracle("evaluate_run", f"""
-SELECT metric, round(value, 5) AS value FROM (
-    {" UNION ALL ".join(f"SELECT '{name}' AS metric, {name} AS value FROM ({_OVERALL}) AS overall" for name in _OVERALL_NAMES)}
-    UNION ALL {" UNION ALL ".join(
-        f"SELECT '{name}' AS metric, {value} AS value FROM ({_OVERALL}) AS overall" for name, value in _IMPROVED.items())}
-    UNION ALL {" UNION ALL ".join(
-        f"SELECT slice || '_{name}' AS metric, {value} AS value FROM ({_slices()}) AS slices GROUP BY slice"
-        for name, value in _SPREAD.items())}
-) AS named_values""")
+_MEASURES = ["rmse", "mae", "wmape", "bias", "rows"]
+
+
+def _long(source: str, slice_text: str, values: dict[str, str], tail: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, {slice_text} AS slice, CAST({value} AS DOUBLE) AS value FROM ({source}) AS t {tail}"
+        for name, value in values.items()
+    )
+
+
+def _evaluation() -> str:
+    """Every stored metric of ``predictions``: overall, per member of a slice, and the spread over members."""
+    overall = {**{name: name for name in [*_OVERALL_NAMES, "rows"]}, **_IMPROVED}
+    return " UNION ALL ".join([
+        _long(_OVERALL, "'all'", overall), _long(_slices(), "slice || '=' || value", {name: name for name in _MEASURES}),
+        _long(_slices(), "slice", _SPREAD, "GROUP BY slice"),
+    ])
+
+
+oracle("evaluate_run", f"SELECT metric, slice, round(value, 5) AS value FROM ({_evaluation()}) AS named_values")
 
 _STAND_INS = ["sales_roll_mean_28", "sales_roll_mean_14", "sales_lag_7", "sales_lag_1"]
 oracle("best_model", f"""
@@ -480,9 +498,9 @@ SELECT item_id, store_id, run_date, sales,
 oracle("gold_partition", f"SELECT * FROM gold WHERE run_date = {RUN_DATE}")
 oracle("gold_backfill", "SELECT * FROM gold")
 oracle("dataset_order", """
-SELECT item_id, store_id, run_date, sales,
-    CAST(row_number() OVER (PARTITION BY item_id, store_id ORDER BY run_date) AS INTEGER) AS place
-FROM sales_daily ORDER BY item_id, store_id, run_date""")
+SELECT split, item_id, store_id, run_date, sales,
+    row_number() OVER (PARTITION BY split ORDER BY item_id, store_id, run_date) AS place
+FROM split_rows""")
 oracle("dedup_keep_first", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM (
     SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -528,15 +546,15 @@ oracle("rule_foreign_key", " UNION ALL ".join([
 oracle("ml_critical_checks", _report(WINDOW_ROWS, "dataset", ML_CRITICAL))
 oracle("ml_soft_checks", _report(WINDOW_ROWS, "dataset", ML_SOFT, "soft"))
 oracle("quality_report", f"""
-SELECT layer, severity, CASE WHEN passed THEN 'pass' WHEN severity = 'critical' THEN 'raise' ELSE 'warn' END AS action,
-    count(*) AS rules
+SELECT *, layer = 'silver' AS refused,
+    CASE WHEN passed THEN 'pass' WHEN severity = 'critical' THEN 'raise' ELSE 'warn' END AS action
 FROM (
     {_report("dirty_silver", "silver", [*_not_null(SILVER_NOT_NULL), *SILVER_BOUNDS, *SILVER_FLAGS])}
-    UNION ALL {_report(
+    UNION ALL SELECT layer, rule, severity, failed_rows, (SELECT count(*) FROM dirty_silver) AS total_rows, passed FROM ({_report(
         "(SELECT count(*) AS n FROM dirty_silver GROUP BY run_date, store_id, item_id, d) AS grains", "silver",
-        [("unique(run_date,store_id,item_id,d)", "count(*) FILTER (WHERE n > 1)")])}
+        [("unique(run_date,store_id,item_id,d)", "count(*) FILTER (WHERE n > 1)")])}) AS unique_keys
     UNION ALL {_report(WINDOW_ROWS, "dataset", ML_SOFT, "soft")}
-) AS all_rules GROUP BY 1, 2, 3""")
+) AS all_rules""")
 
 # ---- ledger --------------------------------------------------------------------------------------------------
 
@@ -552,9 +570,11 @@ FROM known_runs AS k FULL OUTER JOIN rerun_requests AS r USING (dag_id, run_date
 oracle("upsert_ignore", """
 SELECT * FROM known_runs UNION ALL SELECT * FROM rerun_requests AS r
 WHERE NOT EXISTS (SELECT 1 FROM known_runs AS k WHERE k.dag_id = r.dag_id AND k.run_date = r.run_date)""")
-oracle("keyed_update", """
-SELECT k.dag_id, k.run_date, k.run_id, coalesce(r.status, k.status) AS status, k.triggered_by, k.error_message,
-    k.rows_gold, CAST(NULL AS TIMESTAMP) AS ended_at
+oracle("keyed_update", f"""
+SELECT k.dag_id, k.run_date, k.run_id,
+    CASE WHEN r.run_id IS NULL THEN k.status WHEN r.run_id % 3 = 0 THEN 'success' WHEN r.run_id % 3 = 1 THEN 'failed'
+        ELSE 'running' END AS status, k.triggered_by, k.error_message, k.rows_gold,
+    CASE WHEN r.run_id IS NULL THEN {CLOCK} - INTERVAL 1 DAY WHEN r.run_id % 3 < 2 THEN {CLOCK} END AS ended_at
 FROM known_runs AS k LEFT JOIN rerun_requests AS r ON k.dag_id = r.dag_id AND k.run_date = r.run_date""")
 oracle("run_outcome", """
 SELECT run_id, CASE WHEN ok THEN 'success' ELSE 'failed' END AS status,
@@ -594,29 +614,101 @@ SELECT run_date, rows, {_SCHEMA_HASH} AS schema_hash, {_FEATURE_HASH} AS feature
     sha256('feature_version=v1|pipeline_name=demand_features|run_date=' || run_date || '|run_id=1') AS build_id,
     {_dataset_id("run_date", "rows")} AS dataset_id
 FROM (SELECT run_date, count(*) AS rows FROM sales_daily GROUP BY run_date) AS per_day""")
+# A row as text: columns by name, fractions in whole ten-thousandths. Both 60-bit pieces of its MD5 are summed up.
+_PRIMES = (2305843009213693951, 576460752303423433)
+GOLD_COLUMNS = [name for name in MODEL_COLUMNS if name != "_processed_time"]
+BRONZE_COLUMNS = ["item_id", "store_id", "dept_id", "cat_id", "state_id", "d", "sales", "run_date", "_pipeline_version"]
+SILVER_COLUMNS = [name for name in [*SILVER_NOT_NULL, "sell_price", *EVENTS] if name != "_processed_time"]
+_WHOLE_SALES = [name for name in _FLOATS if name != "sales"]
+
+
+def _content(source: str, columns: list[str], fractions: list[str], by: str = "") -> str:
+    def text(name: str) -> str:
+        value = f"CAST(round(CAST({name} AS DOUBLE) * 10000) AS BIGINT)" if name in fractions else name
+        return f"coalesce(CAST({value} AS VARCHAR), chr(30))"
+
+    digest = f"md5(concat_ws(chr(31), {', '.join(text(name) for name in sorted(columns))}))"
+    pieces = [f"('0x' || substr({digest}, {start}, 15))::BIGINT" for start in (1, 16)]
+    sums = " || '-' || ".join(f"CAST(sum({piece}) % {prime} AS VARCHAR)" for piece, prime in zip(pieces, _PRIMES))
+    head = f"{by}, " if by else ""
+    return f"SELECT {head}count(*) AS rows, {sums} AS content_hash FROM {source}{f' GROUP BY {by}' if by else ''}"
+
+
+oracle("content_fingerprint", _content("gold", GOLD_COLUMNS, _WHOLE_SALES, "run_date"))
+_NARROW_ROWS = f"(SELECT {_NARROWED}, split FROM split_rows) AS narrow"
+_KEPT = [name for name in MODEL_COLUMNS if name not in DROPPED]
 oracle("build_dataset", f"""
 SELECT {_dataset_id(f"CAST({WINDOW_END} AS VARCHAR)", "total_row_count")} AS dataset_id, '1' AS run_id,
     'demand_features' AS pipeline_name, 'gold_table' AS source_table, {WINDOW_START} AS dataset_start_date,
     {WINDOW_END} AS dataset_end_date, train_row_count, val_row_count, test_row_count, total_row_count,
-    'v1' AS feature_version, {_FEATURE_HASH} AS feature_hash, {_SCHEMA_HASH} AS schema_hash
+    'v1' AS feature_version, {_FEATURE_HASH} AS feature_hash, {_SCHEMA_HASH} AS schema_hash,
+    (SELECT content_hash FROM ({_content(_NARROW_ROWS, [*_KEPT, "split"], _FLOATS)}) AS hashed) AS content_hash
 FROM (SELECT {_COUNTS}, count(*) AS total_row_count FROM split_rows) AS counted""")
-oracle("dataset_publish", """
-SELECT item_id, store_id, run_date, split, CAST(sales AS DOUBLE) AS sales, sales_lag_7,
-    round(CAST(CAST(sales_roll_mean_28 AS FLOAT) AS DOUBLE), 3) AS sales_roll_mean_28 FROM split_rows""")
-
-# ---- whole runs ----------------------------------------------------------------------------------------------
-
-oracle("etl_run", f"""
-SELECT CAST(1 AS BIGINT) AS run_id, 'demand_etl' AS dag_id, last_day AS run_date, 'success' AS status,
-    CAST(NULL AS VARCHAR) AS error_message, series * calendar_days AS rows_bronze,
-    series * calendar_days AS rows_silver, series * calendar_days AS rows_gold
-FROM (SELECT count(*) AS series FROM {_SERIES}) AS counted
-CROSS JOIN (SELECT count(*) AS calendar_days, max(date) AS last_day FROM days WHERE year(date) >= 2000) AS kept""")
-oracle("ml_run", f"""
-SELECT '1' AS run_id, 'demand_features' AS pipeline_name, last_day AS run_date, 'success' AS run_status,
-    series * window_days AS total_row_count, stage, 'success' AS stage_status
-FROM (SELECT count(*) AS series FROM {_SERIES}) AS counted
-CROSS JOIN (
-    SELECT max(date) AS last_day, count(*) FILTER (WHERE date >= (SELECT max(date) FROM days) - 365) AS window_days FROM days
-) AS kept
-CROSS JOIN (SELECT unnest(['train', 'predict', 'evaluate']) AS stage) AS stages""")
+oracle("dataset_publish", f"""
+SELECT {", ".join(f"round(CAST({name} AS DOUBLE), 3) AS {name}" if name in _FLOATS else name for name in _KEPT)}, split
+FROM {_NARROW_ROWS}""")
+oracle("candidate_baseline", f"""
+SELECT 'baseline_prediction' AS model, CAST(NULL AS INTEGER) AS priority, round({_rmse("p")}, 6) AS rmse,
+    round({_wmape("p")}, 6) AS wmape, CAST(0 AS DOUBLE) AS improvement_pct
+FROM (SELECT CAST(sales AS DOUBLE) AS sales, CAST(sales_lag_7 AS DOUBLE) AS p FROM split_rows WHERE split = 'val') AS held""")
+oracle("batch_predict_rows", """
+SELECT item_id, store_id, dept_id, run_date, CAST(sales AS DOUBLE) AS sales, CAST(sales_lag_7 AS DOUBLE) AS baseline_prediction
+FROM split_rows WHERE split = 'test'""")
+
+# ---- whole runs: every series on every day of the calendar, eight years (2922 days) later ----------------------
+
+_RUN_VIEWS = f""", run_calendar AS (
+    SELECT * REPLACE (date + 2922 AS date, dayname(date + 2922) AS weekday,
+        CAST((dayofweek(date + 2922) + 1) % 7 + 1 AS INTEGER) AS wday, year + 8 AS year) FROM calendar
+), run_bronze AS (
+    SELECT s.item_id, s.store_id, s.dept_id, s.cat_id, s.state_id, c.d, coalesce(b.sales, 0) AS sales, c.date AS run_date,
+        'v1' AS _pipeline_version
+    FROM {_SERIES} AS s CROSS JOIN run_calendar AS c LEFT JOIN sales_daily AS b
+        ON b.item_id = s.item_id AND b.store_id = s.store_id AND b.d = c.d
+), run_silver AS (
+    SELECT b.run_date, {CLOCK} AS _processed_time, b._pipeline_version, b.store_id, b.item_id, b.d, c.date, b.dept_id, b.cat_id,
+        b.state_id, b.sales, p.sell_price, c.wm_yr_wk, c.weekday, c.wday, c.month, c.year,
+        {", ".join(f"nullif(c.{name}, 'NaN') AS {name}" for name in EVENTS)},
+        {", ".join(f"coalesce(c.{name}, 0) AS {name}" for name in SNAPS)}
+    FROM run_bronze AS b JOIN run_calendar AS c ON b.d = c.d
+    LEFT JOIN sell_prices AS p ON b.store_id = p.store_id AND b.item_id = p.item_id AND c.wm_yr_wk = p.wm_yr_wk
+), run_gold AS ({_gold("run_silver")}
+)
+"""
+_RUN_VIEWS = _RUN_VIEWS.replace(f"FROM {_SERIES} AS s", "FROM (SELECT DISTINCT item_id, store_id, dept_id, cat_id, state_id FROM sales_daily) AS s")
+
+
+def run_oracle(name: str, body: str) -> None:
+    ORACLES[name] = f"{VIEWS.rstrip()}{_RUN_VIEWS}{body.strip()}"
+
+
+run_oracle("etl_run", """
+SELECT CAST(1 AS BIGINT) AS run_id, 'demand_etl' AS dag_id, max(run_date) AS run_date, 'success' AS status,
+    CAST(NULL AS VARCHAR) AS error_message, count(*) AS rows_bronze, (SELECT count(*) FROM run_silver) AS rows_silver,
+    count(*) AS rows_gold
+FROM run_bronze""")
+run_oracle("etl_run_tables", " UNION ALL ".join(
+    f"SELECT run_date, rows, content_hash, '{layer}' AS layer FROM ({_content(source, columns, _WHOLE_SALES, 'run_date')}) AS {source}_days"
+    for layer, source, columns in (
+        ("bronze_sales", "run_bronze", BRONZE_COLUMNS), ("silver_table", "run_silver", SILVER_COLUMNS), ("gold_table", "run_gold", GOLD_COLUMNS))
+))
+run_oracle("ml_run", f"""
+SELECT '1' AS run_id, 'demand_features' AS pipeline_name, last_day AS run_date, 'success' AS run_status, total_row_count,
+    stage, 'success' AS stage_status, metric, slice, round(value, 5) AS value
+FROM (
+    SELECT *, (SELECT max(run_date) FROM run_gold) AS last_day,
+        (SELECT count(*) FROM run_gold WHERE run_date >= (SELECT max(run_date) FROM run_gold) - 365) AS total_row_count
+    FROM (
+        WITH tested AS (
+            SELECT CAST(sales AS DOUBLE) AS sales, CAST(sales_lag_7 AS DOUBLE) AS baseline_prediction, store_id, dept_id FROM run_gold
+            WHERE run_date > (SELECT max(run_date) FROM run_gold) - 365 + CAST(floor(365 * CAST(0.85 AS DOUBLE)) AS INTEGER)
+        )
+        SELECT 'predict' AS stage, 'prediction_rows' AS metric, 'all' AS slice, CAST(count(*) AS DOUBLE) AS value FROM tested
+        UNION ALL SELECT 'evaluate', 'rows', 'all', count(*) FROM tested
+        UNION ALL SELECT 'evaluate', 'rows', 'store_id=' || store_id, count(*) FROM tested GROUP BY store_id
+        UNION ALL SELECT 'evaluate', 'rows', 'dept_id=' || dept_id, count(*) FROM tested GROUP BY dept_id
+        UNION ALL SELECT 'evaluate', 'baseline_rmse', 'all', {_rmse("baseline_prediction")} FROM tested
+        UNION ALL SELECT 'evaluate', 'baseline_mae', 'all', avg(abs(sales - baseline_prediction)) FROM tested
+        UNION ALL SELECT 'evaluate', 'baseline_wmape', 'all', {_wmape("baseline_prediction")} FROM tested
+    ) AS stored
+) AS told""")

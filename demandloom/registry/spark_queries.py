@@ -17,12 +17,11 @@ from demandloom.functions import scalars as C
 from demandloom.operators import encoding, evaluation, features, joins, ledger, quality, rules, splits, storage
 from demandloom.operators.dedup import keep_first
 from demandloom.plans import bronze as bronze_plan
-from demandloom.operators.rules import FIRST_YEAR
 from demandloom.plans import dataset as dataset_plan
 from demandloom.plans import gold as gold_plan
 from demandloom.plans import runs as runs_plan
 from demandloom.plans import training
-from demandloom.plans.evaluation import evaluate, run_evaluation
+from demandloom.plans.evaluation import SLICE_MEASURES, read_slice_csv, run_evaluation
 from demandloom.session import configure, scratch_path
 from demandloom.sources import csv, libsvm, tables
 
@@ -167,7 +166,7 @@ def libsvm_roundtrip(spark, sf_dir):
 @query
 def partition_overwrite(spark, sf_dir):
     """The days from the run date on are loaded twice; the second load replaces the first."""
-    root = scratch_path(spark, "sales")
+    root = f"{scratch_path(spark, 'warehouse')}/sales"
     rows = X.sales_daily(spark, sf_dir)
     storage.overwrite_partitions(rows, root)
     again = rows.where(F.col("run_date") >= F.lit(X.RUN_DATE)).withColumns(
@@ -180,25 +179,25 @@ def partition_overwrite(spark, sf_dir):
 @query
 def dimension_overwrite(spark, sf_dir):
     """A price table replaced by a version computed from itself."""
-    root = scratch_path(spark, "prices")
+    root = f"{scratch_path(spark, 'warehouse')}/prices"
     order = ("wm_yr_wk", "store_id", "item_id")
     storage.overwrite_table(X.sell_prices(spark, sf_dir), root, sort=order)
     raised = tables.read_table(spark, root, S.PRICE_SCHEMA).withColumn("sell_price", F.col("sell_price") * 2)
-    storage.overwrite_table(raised, root, lambda df: quality.check(df, rules.price_rules(), "sell_prices"), order)
+    storage.overwrite_table(raised, root, sort=order, rules=rules.price_rules(), layer="sell_prices")
     return tables.read_table(spark, root, S.PRICE_SCHEMA)
 
 
 @query
 def publish_if_valid(spark, sf_dir):
     """A batch with negative sales and an empty batch are refused and leave the table alone."""
-    root = scratch_path(spark, "sales")
+    root = f"{scratch_path(spark, 'warehouse')}/sales"
     rows = X.sales_daily(spark, sf_dir)
-    gate = lambda df: quality.check(df, rules.bronze_rules(), "bronze")
-    storage.overwrite_partitions(rows, root, checks=gate)
+    gate = {"rules": rules.bronze_rules(), "layer": "bronze"}
+    storage.overwrite_partitions(rows, root, **gate)
     refused = 0
     for bad in (rows.withColumn("sales", -F.col("sales")), rows.where("false")):
         try:
-            storage.overwrite_partitions(bad, root, checks=gate)
+            storage.overwrite_partitions(bad, root, **gate)
         except quality.QualityError:
             refused += 1
     return tables.read_table(spark, root, S.BRONZE_SCHEMA).withColumn("refused", F.lit(refused))
@@ -206,11 +205,18 @@ def publish_if_valid(spark, sf_dir):
 
 @query
 def bronze_run(spark, sf_dir):
-    """Load of one day from a wide file with malformed cells and repeated lines."""
+    """Load of one day from a wide file with malformed cells and repeated lines, and of both dimensions with it."""
     cfg = X.pipeline(spark)
-    path = X.write_wide_csv(spark, sf_dir, dirty=True)
-    bronze_plan.run_bronze(spark, cfg, [X.RUN_DATE], path)
-    return tables.read_table(spark, cfg.table(bronze_plan.BRONZE), S.BRONZE_SCHEMA)
+    path, calendar_path, prices_path = X.write_wide_csv(spark, sf_dir, dirty=True), scratch_path(spark, "csv"), scratch_path(spark, "csv")
+    X.calendar(spark, sf_dir).write.option("header", True).csv(calendar_path)
+    X.dirty_prices(X.sell_prices(spark, sf_dir)).write.option("header", True).csv(prices_path)
+    bronze_plan.run_bronze(spark, cfg, [X.RUN_DATE], path, calendar_path, prices_path)
+    days = tables.read_table(spark, cfg.table(bronze_plan.CALENDAR), S.CALENDAR_SCHEMA).agg(
+        F.count(F.lit(1)).alias("calendar_rows"), F.sum("snap_tx").alias("snap_days"))
+    prices = tables.read_table(spark, cfg.table(bronze_plan.PRICES), S.PRICE_SCHEMA).agg(
+        F.count(F.lit(1)).alias("price_rows"), F.count("sell_price").alias("readable_prices"))
+    sales = tables.read_table(spark, cfg.table(bronze_plan.BRONZE), S.BRONZE_SCHEMA)
+    return sales.crossJoin(F.broadcast(days)).crossJoin(F.broadcast(prices))  # one row each
 
 
 @query
@@ -330,28 +336,34 @@ def safe_date(spark, sf_dir):
     return X.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("raw"), C.safe_date(text).alias("day"))
 
 
-def _vocabulary(spark, sf_dir) -> DataFrame:
+def _staged_split(spark, sf_dir) -> DataFrame:
+    """The split rows as a table, as a dataset build keeps them: gold is computed once for all that reads them."""
+    path = scratch_path(spark, "split-rows")
+    split_rows(spark, sf_dir).select(*S.MODEL_COLUMNS, "split").write.partitionBy("split").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _vocabulary(rows: DataFrame) -> DataFrame:
     """Fitted on the training rows and kept as a table, as a dataset build does."""
-    train = split_rows(spark, sf_dir).where("split = 'train'")
+    spark = rows.sparkSession
     path = scratch_path(spark, "vocabulary")
-    dataset_plan.write_vocabulary(train, path)
+    dataset_plan.write_vocabulary(rows.where("split = 'train'"), path)
     return spark.read.parquet(path)
 
 
+def _cells(assembled: DataFrame, names: list[str]) -> list[Column]:
+    cells = vector_to_array("features")
+    return [F.round(cells[i], 4).alias(f"f_{name}") for i, name in enumerate(names)]
+
+
 @query
 def feature_vector(spark, sf_dir):
-    """The model vector of every split row; a few of its cells are shown."""
-    names = splits.model_features()
-    narrow = splits.narrow(split_rows(spark, sf_dir).select(*S.MODEL_COLUMNS, "split"))
-    keyed = narrow.select("*", *[F.col(name).alias(f"key_{name}") for name in S.SERIES_KEY])
-    encoded = encoding.encode(keyed, _vocabulary(spark, sf_dir))
-    cells = vector_to_array("features")
-    shown = ["item_id", "store_id", "event_type_1", "sell_price", "sales_lag_7", "sales_roll_std_28", "is_cold_start", "wm_yr_wk"]
-    return dataset_plan.assemble(encoded, names).select(
-        F.col("key_item_id").alias("item_id"), F.col("key_store_id").alias("store_id"), "run_date",
-        F.size(cells).alias("width"),
-        *[F.round(cells[names.index(name)], 4).alias(f"f_{name}") for name in shown],
-    )
+    """The model vector of every split row, cell by cell."""
+    names, rows = splits.model_features(), _staged_split(spark, sf_dir)
+    keyed = splits.narrow(rows).select("*", *[F.col(name).alias(f"key_{name}") for name in S.SERIES_KEY])
+    assembled = dataset_plan.assemble(encoding.encode(keyed, _vocabulary(rows)), names)
+    return assembled.select(
+        F.col("key_item_id").alias("item_id"), F.col("key_store_id").alias("store_id"), "run_date", *_cells(assembled, names))
 
 
 @query
@@ -415,10 +427,11 @@ def silver_partition(spark, sf_dir):
 
 @query
 def ordinal_encode(spark, sf_dir):
-    rows = split_rows(spark, sf_dir).select(
+    rows = _staged_split(spark, sf_dir)
+    named = rows.select(
         F.col("item_id").alias("item"), F.col("store_id").alias("store"), "run_date", "split", *S.CATEGORICAL_COLUMNS
     )
-    return encoding.encode(rows, _vocabulary(spark, sf_dir))
+    return encoding.encode(named, _vocabulary(rows))
 
 
 @query
@@ -485,21 +498,15 @@ def slice_summary(spark, sf_dir):
 
 @query
 def evaluate_run(spark, sf_dir):
-    """Predictions written, evaluated and reported as one table of named values."""
-    path = scratch_path(spark, "predictions")
+    """Predictions written and evaluated: the stored metrics, those of slice members taken from the CSV files."""
+    path, output = scratch_path(spark, "predictions"), scratch_path(spark, "evaluation")
     predictions(spark, sf_dir).write.parquet(path)
-    values = run_evaluation(spark, path, scratch_path(spark, "evaluation"))
-    overall, slices, summary = evaluate(tables.scan_columns(spark, path, S.PREDICTION_COLUMNS))
-    named = ["test_rmse", "test_mae", "test_wmape", "test_r2", "error_mean", "error_std", "baseline_rmse",
-             "baseline_mae", "baseline_wmape", "wmape_improvement_pct", "abs_error_improvement_pct"]
-    long = overall.select(*named).unpivot([], named, "metric", "value")
-    spread = ["avg_wmape", "best_wmape", "worst_wmape", "median_wmape", "p90_wmape"]
-    long = long.unionByName(
-        summary.unpivot(["slice"], spread, "metric", "value").select(
-            F.concat_ws("_", "slice", "metric").alias("metric"), "value"
-        )
-    )
-    return rounded(long.where(F.col("metric").isin(*values)), 5)
+    stored = run_evaluation(spark, path, output).where(~F.col("slice").contains("="))
+    for name in evaluation.SLICES:
+        members = read_slice_csv(spark, output, name).select(
+            F.concat(F.lit(f"{name}="), name).alias("slice"), *[F.col(m).cast("double").alias(m) for m in SLICE_MEASURES])
+        stored = stored.unionByName(members.unpivot(["slice"], SLICE_MEASURES, "metric", "value"))
+    return rounded(stored, 5)
 
 
 @query
@@ -560,12 +567,10 @@ def gold_backfill(spark, sf_dir):
 
 @query
 def dataset_order(spark, sf_dir):
-    """Global export order, shown by each row's place."""
-    from pyspark.sql import Window
-
-    ordered = history_rows(spark, sf_dir)
-    place = F.row_number().over(Window.partitionBy("item_id", "store_id").orderBy("run_date"))
-    return ordered.withColumn("place", place).orderBy("item_id", "store_id", "run_date")
+    """Export order: each row's place among all rows of its split, by file and position in the written files."""
+    path = scratch_path(spark, "splits")
+    dataset_plan.write_splits(split_rows(spark, sf_dir).select("item_id", "store_id", "run_date", "sales", "split"), path)
+    return dataset_plan.read_places(spark, path).select("split", "item_id", "store_id", "run_date", "sales", "place")
 
 
 @query
@@ -658,12 +663,21 @@ def ml_soft_checks(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
-    """All silver rules over a dirty batch, with what the severity policy does about each."""
-    report = quality.check(dirty_silver(spark, sf_dir), rules.silver_rules(False), "silver").unionByName(
-        quality.check(window_gold(spark, sf_dir), rules.ml_soft_rules(), "dataset")
-    )
-    action = F.when(F.col("passed"), "pass").when(F.col("severity") == quality.CRITICAL, "raise").otherwise("warn")
-    return report.groupBy("layer", "severity", action.alias("action")).agg(F.count(F.lit(1)).alias("rules"))
+    """Rules counted while a dirty batch and the window's rows are written, and what became of each batch."""
+    home, told = scratch_path(spark, "warehouse"), []
+    batches = [
+        storage.Batch(dirty_silver(spark, sf_dir), f"{home}/silver", rules=tuple(rules.silver_rules(False)), layer="silver"),
+        storage.Batch(window_gold(spark, sf_dir), f"{home}/dataset", rules=tuple(rules.ml_soft_rules()), layer="dataset"),
+    ]
+    for batch in batches:
+        reports, refused = [], False
+        try:
+            storage.publish([batch], reports=reports)
+        except quality.QualityError as error:
+            reports, refused = error.report, True
+        told += [(*row, refused) for row in reports]
+    action = F.when(F.col("passed"), "pass").when(F.col("refused") & (F.col("severity") == quality.CRITICAL), "raise").otherwise("warn")
+    return spark.createDataFrame(told, f"{quality.REPORT_DDL}, refused boolean").withColumn("action", action)
 
 
 # ---- ledger --------------------------------------------------------------------------------------------------
@@ -685,13 +699,15 @@ def upsert_ignore(spark, sf_dir):
 
 @query
 def keyed_update(spark, sf_dir):
-    """States of known runs replaced and stamped; runs the target lacks are ignored."""
+    """States of known runs replaced and stamped when they end, cleared when they run again; unknown runs are ignored."""
     target, source = X.ledger_halves(spark, sf_dir)
-    changes = source.select("dag_id", "run_date", "status").withColumn(
+    kind = F.col("run_id") % 3
+    state = F.when(kind == 0, "success").when(kind == 1, "failed").otherwise("running")
+    changes = source.select("dag_id", "run_date", state.alias("status")).withColumn(
         "ended_at", ledger.terminal_stamp("status", clock())
     )
-    started = target.withColumn("ended_at", F.lit(None).cast("timestamp"))
-    return plain_time(ledger.update_by_key(started, changes, ["dag_id", "run_date"]), "ended_at")
+    ended = target.withColumn("ended_at", clock() - F.expr("INTERVAL 1 DAY"))
+    return plain_time(ledger.update_by_key(ended, changes, ["dag_id", "run_date"]), "ended_at")
 
 
 @query
@@ -759,17 +775,41 @@ def build_dataset(spark, sf_dir):
 def dataset_publish(spark, sf_dir):
     """The rows of the published split files."""
     _, manifest = _dataset(spark, sf_dir)
-    return dataset_plan.read_split(spark, manifest["dataset_dir"]).select(
-        "item_id", "store_id", "run_date", "split", F.col("sales").cast("double").alias("sales"), "sales_lag_7",
-        F.round(F.col("sales_roll_mean_28").cast("double"), 3).alias("sales_roll_mean_28"),
-    )
+    rows = dataset_plan.read_split(spark, manifest["dataset_dir"])
+    return rows.select(*[
+        F.round(F.col(field.name).cast("double"), 3).alias(field.name) if field.dataType.typeName() == "float" else F.col(field.name)
+        for field in rows.schema
+    ])
+
+
+@query
+def dataset_libsvm(spark, sf_dir):
+    """The learner files of the published dataset, read back by split."""
+    _, manifest = _dataset(spark, sf_dir)
+    names, out = manifest["features"], None
+    for split in S.SPLITS:
+        read = libsvm.read_libsvm(spark, f"{manifest['dataset_dir']}/libsvm/{split}", len(names))
+        part = read.select(F.lit(split).alias("split"), "label", *_cells(read, names))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def content_fingerprint(spark, sf_dir):
+    """Rows and content hash of every day of gold, from rows dealt anew; the hash does not depend on their order."""
+    gold = gold_rows(spark, sf_dir).repartition(7)
+    return splits.content_sums(gold, ["run_date"], ["_processed_time"])
 
 
-def _trained(spark, sf_dir):
-    cfg, manifest = _dataset(spark, sf_dir)
+def _learner_rows(spark, manifest: dict) -> tuple[DataFrame, DataFrame]:
     names, home = manifest["features"], manifest["dataset_dir"]
-    train, val = (libsvm.read_libsvm(spark, f"{home}/libsvm/{split}", len(names)) for split in ("train", "val"))
-    return manifest, names, val, training.train_candidates(train, val)
+    return tuple(libsvm.read_libsvm(spark, f"{home}/libsvm/{split}", len(names)) for split in ("train", "val"))
+
+
+def _trained(spark, sf_dir, rounds: int = training.MAX_ROUNDS):
+    _, manifest = _dataset(spark, sf_dir)
+    train, val = _learner_rows(spark, manifest)
+    return manifest, manifest["features"], val, training.train_candidates(train, val, rounds)
 
 
 @query
@@ -787,9 +827,15 @@ def candidate_metrics(spark, sf_dir):
 
 
 @query
-def batch_predict(spark, sf_dir):
-    """The better candidate, saved and loaded again, over the test rows."""
-    manifest, names, val, models = _trained(spark, sf_dir)
+def candidate_baseline(spark, sf_dir):
+    """The baseline's row of the candidates' table, over the validation rows of the learner files."""
+    _, manifest = _dataset(spark, sf_dir)
+    _, val = _learner_rows(spark, manifest)
+    return rounded(training.candidate_metrics({}, val, manifest["features"]))
+
+
+def _predicted(spark, sf_dir, rounds: int) -> DataFrame:
+    manifest, names, val, models = _trained(spark, sf_dir, rounds)
     home = scratch_path(spark, "models")
     training.save_models(spark, models, training.select_best(training.candidate_metrics(models, val, names)), home)
     _, model = training.load_best(spark, home)
@@ -799,36 +845,59 @@ def batch_predict(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-# ---- whole runs ----------------------------------------------------------------------------------------------
+@query
+def batch_predict(spark, sf_dir):
+    """The better candidate, saved and loaded again, over the test rows."""
+    return _predicted(spark, sf_dir, training.MAX_ROUNDS)
 
 
-def _loaded(spark, sf_dir, days: list[dt.date]) -> tuple[PipelineConfig, int]:
-    cfg = X.pipeline(spark)
-    sales, calendar, prices = X.write_raw_files(spark, sf_dir)
-    return cfg, runs_plan.run_etl(spark, cfg, days, sales, calendar, prices)
+@query
+def batch_predict_rows(spark, sf_dir):
+    """Everything but the prediction of a written prediction file, by the row's key; two rounds do for that."""
+    return _predicted(spark, sf_dir, 2).select("item_id", "store_id", "dept_id", "run_date", "sales", "baseline_prediction")
+
+
+# ---- whole runs ----------------------------------------------------------------------------------------------
 
 
-def _all_days(spark, sf_dir) -> list[dt.date]:
-    """Every day that the gold rules accept (its year must be 2000 or later): partition names only."""
-    days = X.calendar(spark, sf_dir).where(F.col("year") >= FIRST_YEAR)
-    return sorted(row["date"] for row in days.select("date").collect())
+def _loaded(spark, sf_dir) -> tuple[PipelineConfig, list[dt.date]]:
+    """Raw files to gold for every day of the calendar in one backfill."""
+    cfg = X.pipeline(spark, X.SHIFTED_BASE)
+    sales, calendar, prices = X.write_raw_files(spark, sf_dir)
+    days = sorted(row["date"] for row in csv.read_calendar(spark, calendar).select("date").collect())
+    runs_plan.run_etl(spark, cfg, days, sales, calendar, prices)
+    return cfg, days
 
 
 @query
 def etl_run(spark, sf_dir):
-    """Raw files to gold for all days in one backfill; the ledger row of the run."""
-    cfg, _ = _loaded(spark, sf_dir, _all_days(spark, sf_dir))
+    """The ledger row of the run."""
+    cfg, _ = _loaded(spark, sf_dir)
     return runs_plan.Ledger(spark, cfg).etl_runs().select(
         "run_id", "dag_id", "run_date", "status", "error_message", "rows_bronze", "rows_silver", "rows_gold"
     )
 
 
+@query
+def etl_run_tables(spark, sf_dir):
+    """What the run has published: rows and content of bronze, silver and gold on every day."""
+    cfg, _ = _loaded(spark, sf_dir)
+    at = runs_plan.Ledger(spark, cfg).snapshot()
+    out = None
+    for name, schema in ((bronze_plan.BRONZE, S.BRONZE_SCHEMA), (gold_plan.SILVER, S.SILVER_SCHEMA), (gold_plan.GOLD, S.GOLD_SCHEMA)):
+        table = tables.read_table(spark, cfg.table(name), schema, at)
+        part = splits.content_sums(table, ["run_date"], ["_processed_time"]).withColumn("layer", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def ml_run(spark, sf_dir):
-    """Raw files to metrics; the lineage of the run."""
-    days = _all_days(spark, sf_dir)
-    cfg, _ = _loaded(spark, sf_dir, days)
+    """Raw files to metrics: the lineage of the run with the stored metrics that need no model to check."""
+    cfg, days = _loaded(spark, sf_dir)
     runs_plan.run_ml(spark, cfg, max(days))
-    return runs_plan.Ledger(spark, cfg).lineage().select(
-        "run_id", "pipeline_name", "run_date", "run_status", "total_row_count", "stage", "stage_status"
-    )
+    view = runs_plan.Ledger(spark, cfg).lineage(metrics=True)
+    known = ["prediction_rows", "rows", "baseline_rmse", "baseline_mae", "baseline_wmape"]
+    return rounded(view.where(F.col("metric").isin(known)).select(
+        "run_id", "pipeline_name", "run_date", "run_status", "total_row_count", "stage", "stage_status", "metric", "slice", "value"
+    ), 5)

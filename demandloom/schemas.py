@@ -46,7 +46,8 @@ TARGET = "sales"
 DATE_COLUMN = "run_date"
 SPLIT_COLUMN = "split"
 SPLITS = ("train", "val", "test")
-PREDICTION_COLUMNS = ["prediction", "baseline_prediction", "sales", "store_id", "dept_id"]
+SCORED_COLUMNS = ["prediction", "baseline_prediction", "sales", "store_id", "dept_id"]
+PREDICTION_COLUMNS = [*SCORED_COLUMNS, "item_id", "run_date"]
 
 BRONZE_KEY = ["item_id", "store_id", "run_date"]
 PRICE_KEY = ["store_id", "item_id", "wm_yr_wk"]
@@ -101,13 +102,17 @@ DATASET_SCHEMA = _struct({
     "dataset_start_date": _DATE, "dataset_end_date": _DATE, "train_path": _TEXT, "val_path": _TEXT,
     "test_path": _TEXT, "train_row_count": _LONG, "val_row_count": _LONG, "test_row_count": _LONG,
     "total_row_count": _LONG, "feature_version": _TEXT, "feature_hash": _TEXT, "schema_hash": _TEXT,
-    "created_at": _TIME,
+    "content_hash": _TEXT, "created_at": _TIME,
 })
 ML_STAGE_SCHEMA = _struct({
     "ml_run_id": _TEXT, "run_id": _TEXT, "dataset_id": _TEXT, "stage": _TEXT, "status": _TEXT,
     "tracking_id": _TEXT, "source_tracking_id": _TEXT, "created_at": _TIME, "ended_at": _TIME,
     "error_message": _TEXT,
 })
+METRIC_SCHEMA = _struct({
+    "run_id": _TEXT, "dataset_id": _TEXT, "stage": _TEXT, "metric": _TEXT, "slice": _TEXT, "value": _DOUBLE,
+    "ml_run_id": _TEXT,
+})
 ETL_RUN_KEY = ["pipeline_name", "dag_id", "run_date"]
 ETL_STEP_KEY = ["run_id", "dag_id", "step_name"]
 ML_RUN_KEY = ["run_id"]

@@ -9,31 +9,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.operators.storage import partition_days
+from demandloom.operators.storage import BATCH, Snapshot, snapshot_of
 from demandloom.schemas import DATE_COLUMN
 from demandloom.sources.csv import require_columns
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A Parquet table; a declared schema saves the footer read that inference needs."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, at: Snapshot | None = None
+) -> DataFrame:
+    """A published table as of a snapshot (the newest if not given), or a plain Parquet folder.
+
+    A declared schema saves the footer read that inference needs. The rows stay those of the snapshot, whatever is
+    published while they are read.
+    """
+    state = (at or snapshot_of(spark, path)).table(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
-    table = reader.parquet(path)
+    if state is None:
+        table = reader.parquet(path)
+        return table if schema is None else table.select(*schema.names)
+    folders = state.folders(path)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    if state.partition is None:
+        table = reader.parquet(*folders)
+    else:
+        table = reader.option("basePath", path).parquet(*folders).drop(BATCH)
     return table if schema is None else table.select(*schema.names)
 
 
 def read_days(
-    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[dt.date], column: str = DATE_COLUMN
+    spark: SparkSession, path: str, schema: T.StructType, days: Sequence[dt.date], at: Snapshot | None = None
 ) -> DataFrame:
     """Some days of a date-partitioned table, given by folder: the folders of all other days are not even listed.
 
     Opening the whole table would list every file of every day before a filter prunes them.
     """
-    present = set(partition_days(spark, path, column))
-    folders = [f"{path}/{column}={day.isoformat()}" for day in sorted(set(days) & present)]
+    state = (at or snapshot_of(spark, path)).table(path)
+    folders = state.folders(path, [day.isoformat() for day in days]) if state else []
     if not folders:
         return spark.createDataFrame([], schema)
-    if len(folders) == len(present):
-        folders = [path]
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
 
 

@@ -99,3 +99,73 @@ def test_patience_ends_boosting_at_the_lowest_error():
     assert best_round([5.0, 4.0, 4.5, 3.0, 3.5, 3.4, 3.3, 2.0], 3) == (4, True)
     assert best_round([5.0, 4.0, 4.5, 3.0], 3) == (4, False)
     assert best_round([1.0], 3) == (1, False)
+
+
+def learner_rows(spark, count=300):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(float(i % 7) + (i * 37 % 11) / 10, Vectors.dense([float(i % 7), float(i * 13 % 5), float(i % 3)])) for i in range(count)]
+    return spark.createDataFrame(rows, ["label", "features"])
+
+
+def test_a_cut_model_is_the_model_of_fewer_rounds(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    from demandloom.plans.training import cut_model
+
+    rows, params = learner_rows(spark), {"maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "seed": 5}
+    whole = GBTRegressor(maxIter=9, **params).fit(rows)
+    for rounds in (1, 4, 8):
+        cut, fresh = cut_model(spark, whole, rounds), GBTRegressor(maxIter=rounds, **params).fit(rows)
+        assert cut.getNumTrees == rounds and cut.treeWeights == fresh.treeWeights
+        pairs = zip(cut.transform(rows).select("prediction").collect(), fresh.transform(rows).select("prediction").collect())
+        assert max(abs(a[0] - b[0]) for a, b in pairs) < 1e-9
+
+
+def test_no_fit_follows_the_stop(spark, monkeypatch):
+    """Validation rows unlike the training rows: boosting ends early, and the rounds after the best are cut, not fitted."""
+    from demandloom.plans import training
+
+    fits = []
+
+    class Counted(training.GBTRegressor):
+        def fit(self, dataset, params=None):
+            fits.append(self.getMaxIter())
+            return super().fit(dataset, params)
+
+    rows, params = learner_rows(spark), {"maxDepth": 3, "stepSize": 0.5}
+    against = rows.withColumn("label", F.col("label") + F.sin(F.col("label") * 40) * 2)
+    monkeypatch.setattr(training, "GBTRegressor", Counted)
+    model = training.fit_with_patience(rows, against, 100, params, 5, patience=4)
+    reached = [min(100, 5 * 2**k) for k in range(len(fits))]
+    monkeypatch.undo()
+    errors = training.GBTRegressor(maxIter=fits[-1], seed=5, **params).fit(rows).evaluateEachIteration(against, "squared")
+    best, stopped = training.best_round(errors, 4)
+    assert fits == reached and stopped and model.getNumTrees == best < fits[-1]
+
+
+def test_content_hash_knows_the_rows_but_not_their_order(spark):
+    rows = [(n, f"i{n % 5}", n / 4, dt.date(2020, 1, 1 + n % 3), None if n % 4 else True) for n in range(200)]
+    ddl = "sales int, item string, price double, day date, flag boolean"
+    told = lambda rows: tuple(splits.content_sums(spark.createDataFrame(rows, ddl).repartition(5)).first())
+    whole = told(rows)
+    assert whole[0] == 200 and told(rows[::-1]) == whole == told(rows[100:] + rows[:100])
+    assert told(rows + rows[:1])[1] != whole[1] != told(rows[1:])[1]
+    for changed in ((0, "i0", 0.0, dt.date(2020, 1, 1), None), (0, "i0", 0.0, dt.date(2020, 1, 2), True), (0, "", 0.0, dt.date(2020, 1, 1), True), (0, "i0", 0.0001, dt.date(2020, 1, 1), True)):
+        assert told([changed, *rows[1:]])[1] != whole[1]
+    swapped = [(rows[1][0], *rows[0][1:]), (rows[0][0], *rows[1][1:]), *rows[2:]]
+    assert told(swapped)[1] != whole[1] and told([]) == (0, "0-0")
+    days = splits.content_sums(spark.createDataFrame(rows, ddl), ["day"], ["flag"]).collect()
+    assert sum(r["rows"] for r in days) == 200 and len({r["content_hash"] for r in days}) == 3
+
+
+def test_places_follow_files_and_rows(spark, tmp_path):
+    from demandloom.plans.dataset import read_places, write_splits
+
+    rows = [(f"i{n % 9}", f"s{n % 4}", END - dt.timedelta(days=n % 50), n, "train" if n % 5 else "test") for n in range(900)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, run_date date, sales int, split string").repartition(6)
+    write_splits(df, str(tmp_path / "w"))
+    for split in ("train", "test"):
+        found = read_places(spark, str(tmp_path / "w")).where(F.col("split") == split).orderBy("place").collect()
+        keys = [(r["item_id"], r["store_id"], r["run_date"]) for r in found]
+        assert keys == sorted(keys) and [r["place"] for r in found] == list(range(1, len(keys) + 1))

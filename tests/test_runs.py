@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from demandloom.config import PipelineConfig
 from demandloom.operators.quality import EmptyBatch, QualityError
-from demandloom.operators.storage import partition_days
+from demandloom.operators import storage
+from demandloom.operators.storage import StaleWrite, partition_days
 from demandloom.plans import bronze, gold, runs, silver
-from demandloom.schemas import GOLD_SCHEMA, PREDICTION_COLUMNS
+from demandloom.schemas import GOLD_SCHEMA, PREDICTION_COLUMNS, SERIES_KEY
 from demandloom.sources.tables import read_table
 
 BASE = dt.date(2011, 1, 29)
@@ -71,16 +72,48 @@ def test_daily_runs_with_tails_equal_one_backfill(spark, tmp_path, files):
         silver.run_silver(spark, daily, [day(n)])
         gold.run_gold(spark, daily, [day(n)])
     assert gold_rows(spark, daily) == gold_rows(spark, whole)
-    tails = partition_days(spark, daily.table(gold.TAIL), "as_of")
+    tails = partition_days(spark, daily.table(gold.TAIL))
     assert tails == [day(last - 1), day(last)]
     gold.run_gold(spark, daily, [day(last)])
     assert gold_rows(spark, daily) == gold_rows(spark, whole)
     silver.run_silver(spark, daily, [day(last - 1)])
-    assert partition_days(spark, daily.table(gold.TAIL), "as_of") == []
+    assert partition_days(spark, daily.table(gold.TAIL)) == []
     gold.run_gold(spark, daily, [day(last)], keep_tail=False)
     assert gold_rows(spark, daily) == gold_rows(spark, whole)
 
 
+def test_an_older_rerun_says_that_it_reads_everything(spark, tmp_path, files, caplog):
+    cfg = config(tmp_path, tails_kept=1)
+    days = [day(n) for n in range(4)]
+    bronze.run_bronze(spark, cfg, days, *files)
+    silver.run_silver(spark, cfg, days)
+    for d in days:
+        gold.run_gold(spark, cfg, [d])
+    assert partition_days(spark, cfg.table(gold.TAIL)) == days[-1:] and not caplog.records
+    gold.run_gold(spark, cfg, days[1:2], keep_tail=False)
+    assert "no tail before" in caplog.text
+
+
+def test_gold_built_on_silver_that_changes_meanwhile_is_refused(spark, tmp_path, files, monkeypatch):
+    cfg = config(tmp_path)
+    days = [day(0), day(1)]
+    bronze.run_bronze(spark, cfg, days, *files)
+    silver.run_silver(spark, cfg, days)
+    real = gold.publish
+
+    def publish(*args, **kw):
+        monkeypatch.setattr(gold, "publish", real)
+        silver.run_silver(spark, cfg, [day(0)])
+        return real(*args, **kw)
+
+    monkeypatch.setattr(gold, "publish", publish)
+    with pytest.raises(StaleWrite):
+        gold.run_gold(spark, cfg, [day(1)])
+    assert partition_days(spark, cfg.table(gold.GOLD)) == [] == partition_days(spark, cfg.table(gold.TAIL))
+    gold.run_gold(spark, cfg, [day(1)])
+    assert partition_days(spark, cfg.table(gold.GOLD)) == [day(1)]
+
+
 def test_refused_runs(spark, tmp_path, files):
     cfg = config(tmp_path)
     bronze.run_bronze(spark, cfg, [day(0), day(DAYS - 1)], *files)
@@ -130,5 +163,90 @@ def test_learning_run(spark, tmp_path, files):
     book = runs.Ledger(spark, cfg)
     view = {r["stage"]: r["stage_status"] for r in book.lineage().collect()}
     assert view == {"train": "success", "predict": "success", "evaluate": "success"}
+    stages = {r["stage"]: r for r in book.ml_stages().collect()}
+    assert stages["train"]["source_tracking_id"] is None and stages["predict"]["source_tracking_id"] == stages["train"]["tracking_id"]
+    assert stages["evaluate"]["source_tracking_id"] == stages["predict"]["tracking_id"]
+    stored = {(r["stage"], r["metric"], r["slice"]): r["value"] for r in book.lineage(metrics=True).collect()}
+    assert stored["predict", "prediction_rows", "all"] == scored.count() == stored["evaluate", "rows", "all"]
+    assert stored["evaluate", "test_wmape", "all"] == metrics["test_wmape"]
+    assert {s for _, _, s in stored if s.startswith("model=")} == {"model=baseline_prediction", "model=gbt_depth6", "model=gbt_depth8"}
+    one = scored.where("store_id = 'CA_1'").agg(F.avg(F.abs(F.col("sales") - F.col("prediction")))).first()[0]
+    assert stored["evaluate", "mae", "store_id=CA_1"] == pytest.approx(one)
+    assert scored.select(*SERIES_KEY, "run_date").distinct().count() == scored.count()
     rebuilt = runs.run_ml(spark, cfg, days[-1])["manifest"]
+    assert rebuilt["content_hash"] == manifest["content_hash"]
+    assert book.lineage(metrics=True).count() == len(stored)
     assert rebuilt["dataset_id"] == manifest["dataset_id"] and book.datasets().count() == 1
+    book.delete_ml_run(manifest["run_id"])
+    left = [book.ml_runs(), book.datasets(), book.ml_stages(), book.metrics()]
+    assert [t.count() for t in left] == [0, 0, 0, 0] and book.etl_runs().count() == 1
+
+
+def ledger_state(book):
+    return [sorted(map(str, t.collect())) for t in (book.etl_runs(), book.etl_steps(), book.ml_runs(), book.ml_stages())]
+
+
+def filled_ledger(spark, cfg):
+    book = runs.Ledger(spark, cfg)
+    for n in range(2):
+        run_id = book.start_etl_run(day(n))
+        book.start_step(run_id, "bronze")
+        book.finish_step(run_id, "bronze", "success", (0, 5))
+    book.start_ml_run("1", day(0))
+    return book
+
+
+@pytest.mark.parametrize("failing", [1, 2, "pointer"])
+def test_a_failed_delete_changes_no_table(spark, tmp_path, monkeypatch, failing):
+    book = filled_ledger(spark, config(tmp_path))
+    before, real, calls = ledger_state(book), storage.stage, []
+
+    def stage(batch, reports=None):
+        calls.append(batch)
+        if len(calls) == failing:
+            raise OSError("no connection")
+        return real(batch, reports)
+
+    def no_pointer(*_):
+        raise OSError("no connection")
+
+    monkeypatch.setattr(storage, "stage", stage)
+    if failing == "pointer":
+        monkeypatch.setattr(storage, "create_once", no_pointer)
+    for delete in (lambda: book.delete_etl_run(1), lambda: book.delete_ml_run("1")):
+        calls.clear()
+        with pytest.raises(OSError):
+            delete()
+    monkeypatch.undo()
+    assert ledger_state(book) == before
+    book.delete_etl_run(1)
+    assert [r["run_id"] for r in book.etl_runs().collect()] == [2] == [r["run_id"] for r in book.etl_steps().collect()]
+
+
+def test_steps_and_stages_need_their_run(spark, tmp_path):
+    book = filled_ledger(spark, config(tmp_path))
+    before = ledger_state(book)
+    with pytest.raises(QualityError, match="references"):
+        book.start_step(9, "bronze")
+    with pytest.raises(QualityError, match="references"):
+        book.start_stage("9", "d", "train", "t")
+    with pytest.raises(QualityError, match="references"):
+        book.log_metrics("1", "d", "train", spark.createDataFrame([("m", "all", 1.0)], "metric string, slice string, value double"))
+    assert ledger_state(book) == before
+
+
+def test_two_ledger_writers_lose_nothing(spark, tmp_path):
+    """Eight threads start runs of different days at once: every run is there, with an id of its own."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    cfg = config(tmp_path)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        ids = list(pool.map(lambda n: runs.Ledger(spark, cfg).start_etl_run(day(n)), range(8)))
+    assert sorted(ids) == list(range(1, 9)) == sorted(r["run_id"] for r in runs.Ledger(spark, cfg).etl_runs().collect())
+    book = runs.Ledger(spark, cfg)
+    at = book.snapshot()
+    table = book.etl_runs(at)
+    book.write({"etl_pipeline_runs": table.where("run_id < 8")}, at)
+    with pytest.raises(StaleWrite):
+        book.write({"etl_pipeline_runs": table.where("run_id > 1")}, at)
+    assert sorted(r["run_id"] for r in book.etl_runs().collect()) == list(range(1, 8))
