@@ -5,23 +5,40 @@ documents of the target set, the background model over every document. A documen
 target model less that under the background model; low scores read like the target.
 
 The vocabulary of both models is every distinct word of all documents, by 64-bit hash, so the models grow with the corpus.
-Tasks add up their pairs of words first; the counts are tables, each pair's two losses are joined to it once, and the
-distinct pairs of a text are joined to those. The driver receives five numbers.
+Counts and texts meet in two exchanges of packed arrays:
+
+1. *Ask.* Texts are read in blocks of about ``BLOCK`` words. A block sends the sorted hashes of its distinct words and pairs
+   of words, with how often it holds them, to buckets of the hash range, a row per block and bucket; and the words' numbers
+   and text lengths along with one of them.
+2. *Answer.* A bucket adds up what all blocks hold and answers each row with the corpus' counts, in the row's own order. A
+   word or pair comes once per block however frequent it is, and buckets are as many as keep one small, so none is hot.
+   The answers are written; the driver receives the number of words, distinct words and words of the target.
+3. *Score.* Back at its block, an answer needs no keys: buckets are ranges, so answers in the order of buckets are in the
+   order of the block's own hashes.
+
+``train_pair`` gives the same model as tables of counts.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.llm import words as W
-from demandloom.llm.storage import discard, written
+from demandloom.llm.storage import written
 
+BLOCK = 1 << 20  # words of a block; a longer text is a block of its own
+BUCKETS = 256  # at least
+KNOWN_IDS = 1 << 21  # ids of a target set that are sent to all tasks (16 MB); a larger set is joined
+BUCKET_WORDS = 1 << 20  # about so many words of the corpus per bucket
 START = 0  # stands before the first word; no word's hash but with a chance of 2**-64
 HELD = 1 << 20  # words a task holds before it adds them up
 STRENGTH = 8.0  # weight of the word model within a pair's probability
@@ -67,18 +84,188 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flushed()
 
 
-def _own_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, 64):
-        parts, seen = [], set()
-        for key, text in zip(batch.column(0).to_pylist(), W.column_bytes(batch, "text")):
-            hashes = slots(text)[0]
-            if len(hashes) and key not in seen:
-                seen.add(key)
-                before, words, sums = _added(_begun(hashes), hashes, np.ones((1, len(hashes))))
-                parts.append((np.full(len(words), key, np.int64), before, words, sums[0]))
-        if parts:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(column)) for column in zip(*parts)], names=["key", "before", "word", "n"])
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte of equal weight, so that the shuffle's compression finds the many zeros."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return bytes([raw.shape[1]]) + raw.T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    return np.ascontiguousarray(raw.T).view(f"u{data[0]}").ravel()
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    return packed(np.diff(values, prepend=np.uint64(0)))
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
+
+
+def _narrowest(values: np.ndarray) -> np.ndarray:
+    most = int(values.max(initial=0))
+    return values.astype(next(kind for kind in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(kind).max))
+
+
+def _later(lengths: np.ndarray) -> np.ndarray:
+    """Places of the words that have one before them in their text, in texts laid end to end."""
+    inside = np.ones(lengths.sum(), bool)
+    inside[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
+    return np.flatnonzero(inside)
+
+
+def pair_keys(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return W.mixed(W.mixed(before + W.MIX[1]) * W.MIX[0] + words)
+
+
+ASKED = pa.schema([
+    ("block", pa.int64()), ("bucket", pa.int32()), ("words", pa.binary()), ("word_counts", pa.binary()),
+    ("word_targets", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary()), ("pair_targets", pa.binary()),
+    ("body", pa.binary()),
+])
+ASKED_DDL = ("block bigint, bucket int, words binary, word_counts binary, word_targets binary, pairs binary, pair_counts binary, "
+             "pair_targets binary, body binary")
+
+
+def _asks(bits: int):
+    """Blocks of ``doc_id, chosen, text`` rows as a row per bucket, and one with the texts as numbers of the block's words."""
+    shift = np.uint64(64 - bits)
+
+    def told(hashes: np.ndarray, counts: np.ndarray, targets: np.ndarray) -> dict[int, tuple[bytes, bytes, bytes]]:
+        buckets = (hashes >> shift).astype(np.int64)
+        edges = np.flatnonzero(np.diff(buckets, prepend=-1)).tolist()
+        return {
+            int(buckets[start]): (packed_sorted(hashes[start:end]), packed(_narrowest(counts[start:end])), packed(_narrowest(targets[start:end])))
+            for start, end in zip(edges, [*edges[1:], len(hashes)])
+        }
+
+    def block(number: int, docs: list[tuple[int | None, bool, np.ndarray]]) -> Iterator[dict]:
+        lengths = np.array([len(hashes) for _, _, hashes in docs], np.int64)
+        tokens = np.concatenate([hashes for _, _, hashes in docs])
+        weight = np.repeat(np.array([chosen for _, chosen, _ in docs], np.float64), lengths)
+        words, ids, often = np.unique(tokens, return_inverse=True, return_counts=True)
+        rank = np.argsort(-often, kind="stable")  # frequent words get small numbers, which compress
+        number_of = np.empty(len(words), np.int64)
+        number_of[rank] = np.arange(len(words))
+        name = (TaskContext.get().partitionId() << 32) + number
+        body = zstandard.compress(pickle.dumps((
+            [doc_id for doc_id, _, _ in docs], packed(_narrowest(lengths)), packed(_narrowest(number_of[ids])), packed(words[rank]))))
+        yield {"block": name, "bucket": int(np.uint64(W.mixed(np.array([name], np.uint64))[0]) >> shift), "body": body}
+        places = _later(lengths)
+        pairs, which = np.unique(pair_keys(tokens[places - 1], tokens[places]), return_inverse=True)
+        asked = told(words, often, np.bincount(ids, weight, len(words)).astype(np.int64))
+        more = told(pairs, np.bincount(which, minlength=len(pairs)), np.bincount(which, weight[places], len(pairs)).astype(np.int64))
+        for bucket in sorted({*asked, *more}):
+            mine, both = asked.get(bucket, (None,) * 3), more.get(bucket, (None,) * 3)
+            yield dict(zip(ASKED.names, (name, bucket, *mine, *both, None)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, number = [], 0, 0
+        for batch in W.slices(batches):
+            for doc_id, chosen, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), W.column_bytes(batch, "text")):
+                hashes = W.word_hashes(W.split_words(text))
+                held.append((doc_id, chosen, hashes))
+                size += len(hashes)
+                if size >= BLOCK:
+                    yield pa.RecordBatch.from_pylist(list(block(number, held)), ASKED)
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield pa.RecordBatch.from_pylist(list(block(number, held)), ASKED)
+
+    return run
+
+
+ANSWERED_DDL = f"{ASKED_DDL}, size bigint, whole bigint, target bigint"
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: the counts in them give way to those of the corpus. A bucket is held at a time.
+
+    The first row of a bucket has its number of distinct words, of words, and of words of the target.
+    """
+    kinds = [pa.field(name, pa.int64()) for name in ("size", "whole", "target")]
+    schema = pa.schema([*ASKED, *kinds])
+
+    def summed(rows: list[dict], keys: str, counts: str, targets: str) -> tuple[int, int, int]:
+        having = [row for row in rows if row[keys] is not None]
+        if not having:
+            return 0, 0, 0
+        hashes = [unpacked_sorted(row[keys]) for row in having]
+        distinct, which = np.unique(np.concatenate(hashes), return_inverse=True)
+        sums = [
+            np.bincount(which, np.concatenate([unpacked(row[name]) for row in having]).astype(np.float64), len(distinct)).astype(np.int64)
+            for name in (counts, targets)
+        ]
+        ends = np.cumsum([len(h) for h in hashes]).tolist()
+        for row, start, end in zip(having, [0, *ends], ends):
+            row[keys] = None
+            for name, total in zip((counts, targets), sums):
+                row[name] = packed(_narrowest(total[which[start:end]]))
+        return len(distinct), int(sums[0].sum()), int(sums[1].sum())
+
+    def answered(rows: list[dict]) -> pa.RecordBatch:
+        zero = dict.fromkeys(("size", "whole", "target"), 0)
+        told = dict(zip(zero, summed(rows, "words", "word_counts", "word_targets")))
+        summed(rows, "pairs", "pair_counts", "pair_targets")
+        for row in rows:
+            row["bucket"] = -1 if row["body"] is not None else row["bucket"]
+        return pa.RecordBatch.from_pylist([row | (zero if k else told) for k, row in enumerate(rows)], schema)
+
+    held: list[dict] = []
+    for batch in W.slices(batches):
+        for row in batch.to_pylist():
+            if held and held[0]["bucket"] != row["bucket"]:
+                yield answered(held)
+                held = []
+            held.append(row)
+    if held:
+        yield answered(held)
+
+
+SCORED_DDL = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double"
+
+
+def _scores(size: int, totals: tuple[int, int]):
+    """Rows sorted by block, its body first and then its answers by bucket. A block is held at a time."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
+
+    def scored(body: bytes, answers: list[dict]) -> pa.RecordBatch:
+        doc_ids, lengths, numbers, words = pickle.loads(zstandard.decompress(body))
+        lengths, words = unpacked(lengths).astype(np.int64), unpacked(words)
+        order = np.argsort(words)
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        ids, words = place[unpacked(numbers).astype(np.int64)], words[order]
+        places = _later(lengths)
+        _, which = np.unique(pair_keys(words[ids[places - 1]], words[ids[places]]), return_inverse=True)
+        owner, losses = np.repeat(np.arange(len(lengths)), lengths), []
+        for word_name, pair_name, total in (("word_targets", "pair_targets", totals[0]), ("word_counts", "pair_counts", totals[1])):
+            counts, pairs = (
+                np.concatenate([np.empty(0), *[unpacked(row[name]) for row in answers if row[name] is not None]]) for name in (word_name, pair_name))
+            single = (counts + 0.5) / (total + 0.5 * size)
+            chance = single[ids]
+            before = counts[ids[places - 1]]
+            chance[places] = (pairs[which] + STRENGTH * chance[places]) / (before + STRENGTH)
+            sums = np.bincount(owner, -np.log(chance), len(lengths))
+            losses.append([loss / n if n else None for loss, n in zip(sums.tolist(), lengths.tolist())])
+        return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(lengths), *[pa.array(x, pa.float64()) for x in losses]], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        body, answers = None, []
+        for batch in W.slices(batches):
+            for row in batch.to_pylist():
+                if row["body"] is not None:
+                    if body is not None:
+                        yield scored(body, answers)
+                    body, answers = row["body"], []
+                else:
+                    answers.append(row)
+        if body is not None:
+            yield scored(body, answers)
+
+    return run
 
 
 @dataclass
@@ -117,27 +304,31 @@ class BigramPair:
             "target_pairs": CountTable(inner, ("before", "word"), "target"), "all_pairs": CountTable(inner, ("before", "word"), "whole"),
         }
 
-    def losses(self) -> DataFrame:
-        """``before, word, target_loss, whole_loss``: negative log probabilities of all pairs."""
-        size, target, whole = self.words.agg(F.count("*"), F.sum("target"), F.sum("whole")).first()
-        totals = {"target": target or 0, "whole": whole or 0}
-        ahead = self.words.select(F.col("word").alias("before"), *[F.col(k).alias(f"{k}_before") for k in totals])
-        own = self.words.select("word", *[F.col(k).alias(f"{k}_word") for k in totals])
 
-        def loss(k: str) -> Column:
-            single = (F.col(f"{k}_word") + 0.5) / F.lit(totals[k] + 0.5 * size)
-            both = (F.col(k) + STRENGTH * single) / (F.col(f"{k}_before") + STRENGTH)
-            return (-F.log(F.when(F.col("before") == START, single).otherwise(both))).alias(f"{k}_loss")
+def _members(ids):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0)
+            inside = np.isin(own.fill_null(0).to_numpy(zero_copy_only=False), ids.value) & np.array(own.is_valid())
+            yield pa.RecordBatch.from_arrays([own, pa.array(inside), batch.column(1)], names=["doc_id", "chosen", "text"])
+
+    return run
+
 
-        return self.pairs.join(own, "word").join(ahead, "before", "left").select("before", "word", *map(loss, totals))
+def _flagged(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``doc_id, chosen, text``; null texts read as empty. Texts are only moved if the target set is a large one."""
+    chosen = target.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct()
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if chosen.limit(KNOWN_IDS + 1).count() > KNOWN_IDS:
+        marked = texts.join(chosen.withColumn("chosen", F.lit(True)), "doc_id", "left")
+        return marked.select("doc_id", F.coalesce("chosen", F.lit(False)).alias("chosen"), "text")
+    ids = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([row[0] for row in chosen.collect()], np.int64)))
+    return texts.mapInArrow(_members(ids), "doc_id bigint, chosen boolean, text string")
 
 
 def train_pair(docs: DataFrame, target: DataFrame) -> BigramPair:
     """Counts over every row of ``docs``; ``target`` lists the ``doc_id`` of the target set."""
-    chosen = target.select(F.col("doc_id").cast("bigint").alias("doc_id")).where("doc_id is not null").distinct().withColumn("chosen", F.lit(True))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
-    flagged = texts.join(chosen, "doc_id", "left").select(F.coalesce("chosen", F.lit(False)).alias("chosen"), "text")
-    parts = flagged.mapInArrow(_counted, "before bigint, word bigint, whole bigint, target bigint")
+    parts = _flagged(docs, target).select("chosen", "text").mapInArrow(_counted, "before bigint, word bigint, whole bigint, target bigint")
     sums = [F.sum(name).alias(name) for name in ("whole", "target")]
     pairs = written(parts.groupBy("before", "word").agg(*sums), "language-pairs")
     return BigramPair(pairs, written(pairs.groupBy("word").agg(*sums), "language-words"))
@@ -148,23 +339,14 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     Losses are nats per word; ``score`` is the target's less the background's. Texts without words have no losses and no
     score (null). A row without ``doc_id`` belongs to the background only. Repeated rows count and are scored each; other
-    columns are ignored. An empty target leaves a uniform model in its place. Equal texts are scored together, named by a
-    64-bit hash.
+    columns are ignored. An empty target leaves a uniform model in its place; no documents give no rows.
     """
-    model = train_pair(docs, target)
-    losses = written(model.losses(), "language-losses")
-    discard(model.pairs, model.words)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    named = texts.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").isNotNull().alias("given"), "text")
-    own = named.where("given").select("key", "text").mapInArrow(_own_pairs, "key bigint, before bigint, word bigint, n bigint")
-    # A text met more than once adds up so often: each time it has one first word.
-    times = F.sum(F.when(F.col("before") == START, F.col("n")).otherwise(0))
-    scored = own.join(losses, ["before", "word"]).groupBy("key").agg(
-        (F.sum("n") / times).cast("bigint").alias("n_tokens"), *[
-            (F.sum(F.col("n") * F.col(f"{k}_loss")) / F.sum("n")).alias(name) for k, name in (("target", "target_loss"), ("whole", "background_loss"))])
-    scored = written(scored, "language-scores")
-    discard(losses)
-    rows = named.select("doc_id", "key").join(scored, "key", "left")
-    return rows.select(
-        "doc_id", F.coalesce("n_tokens", F.lit(0).cast("bigint")).alias("n_tokens"), "target_loss", "background_loss",
-        (F.col("target_loss") - F.col("background_loss")).alias("score"))
+    flagged = _flagged(docs, target)
+    size = flagged.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(BUCKETS, size // (6 * BUCKET_WORDS)).bit_length() - 1
+    asks = flagged.mapInArrow(_asks(bits), ASKED_DDL).repartition("bucket").sortWithinPartitions("bucket", "block")
+    answers = written(asks.mapInArrow(_answers, ANSWERED_DDL), "language-answers")
+    words, whole, chosen = answers.agg(F.sum("size"), F.sum("whole"), F.sum("target")).first()
+    rows = answers.select(*ASKED.names).repartition("block").sortWithinPartitions("block", "bucket")
+    scored = rows.mapInArrow(_scores(words or 0, (chosen or 0, whole or 0)), SCORED_DDL)
+    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
