@@ -30,8 +30,9 @@ from demandloom.llm.storage import discard, written
 LEAST_DOCS = 10
 RANKS = 10
 SCALE = 1_000_000_000
-TABLE_TERMS = 200_000  # distinct terms a task holds before it hands them on
-HELD = 4096  # terms a task holds per group before it takes their skyband
+TABLE_TERMS = 400_000  # distinct terms a task holds before it hands them on
+HELD = 2048  # terms a task holds per group before it takes their skyband
+BEST = 128  # of them, those that most others are tried against first
 LETTERS = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | frozenset(range(128, 256))
 #: Every byte that is no letter becomes a blank, and A-Z become lower case. Bytes of other characters are all above 127.
 LOWERED = bytes((byte + 32 if 65 <= byte <= 90 else byte) if byte in LETTERS else 32 for byte in range(256))
@@ -79,10 +80,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emptied()
 
 
-def skyband(counts: np.ndarray, totals: np.ndarray, terms: list[str], k: int) -> np.ndarray:
+def skyband(counts: np.ndarray, totals: np.ndarray, terms: list[bytes], k: int) -> np.ndarray:
     """Places of the terms that fewer than ``k`` others dominate: count as high, total as low, earlier in UTF-8."""
     place = np.empty(len(terms), np.int64)
-    place[sorted(range(len(terms)), key=lambda i: terms[i].encode())] = np.arange(len(terms))
+    place[sorted(range(len(terms)), key=lambda i: terms[i])] = np.arange(len(terms))
     kept = []
     for i in range(len(terms)):
         above = (counts >= counts[i]) & (totals <= totals[i]) & (place < place[i])
@@ -91,31 +92,63 @@ def skyband(counts: np.ndarray, totals: np.ndarray, terms: list[str], k: int) ->
     return np.array(kept, np.int64)
 
 
+def _leading(terms: list[bytes]) -> np.ndarray:
+    """The first eight bytes as a number: a smaller one is an earlier term, equal ones tell nothing."""
+    return np.array([term[:8] for term in terms], "S8").view(">u8").astype(np.uint64) if terms else np.empty(0, np.uint64)
+
+
+class Band:
+    """The terms of one group that a task still holds."""
+
+    def __init__(self, k: int) -> None:
+        self.k, self.limit = k, HELD
+        self.terms: list[bytes] = []
+        self.counts = self.totals = np.empty(0, np.int64)
+        self.best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+
+    def add(self, terms: list[bytes], counts: np.ndarray, totals: np.ndarray) -> None:
+        """Terms that ``k`` of the best dominate go at once; the skyband is taken whenever too many are held."""
+        high, low, early = self.best
+        if len(high):
+            above = (high >= counts[:, None]) & (low <= totals[:, None]) & (early < _leading(terms)[:, None])
+            stay = np.flatnonzero(above.sum(axis=1) < self.k)
+            terms, counts, totals = [terms[i] for i in stay], counts[stay], totals[stay]
+        self.terms = self.terms + terms
+        self.counts, self.totals = np.concatenate((self.counts, counts)), np.concatenate((self.totals, totals))
+        if len(self.terms) >= self.limit:
+            self.reduce()
+
+    def reduce(self) -> None:
+        kept = skyband(self.counts, self.totals, self.terms, self.k)
+        self.terms, self.counts, self.totals = [self.terms[i] for i in kept], self.counts[kept], self.totals[kept]
+        self.limit = max(HELD, 2 * len(kept))
+        first = np.argsort(-self.counts / (self.totals + 1), kind="stable")[:BEST]
+        self.best = self.counts[first], self.totals[first], _leading([self.terms[i] for i in first])
+
+
 def _skybands(k: int):
     """Rows ``lang, source, term, n, total`` of which a task hands on the skyband per group."""
     schema = pa.schema([
         ("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("total", pa.int64()),
     ])
 
-    def kept(rows: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        terms, counts, totals = zip(*rows)
-        return [rows[i] for i in skyband(np.array(counts), np.array(totals), list(terms), k)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], list[tuple[str, int, int]]] = {}
-        limits: dict[tuple[str, str], int] = {}
+        bands: dict[tuple[str, str], Band] = {}
         for batch in batches:
-            for lang, source, *row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                held = groups.setdefault((lang, source), [])
-                held.append(tuple(row))
-                if len(held) >= limits.get((lang, source), HELD):
-                    left = kept(held)
-                    groups[lang, source], limits[lang, source] = left, max(HELD, 2 * len(left))
-        for (lang, source), held in groups.items():
-            terms, counts, totals = zip(*kept(held))
+            names = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            places: dict[tuple[str, str], list[int]] = {}
+            for place, name in enumerate(names):
+                places.setdefault(name, []).append(place)
+            terms = W.column_bytes(batch, "term")
+            counts, totals = (batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4))
+            for name, mine in places.items():
+                bands.setdefault(name, Band(k)).add([terms[i] for i in mine], counts[mine], totals[mine])
+        for (lang, source), band in bands.items():
+            band.reduce()
+            size = len(band.terms)
             yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()), pa.array(terms, pa.string()),
-                pa.array(counts, pa.int64()), pa.array(totals, pa.int64())], schema=schema)
+                pa.array([lang] * size, pa.string()), pa.array([source] * size, pa.string()),
+                pa.array(band.terms, pa.binary()).cast(pa.string()), pa.array(band.counts), pa.array(band.totals)], schema=schema)
 
     return run
 
@@ -142,7 +175,7 @@ def source_divergence(docs: DataFrame, ranks: int = RANKS, least_docs: int = LEA
     counted = named.mapInArrow(_counted, COUNTS)
     by_term = counted.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     kept = by_term.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("by"),
+        F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("source", "n"))).alias("by"),
     ).where(F.col("docs") >= least_docs)
     kept = written(kept.select("lang", "term", "total", "by"), "divergence-terms")
 
@@ -182,8 +215,8 @@ def _pairs(kept: DataFrame, cells: DataFrame, groups: DataFrame) -> DataFrame:
         at = [F.col(f"{side}.whole"), F.col(f"{side}.terms")]
         return share(F.col(f"n_{side}"), *at), share(F.lit(0), *at)
 
-    both = F.explode(F.flatten(F.transform("by", lambda x: F.transform(
-        F.filter("by", lambda y: x["source"] < y["source"]),
+    both = F.explode(F.flatten(F.transform("by", lambda x, i: F.transform(
+        F.slice("by", i + 2, F.size("by")),  # sources in order: those after x
         lambda y: F.struct(x["source"].alias("one"), x["n"].alias("n_a"), y["source"].alias("two"), y["n"].alias("n_b"))))))
     common = kept.select("lang", both.alias("c")).groupBy("lang", "c.one", "c.n_a", "c.two", "c.n_b").agg(F.count("*").alias("times"))
     a, b = groups.alias("a"), groups.alias("b")

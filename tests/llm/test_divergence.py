@@ -73,7 +73,6 @@ def test_tables_emptied_early_and_skybands_taken_often(spark, monkeypatch):
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA).coalesce(1)
     schema = df.select("text", "lang", "source").toArrow().to_batches()
     monkeypatch.setattr(D, "TABLE_TERMS", 20)
-    monkeypatch.setattr(D, "HELD", 8)
     named = [b.set_column(i, n, b.column(i).fill_null("")) for b in schema for i, n in [(0, "text")]]
     named = [b.set_column(i, n, b.column(i).fill_null("")) for b in named for i, n in [(1, "lang")]]
     named = [b.set_column(i, n, b.column(i).fill_null("")) for b in named for i, n in [(2, "source")]]
@@ -98,7 +97,7 @@ def test_skyband_holds_every_possible_first_rank():
         rows = [(t, rng.randint(1, 9), rng.randint(0, 30)) for t in dict.fromkeys(terms)]
         rows = [(t, c, c + extra) for t, c, extra in rows]
         names, counts, totals = zip(*rows)
-        kept = set(D.skyband(np.array(counts), np.array(totals), list(names), k))
+        kept = set(D.skyband(np.array(counts), np.array(totals), [n.encode() for n in names], k))
         for whole, lang_whole in ((50, 900), (500, 600), (5, 5000)):
             v = len(rows)
             p = [1 + 10**9 * (c + 2) // (whole + 2 * v) for c in counts]
@@ -114,11 +113,27 @@ def test_merged_skybands_equal_the_skyband_of_all():
 
     def band(part):
         names, counts, totals = zip(*part)
-        return [part[i] for i in D.skyband(np.array(counts), np.array(totals), list(names), 10)]
+        return [part[i] for i in D.skyband(np.array(counts), np.array(totals), [n.encode() for n in names], 10)]
 
     assert sorted(band(band(rows[:500]) + band(rows[500:]))) == sorted(band(rows))
 
 
+def test_a_band_fed_in_parts_is_the_skyband_of_all(monkeypatch):
+    monkeypatch.setattr(D, "HELD", 40)
+    monkeypatch.setattr(D, "BEST", 15)
+    rng = random.Random(12)
+    for k in (1, 4, 10):
+        rows = [(f"{'longprefix' if i % 3 else ''}t{i:04d}", rng.randint(1, 30), 30 + rng.randint(0, 90)) for i in rng.sample(range(4000), 1200)]
+        band = D.Band(k)
+        for start in range(0, 1200, 70):
+            names, counts, totals = zip(*rows[start : start + 70])
+            band.add([n.encode() for n in names], np.array(counts), np.array(totals))
+        band.reduce()
+        names, counts, totals = zip(*rows)
+        whole = {rows[i] for i in D.skyband(np.array(counts), np.array(totals), [n.encode() for n in names], k)}
+        assert {(t.decode(), int(c), int(n)) for t, c, n in zip(band.terms, band.counts, band.totals)} == whole
+
+
 def test_no_documents(spark):
     assert D.source_divergence(spark.createDataFrame([], SCHEMA)).count() == 0
 
