@@ -1,22 +1,26 @@
 """Near-duplicates by HyperMinHash: banded registers, a collision-corrected estimate, and full sets to confirm.
 
-A document is the set of its hashed word shingles. The high bits of a hash name one of 128 buckets; a bucket keeps its
+A document is the set of its hashed word shingles. The high bits of a hash name one of 64 buckets; a bucket keeps its
 smallest remaining value as a short float: the number of leading zeros and the ``MANTISSA`` bits after the first one. So a
 register is 32 bits, and two registers of different minima are equal by chance in about 0.18 * 2**-MANTISSA of cases.
 
-1. *Sketch.* One pass over the texts gives each document its registers and, for every four registers that are not all
+1. *Sketch.* One pass over the texts gives each document its registers and, for every three registers that are not all
    empty, a band: their 64-bit hash with the band's number. The mantissa is long because a band of a short document holds
    one register: with ten bits, short documents would meet by chance in a large corpus.
-2. *Meet.* Bands held by two different sets are kept. Each band's members meet its pivot, the set with the fewest bands
-   of its own (the common original of a group of near copies has none). Pairs that stand far apart by size, by registers
-   or by the estimated Jaccard are refused; the others are intersected once. Then members of one band that are in different
-   components meet, found by joining the components within a band first, so that members of one never meet.
-3. *Confirm.* Links are those pairs whose whole sets reach the threshold; components of the links are the classes.
+2. *Room.* Documents with a band that another set holds too bring their whole sets. Shingles held by one set only count
+   against it: a set with too many of them links with nothing and is done, and two sets can only link if what is left of
+   each is enough for both. In a large group of near copies this leaves the original and what lies close to it.
+3. *Meet.* Each band's members meet its pivot, the set with the fewest shingles of its own (the common original of a group
+   of near copies has none). Then members of one band that are in different components meet, found by joining the
+   components within a band first, so that members of one never meet. Between sets from crowded bands, shingles that few
+   of this crowd hold count against a set as well: two sets that are left with too little either share one of those, and
+   meet by it (at most ``RARE`` sets hold it), or cannot be linked.
+4. *Confirm.* Pairs whose registers or estimated Jaccard stand too far apart are refused, the others are intersected once.
+   Links are pairs whose whole sets reach the threshold; components of the links are the classes.
 
 What is refused cannot be a link, but for the estimate, which must fall short of the threshold by six standard deviations.
-A pair at similarity 0.85 shares none of its 32 bands with probability 0.478**32, 6e-11. Sets so small that any difference
-breaks the threshold are only compared by name. Exact copies are one set from the start, named by a 64-bit hash. A band
-whose members resemble each other without being linked has to be compared pair by pair, by numbers and registers.
+A pair at similarity 0.85 shares none of its 21 bands with probability 0.386**21, 2e-9. Sets so small that any difference
+breaks the threshold are only compared by name. Exact copies are one set from the start, named by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandloom.llm import words as W
@@ -35,17 +39,19 @@ from demandloom.llm.components import components
 from demandloom.llm.ngram_join import set_name, shingle_set
 from demandloom.llm.storage import discard, in_membership, membership, written
 
-BUCKET_BITS = 7
+BUCKET_BITS = 6
 BUCKETS = 1 << BUCKET_BITS
-BAND = 4  # registers
+BAND = 3  # registers; the one left over serves the estimate only
 VALUE_BITS = 64 - BUCKET_BITS
 MANTISSA = 26
 DEEPEST = 52  # leading zeros counted
 DEVIATIONS = 6.0
+CROWD = 32  # a band with more members is crowded
+RARE = 64  # sets of the crowd that hold a rare shingle, at most
 
 
 def registers_of(shingles: np.ndarray) -> np.ndarray:
-    """128 registers of sorted distinct hashes: zero where a bucket is empty."""
+    """64 registers of sorted distinct hashes: zero where a bucket is empty."""
     out = np.zeros(BUCKETS, np.uint32)
     if not len(shingles):
         return out
@@ -61,7 +67,7 @@ def registers_of(shingles: np.ndarray) -> np.ndarray:
 
 def bands_of(registers: np.ndarray) -> np.ndarray:
     """One hash per band that is not empty."""
-    rows = registers.reshape(-1, BAND).astype(np.uint64)
+    rows = registers[: BUCKETS // BAND * BAND].reshape(-1, BAND).astype(np.uint64)
     total = np.arange(1, len(rows) + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for column in rows.T:
@@ -172,9 +178,8 @@ def _likely(percent: int):
     return run
 
 
-def _met(joined: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs ``a < b`` of postings ``x`` and ``y`` whose sizes allow a link."""
-    fits = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
+def _met(joined: DataFrame, fits: Column) -> DataFrame:
+    """Distinct pairs ``a < b`` of postings ``x`` and ``y`` whose room allows a link."""
     ordered = F.col("x.node") < F.col("y.node")
     return joined.where(fits & (F.col("x.node") != F.col("y.node"))).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"),
@@ -190,20 +195,49 @@ def _sifted(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_likely(percent), "a bigint, b bigint, n_a bigint, n_b bigint")
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame, keys: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    maps = texts.sparkSession.sparkContext.broadcast(membership(keys.join(ends, "node"), "text_key"))
-    found = texts.mapInArrow(_whole_sets(size, maps), "node bigint, shingles array<bigint>").dropDuplicates(["node"])
-    sets = written(found, "hyper-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b")).cast("bigint")
     scored = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", both.alias("both"))
     enough = F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * percent
-    links = written(scored.where(enough).select("a", "b"), "hyper-links")
-    discard(sets)
-    return links
+    return scored.where(enough).select("a", "b")
+
+
+def _room(sets: DataFrame, percent: int) -> DataFrame:
+    """``node, n, alone, room`` of the sets that can link: two do only if ``room >= percent * n`` of the other, both ways.
+
+    What two sets share is held twice, so it is at most ``n - alone`` of either.
+    """
+    rows = sets.select("node", F.explode("shingles").alias("h"))
+    single = rows.groupBy("h").agg(F.min("node").alias("node"), F.max("node").alias("high")).where("node = high")
+    alone = single.groupBy("node").agg(F.count("*").alias("alone"))
+    sized = sets.select("node", F.size("shingles").cast("bigint").alias("n")).join(alone, "node", "left")
+    sized = sized.select("node", "n", F.coalesce("alone", F.lit(0)).alias("alone"))
+    room = _room_without("alone", percent)
+    return sized.withColumn("room", room).where((F.col("n") - F.col("alone")) * 100 >= F.col("n") * percent)
+
+
+def _room_without(column: str, percent: int) -> Column:
+    return (F.col("n") - F.col(column)) * (100 + percent) - F.col("n") * percent
+
+
+def _rare(sets: DataFrame, crowd: DataFrame) -> DataFrame:
+    """``h, node, df`` of the shingles that at most ``RARE`` sets of the crowd hold."""
+    rows = sets.join(crowd, "node", "left_semi").select("node", F.explode("shingles").alias("h"))
+    few = rows.groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") <= RARE)
+    return rows.join(few, "h")
+
+
+def _fits(x: str, y: str, room: str, n: str, percent: int) -> Column:
+    return (F.col(f"{x}.{room}") >= F.col(f"{y}.{n}") * percent) & (F.col(f"{y}.{room}") >= F.col(f"{x}.{n}") * percent)
+
+
+def _held_twice(held: DataFrame) -> DataFrame:
+    """The rows of bands that two different sets hold."""
+    shared = held.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    return held.join(shared.select("band"), "band")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -219,43 +253,57 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sketched = written(texts.mapInArrow(_sketches(size, percent), (
         "doc_id bigint, node bigint, n bigint, text_key bigint, bands array<bigint>, registers binary")), "hyper-sketches")
 
-    held = sketched.where("registers is not null").select("node", "n", F.explode("bands").alias("band"))
-    shared = held.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high").select("band")
-    own = Window.partitionBy("node")
-    postings = held.join(shared, "band").distinct().withColumn("shared", F.count("*").over(own))  # 32 rows a node at most
-    postings = written(postings, "hyper-postings")
-    members = postings.select(F.col("node").alias("member")).distinct()
-    sketches = sketched.where("registers is not null").select("node", "registers", F.size("bands").alias("held"))
-    sketches = written(sketches.join(members, F.col("node") == F.col("member"), "left_semi").dropDuplicates(["node"]), "hyper-members")
     names = written(sketched.select("doc_id", "node", "n", "text_key"), "hyper-names")
-    discard(sketched)
-    keys = names.groupBy("node").agg(F.min("text_key").alias("text_key"))
-
-    ranked = postings.join(sketches.select("node", "held"), "node").select(
-        "band", F.struct((F.col("held") - F.col("shared")).alias("alone"), "node", "n").alias("y"))
-    pivots = ranked.groupBy("band").agg(F.min("y").alias("y"))
-    near = postings.select("band", F.struct("node", "n").alias("x")).join(pivots, "band")
-    first = written(_met(near, percent), "hyper-pairs")
-    links = _confirmed(texts, written(_sifted(first, sketches, percent), "hyper-likely"), keys, size, percent)
+    held = written(sketched.where("registers is not null").select("node", F.explode("bands").alias("band")), "hyper-bands")
+    members = written(_held_twice(held).select("node").distinct(), "hyper-members")
+    wanted = names.groupBy("node").agg(F.min("text_key").alias("text_key")).join(members, "node")
+    maps = spark.sparkContext.broadcast(membership(wanted, "text_key"))
+    found = texts.mapInArrow(_whole_sets(size, maps), "node bigint, shingles array<bigint>")
+    sets = written(found.join(members, "node", "left_semi").dropDuplicates(["node"]), "hyper-sets")
+    able = written(_room(sets, percent), "hyper-able")
+    registers = sketched.where("registers is not null").select("node", "registers").join(able, "node", "left_semi")
+    sketches = written(registers.dropDuplicates(["node"]), "hyper-registers")
+    postings = written(_held_twice(held.distinct().join(able, "node")), "hyper-postings")
+    discard(sketched, held, members)
+
+    pivots = postings.groupBy("band").agg(F.min(F.struct("alone", "node", "n", "room")).alias("y"))
+    near = postings.select("band", F.struct("node", "n", "room").alias("x")).join(pivots, "band")
+    first = written(_met(near, _fits("x", "y", "room", "n", percent)), "hyper-pairs")
+    links = written(_confirmed(_sifted(first, sketches, percent), sets, percent), "hyper-links")
     roots = components(links, "a", "b")
 
-    rooted = postings.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
-    parts = rooted.groupBy("band", "root").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    crowded = postings.groupBy("band").agg(F.count("*").alias("members")).where(F.col("members") > CROWD).select("band")
+    crowded = written(crowded, "hyper-crowded")
+    crowd = written(postings.join(crowded, "band", "left_semi").select("node").distinct(), "hyper-crowd")
+    rare = written(_rare(sets, crowd), "hyper-rare")
+    few = rare.groupBy("node").agg(F.count("*").alias("rare"))
+    tight = able.join(crowd, "node", "left_semi").join(few, "node", "left").withColumn("rare", F.coalesce("rare", F.lit(0)))
+    tight = written(tight.select("node", "n", "room", _room_without("rare", percent).alias("strict")), "hyper-tight")
+
+    rooted = postings.join(tight.select("node", "strict"), "node", "left").join(roots, "node", "left").join(
+        crowded.withColumn("full", F.lit(True)), "band", "left")
+    rooted = rooted.select("band", "node", "n", "room", "strict", F.coalesce("root", "node").alias("root"),
+                           F.when(F.col("full"), F.col("strict")).otherwise(F.col("room")).alias("most"))
+    parts = rooted.groupBy("band", "root").agg(F.min("n").alias("low"), F.max("most").alias("room"))
     mixed = parts.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band")
     parts = written(parts.join(mixed, "band"), "hyper-parts")
     rooted = written(rooted.join(mixed, "band", "left_semi"), "hyper-rooted")
-    reach = (F.col("p.low") * percent <= F.col("q.high") * 100) & (F.col("q.low") * percent <= F.col("p.high") * 100)
-    across = parts.alias("p").join(parts.alias("q"), "band").where((F.col("p.root") < F.col("q.root")) & reach).select(
+    fits = _fits("p", "q", "room", "low", percent)
+    across = parts.alias("p").join(parts.alias("q"), "band").where((F.col("p.root") < F.col("q.root")) & fits).select(
         "band", F.col("p.root").alias("one"), F.col("q.root").alias("other"))
-    left = rooted.select("band", F.col("root").alias("one"), F.struct("node", "n").alias("x"))
-    right = rooted.select("band", F.col("root").alias("other"), F.struct("node", "n").alias("y"))
-    rest = _met(across.join(left, ["band", "one"]).join(right, ["band", "other"]), percent).join(first, ["a", "b"], "left_anti")
-    likely = written(_sifted(rest, sketches, percent), "hyper-likely")
-    discard(parts, rooted, postings, first, sketches)
-    if not likely.isEmpty():
-        more = _confirmed(texts, likely, keys, size, percent)
-        if not more.isEmpty():
-            roots = components(links.union(more), "a", "b")
+    left = rooted.select("band", F.col("root").alias("one"), F.struct("node", "n", "room", "strict").alias("x"))
+    right = rooted.select("band", F.col("root").alias("other"), F.struct("node", "n", "room", "strict").alias("y"))
+    loose, close = _fits("x", "y", "room", "n", percent), _fits("x", "y", "strict", "n", percent)
+    met = across.join(left, ["band", "one"]).join(right, ["band", "other"])
+    rest = _met(met, F.when(F.col("x.strict").isNotNull() & F.col("y.strict").isNotNull(), close).otherwise(loose))
+    held = rare.where("df > 1").join(tight, "node").join(roots, "node", "left").select(
+        "h", F.struct("node", "n", "room", "strict", F.coalesce("root", "node").alias("root")).alias("x"))
+    both = held.join(held.select("h", F.col("x").alias("y")), "h").where((F.col("x.root") < F.col("y.root")) & ~close)
+    rest = rest.union(_met(both, loose)).distinct().join(first, ["a", "b"], "left_anti")
+    more = written(_confirmed(_sifted(rest, sketches, percent), sets, percent), "hyper-links")
+    discard(parts, rooted, postings, first, sketches, sets, able, crowded, crowd, rare, tight)
+    if not more.isEmpty():
+        roots = components(links.union(more), "a", "b")
 
     named = names.join(roots, "node", "left").select("doc_id", "n", F.coalesce("root", "node").alias("root"))
     least = written(named.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows")).where("rows > 1"), "hyper-least")

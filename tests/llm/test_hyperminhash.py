@@ -78,6 +78,31 @@ def test_classes_equal_brute_force(spark, size, percent):
     assert sorted(found, key=str) == brute(rows, size, percent)
 
 
+def test_a_crowd_of_near_copies(spark, monkeypatch):
+    """Many variants of one text, some too far from it but near to each other, with few words to choose from."""
+    monkeypatch.setattr(H, "CROWD", 10)
+    monkeypatch.setattr(H, "RARE", 6)
+    rng = random.Random(21)
+    base, spare = prose(rng, 150), prose(rng, 12)
+    rows = []
+    for k in range(120):
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 6, 7])):
+            words[rng.randrange(len(words))] = rng.choice(spare)
+        rows.append((k, " ".join(words)))
+        if k % 10 == 0:  # a pair around a variant of its own
+            for _ in range(6):
+                words[rng.randrange(len(words))] = prose(rng, 1)[0]
+            rows += [(200 + k, " ".join(words)), (201 + k, " ".join([*words[:-1], "x"]))]
+    made = []
+    real = H._sifted
+    monkeypatch.setattr(H, "_sifted", lambda pairs, *a: made.append(pairs.count()) or real(pairs, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in H.near_duplicates(df, 3, 85).collect()]
+    assert sorted(found, key=str) == brute(rows, 3, 85)
+    assert sum(made) < 144 * 143 / 2 / 3  # far fewer than all pairs
+
+
 def test_no_documents(spark):
     assert H.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), 3, 85).count() == 0
 
