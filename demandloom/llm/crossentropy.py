@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from demandloom.llm import words as W
 from demandloom.llm.storage import written
 
-BLOCK = 1 << 20  # words of a block; a longer text is a block of its own
+BLOCK = 3 << 18  # words of a block; a longer text is a block of its own
 BUCKETS = 256  # at least
 KNOWN_IDS = 1 << 21  # ids of a target set that are sent to all tasks (16 MB); a larger set is joined
 BUCKET_WORDS = 1 << 20  # about so many words of the corpus per bucket
@@ -85,13 +85,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Whole numbers byte by byte of equal weight, so that the shuffle's compression finds the many zeros."""
+    """Whole numbers byte by byte of equal weight, compressed: most bytes of great weight are zeros."""
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
-    return bytes([raw.shape[1]]) + raw.T.tobytes()
+    return bytes([raw.shape[1]]) + zstandard.compress(raw.T.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    raw = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
     return np.ascontiguousarray(raw.T).view(f"u{data[0]}").ravel()
 
 
@@ -150,8 +150,8 @@ def _asks(bits: int):
         number_of = np.empty(len(words), np.int64)
         number_of[rank] = np.arange(len(words))
         name = (TaskContext.get().partitionId() << 32) + number
-        body = zstandard.compress(pickle.dumps((
-            [doc_id for doc_id, _, _ in docs], packed(_narrowest(lengths)), packed(_narrowest(number_of[ids])), packed(words[rank]))))
+        body = pickle.dumps((
+            [doc_id for doc_id, _, _ in docs], packed(_narrowest(lengths)), packed(_narrowest(number_of[ids])), packed(words[rank])))
         yield {"block": name, "bucket": int(np.uint64(W.mixed(np.array([name], np.uint64))[0]) >> shift), "body": body}
         places = _later(lengths)
         pairs, which = np.unique(pair_keys(tokens[places - 1], tokens[places]), return_inverse=True)
@@ -232,7 +232,7 @@ def _scores(size: int, totals: tuple[int, int]):
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
 
     def scored(body: bytes, answers: list[dict]) -> pa.RecordBatch:
-        doc_ids, lengths, numbers, words = pickle.loads(zstandard.decompress(body))
+        doc_ids, lengths, numbers, words = pickle.loads(body)
         lengths, words = unpacked(lengths).astype(np.int64), unpacked(words)
         order = np.argsort(words)
         place = np.empty(len(words), np.int64)

@@ -18,12 +18,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandloom.llm.storage import written
+from demandloom.llm.storage import discard, written
 
 STEPS = 32  # candidates per pass: five halvings
 PASSES = 6
-BLOCKS = 4096  # per source
-NO_SOURCE = ""  # documents without source form one of their own
+BLOCKS = 4096  # per source, at least
+BLOCK_TOKENS = 1 << 20  # of the corpus, for every block beyond that: a block stays one small group
+NO_SOURCE = ""  # key of documents without source; every other key is an equals sign and the source
 
 
 def hashed(*parts: Column) -> Column:
@@ -96,15 +97,16 @@ def mix_sources(
     words = F.size(F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "[ \\t-\\r]+"), lambda w: w != ""))
     identity = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("string")))
     rows = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE)).alias("source"),
-        F.col("source").isNull().alias("unnamed"), words.cast("bigint").alias("n_tokens"), identity.alias("identity"),
-    ).withColumn("draw", hashed(F.col("identity"), F.lit(str(seed)))).withColumn("block", F.col("draw") % BLOCKS)
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(NO_SOURCE)).alias("source"), words.cast("bigint").alias("n_tokens"), identity.alias("identity"),
+    ).withColumn("draw", hashed(F.col("identity"), F.lit(str(seed))))
     rows = written(rows.where("n_tokens > 0").drop("identity"), "mixing-rows")
+    whole = rows.agg(F.sum("n_tokens")).first()[0] or 0
+    stored, rows = rows, rows.withColumn("block", F.col("draw") % max(BLOCKS, whole // BLOCK_TOKENS))
 
     blocks = rows.groupBy("source", "block").agg(F.sum("n_tokens").alias("block_tokens"))
     blocks = written(blocks, "mixing-blocks")
     totals = blocks.groupBy("source").agg(F.sum("block_tokens").alias("tokens"))
-    whole = totals.agg(F.sum("tokens")).first()[0] or 0
     budget = whole if budget is None else budget
     x = mixing_exponent(totals, budget, entropy, max_passes)
 
@@ -122,6 +124,9 @@ def mix_sources(
         "before", F.col("ahead") + F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens"))
     times = F.col("passes") + (F.col("before") < F.col("rest")).cast("bigint")
     read = each.withColumn("times", times).where("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
-    return read.select(
-        "doc_id", F.when(~F.col("unnamed"), F.col("source")).alias("source"), "n_tokens", "pass",
-        F.col("turn").cast("bigint").alias("block"), F.col("slot").cast("bigint").alias("slot"), "weight", F.lit(x).alias("exponent"))
+    source = F.when(F.col("source") != NO_SOURCE, F.substring("source", 2, 1 << 30))
+    order = written(read.select(
+        "doc_id", source.alias("source"), "n_tokens", "pass", F.col("turn").cast("bigint").alias("block"),
+        F.col("slot").cast("bigint").alias("slot"), "weight", F.lit(x).alias("exponent")), "mixing-order")
+    discard(stored, blocks)
+    return order

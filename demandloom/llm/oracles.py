@@ -48,12 +48,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 
 OP9 = r"""
 WITH RECURSIVE counted AS (
-  SELECT doc_id, coalesce(source, '') AS source, source IS NULL AS unnamed,
+  SELECT doc_id, coalesce('=' || source, '') AS source,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n_tokens,
     ('0x' || substr(md5(concat_ws('|', coalesce(doc_id::VARCHAR, md5(text)), '7')), 1, 8))::BIGINT AS draw
   FROM documents
 ), worded AS (
-  SELECT *, draw % 4096 AS block FROM counted WHERE n_tokens > 0
+  SELECT *, draw % greatest(4096, sum(n_tokens) OVER () // 1048576) AS block FROM counted WHERE n_tokens > 0
 ), blocks AS (
   SELECT source, block, sum(n_tokens)::BIGINT AS block_tokens FROM worded GROUP BY ALL
 ), totals AS (
@@ -104,7 +104,7 @@ WITH RECURSIVE counted AS (
 ), timed AS (
   SELECT e.*, q.weight, q.x, q.passes + (e.before < q.rest)::BIGINT AS times FROM each e JOIN quotas q USING (source)
 )
-SELECT doc_id, CASE WHEN NOT unnamed THEN source END AS source, n_tokens::BIGINT AS n_tokens,
+SELECT doc_id, CASE WHEN source <> '' THEN substr(source, 2) END AS source, n_tokens::BIGINT AS n_tokens,
   unnest(range(1, times + 1)) AS pass, turn AS block, slot, round(weight, 9) AS weight, x AS exponent
 FROM timed WHERE times > 0
 """

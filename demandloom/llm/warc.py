@@ -15,11 +15,11 @@ import base64
 import gzip
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm.storage import written
@@ -27,6 +27,7 @@ from demandloom.session import scratch_path
 
 FILE_BYTES = 256 << 20  # a new file after that many bytes
 RANGE_BYTES = 8 << 20  # one ranged read holds at most that many, or one record
+READ_BYTES = 32 << 20  # archive bytes of one task, about
 GAP_BYTES = 64 << 10  # read through unselected bytes up to that many
 DATE = "2000-01-01T00:00:00Z"  # archives of equal pages are equal byte for byte
 
@@ -181,14 +182,25 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 
 def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """The records of the given index rows, read in file order: ``page_id, payload_bytes, payload_digest, record_type,
-    refers_to, url, payload`` (payload null for revisits)."""
-    entries = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    refers_to, url, payload`` (payload null for revisits).
+
+    Tasks follow the bytes to read, not the size of the index: entries are dealt by stretches of ``READ_BYTES`` of a file.
+    """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    entries = index.select("file", "offset", "length").repartition(
+        max(1, -(-total // READ_BYTES)), "file", F.floor(F.col("offset") / F.lit(READ_BYTES))).sortWithinPartitions("file", "offset")
     return entries.mapInArrow(
         _reader(folder), "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
         "url string, payload binary")
 
 
-def archive_folder(docs: DataFrame) -> str:
-    """A fresh archive folder in the shared folder, as a URI."""
-    path = scratch_path(docs.sparkSession, "warc")
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+def hadoop_qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark's file system gives it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def archive_folder(docs: DataFrame, qualified: Callable[[SparkSession, str], str] = hadoop_qualified) -> str:
+    """A fresh archive folder in the shared folder, as a URI that Arrow resolves to the place Spark means."""
+    uri = qualified(docs.sparkSession, scratch_path(docs.sparkSession, "warc"))
+    return f"file://{uri.removeprefix('file:')}" if uri.startswith("file:/") and not uri.startswith("file://") else uri

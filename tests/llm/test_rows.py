@@ -40,6 +40,18 @@ def test_warc_round_trip(spark):
     assert large.where("record_type = 'revisit'").count() == 0
 
 
+def test_archives_are_read_by_their_bytes(spark, monkeypatch):
+    """A small index of large archives is many tasks; the folder takes its scheme from Spark's file system."""
+    monkeypatch.setattr(warc, "READ_BYTES", 20_000)
+    rng = np.random.default_rng(3)
+    pages = spark.createDataFrame([(k, "u", rng.bytes(3000).hex()) for k in range(60)], "page_id long, url string, html string").coalesce(2)
+    folder = warc.archive_folder(pages)
+    read = warc.read_archive(warc.write_archive(pages, folder), folder)
+    assert read.rdd.getNumPartitions() >= 6 and sorted(r.page_id for r in read.collect()) == list(range(60))
+    assert folder.startswith("file:///")
+    assert warc.archive_folder(pages, lambda _, path: f"hdfs://name:8020{path}").startswith("hdfs://name:8020/")
+
+
 def test_warc_of_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     folder = warc.archive_folder(pages)
@@ -207,6 +219,74 @@ def test_cross_entropy_model_grows_with_the_words(spark):
     assert found[300].score == pytest.approx(near - whole)
 
 
+def plain_losses(rows, goal):
+    """Every document's losses from counts kept as dictionaries."""
+    texts = [(i, (t or "").encode().lower().split()) for i, t in rows]
+    counts = {}
+    for kind, chosen in (("target", [w for i, w in texts if i in goal]), ("whole", [w for _, w in texts])):
+        words, pairs = defaultdict(int), defaultdict(int)
+        for w in chosen:
+            for k, word in enumerate(w):
+                words[word] += 1
+                pairs[tuple(w[k - 1 : k + 1])] += k > 0
+        counts[kind] = words, pairs, sum(words.values())
+    size, out = len({word for _, w in texts for word in w}), []
+    for i, w in texts:
+        losses = []
+        for words, pairs, total in counts.values():
+            single = [(words[word] + 0.5) / (total + 0.5 * size) for word in w]
+            chances = [(pairs[w[k - 1], w[k]] + 8 * s) / (words[w[k - 1]] + 8) if k else s for k, s in enumerate(single)]
+            losses.append(-sum(map(math.log, chances)) / len(w) if w else None)
+        out.append((i, len(w), *losses))
+    return out
+
+
+@pytest.mark.parametrize("goal", [{3, 4, 50}, set()])
+def test_losses_equal_plain_counts(spark, monkeypatch, goal):
+    """Blocks of few words, nulls, empty and very long texts, repeated rows and ids, clashing columns; also no target."""
+    monkeypatch.setattr(crossentropy, "BLOCK", 300)
+    rng = np.random.default_rng(4)
+    words = [f"W{k}" for k in range(60)] + ["the"] * 20 + ["größe"]
+    rows = [(int(k) if k % 9 else None, " ".join(rng.choice(words, rng.integers(0, 90)))) for k in range(60)]
+    rows += [(70, None), (71, ""), (72, " \n"), (3, "the w1 THE"), (3, "the w1 THE"), (73, "w2"), (74, " ".join(rng.choice(words, 20_000)))]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, chosen string, bucket int").repartition(3)
+    target = spark.createDataFrame([(k,) for k in [*goal, None]], "doc_id long")
+    found = [tuple(r) for r in crossentropy.cross_entropy_difference(df, target).collect()]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1], r[3] or 0)
+    for one, two in zip(sorted(found, key=order), sorted(plain_losses(rows, goal), key=order), strict=True):
+        assert one[:2] == two[:2] and one[2:4] == pytest.approx(two[2:4])
+        assert one[4] == (pytest.approx(two[2] - two[3]) if two[1] else None)
+
+
+def test_a_large_target_is_joined(spark, monkeypatch):
+    rows = [(k % 7, f"a b{k % 3} c{k % 5} a") for k in range(40)]
+    docs, target = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(k,) for k in (1, 2, 3)], "doc_id long")
+    sent = sorted(map(tuple, crossentropy.cross_entropy_difference(docs, target).collect()))
+    monkeypatch.setattr(crossentropy, "KNOWN_IDS", 2)
+    joined = sorted(map(tuple, crossentropy.cross_entropy_difference(docs, target).collect()))
+    assert [r[:2] for r in sent] == [r[:2] for r in joined] and [x for r in sent for x in r[2:]] == pytest.approx([x for r in joined for x in r[2:]])
+
+
+def test_no_documents_have_no_losses(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert crossentropy.cross_entropy_difference(none, none.select("doc_id")).count() == 0
+
+
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(1)
+    for values in (np.array([], np.uint32), np.array([7], np.uint8), rng.integers(0, 2**64, 99, dtype=np.uint64)):
+        assert (crossentropy.unpacked(crossentropy.packed(values)) == values).all()
+        assert (crossentropy.unpacked_sorted(crossentropy.packed_sorted(np.sort(values).astype(np.uint64))) == np.sort(values)).all()
+
+
+def test_a_null_source_is_not_the_empty_one(spark):
+    rows = [(k, "w " * 10, [None, "", "=", "x"][k % 4]) for k in range(40)]
+    found = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {(r.source, round(r.weight, 9)) for r in found} == {(None, 0.25), ("", 0.25), ("=", 0.25), ("x", 0.25)}
+    alone = mixing.mix_sources(spark.createDataFrame([(1, "a b", "s"), (2, "w " * 60_000, "s")], "doc_id long, text string, source string"))
+    assert {(r.source, r.weight) for r in alone.collect()} == {("s", 1.0)}
+
+
 def test_mixing_meets_its_weights(spark):
     rows = [(k, "w " * (k % 7 + 1), "big" if k % 4 else ("mid" if k % 8 else "small"), "x") for k in range(800)]
     rows += [(9000, "one two", None, "x"), (9001, None, "big", "x"), (None, "a b c", "big", "x"), (9002, "", "none", "x")]
