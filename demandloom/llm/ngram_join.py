@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from demandloom.llm import words as W
 from demandloom.llm.components import components
+from demandloom.llm.holders import HOLDER, with_holders
 from demandloom.llm.storage import discard, in_membership, membership, written
 
 TIERS = 4
@@ -207,15 +208,18 @@ def ngram_join(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_per_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the smallest of its component, repeated ids once; columns stay.
+    """The rows of ``docs`` whose document is the smallest of its component; columns stay.
 
-    Rows without ``doc_id`` cannot be named as a copy and stay.
+    Different texts of one ``doc_id`` are documents of their own. Rows repeated with id and text stay once: the first by
+    their other columns. Rows without ``doc_id`` cannot be named as a copy and stay. An empty table gives none.
     """
-    found = written(ngram_join(docs, size, percent), "ngram-components")
-    copies = found.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    named, _ = with_holders(docs)
+    found = written(ngram_join(named.select(F.col(HOLDER).alias("doc_id"), "text"), size, percent), "ngram-components")
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias(HOLDER)).distinct()
+    repeated = found.groupBy(F.col("doc_id").alias(HOLDER)).count().where(f"count > 1 and {HOLDER} is not null").select(HOLDER)
+    kept = named.join(copies, HOLDER, "left_anti")
     if repeated.isEmpty():  # whole texts then move once
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+        return kept.select(*docs.columns)
+    first = Window.partitionBy(HOLDER).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")])
+    once = kept.join(repeated, HOLDER, "left_semi").withColumn("__turn", F.row_number().over(first)).where("__turn = 1").select(*docs.columns)
+    return kept.join(repeated, HOLDER, "left_anti").select(*docs.columns).unionByName(once)

@@ -1,15 +1,20 @@
 """Substring dedup over compact windows.
 
-The tokens of a text are its word shingles. For each hash function a Cartesian tree over the token hashes gives, per
+The tokens of a text are its word shingles. For each hash function the Cartesian tree over the token hashes has, per
 place, the widest window in which that place has the smallest hash; windows of at least ``min_tokens`` tokens are kept,
 about ``2 n / min_tokens`` per function. All subsequences inside a window that contain the place share that min-hash, so
 every run of ``min_tokens`` tokens that two documents share has a window with the same key in both, for every function.
 
 Windows with equal keys, and equal min-hashes of the tokens to their left or right, form a bucket; each is compared with
-the bucket's first one (the smallest document), so a passage in very many documents costs a row per document. Windows
-that lie in no passage found that way are then compared with all earlier windows of their buckets. Each match, be it of
-one function, is verified on the words themselves: runs of equal shingles on the matched and the neighbouring diagonals are joined, so words may be changed, put
-in or left out, and the Jaccard similarity of the shingles of the two stretches is 0.8 or more.
+the bucket's first one (the smallest document), so a passage in very many documents costs a row per document. What two
+documents share beyond what either shares with the first one begins where both leave it, and they go on alike from there:
+so places where documents leave the one they were compared with, with the same token next, form the buckets of a second
+round, again each with its first one; who goes on inside a passage found already does not ask again. Lines in very many
+documents, with different text around them, thus meet nobody again.
+
+Each match, be it of one function, is verified on the words themselves: runs of equal shingles on the matched and the
+neighbouring diagonals are joined, so words may be changed, put in or left out, and the Jaccard similarity of the shingles
+of the two stretches is 0.8 or more.
 """
 
 from __future__ import annotations
@@ -25,36 +30,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.llm import words as W
+from demandloom.llm.holders import HOLDER, with_holders
 from demandloom.llm.storage import discard, in_membership, membership, written
 
 SIDE = 23  # tokens whose min-hash tells contexts apart: half a shortest window
 PLACE_BITS = 28  # places of a text; longer texts fail rather than lose windows
 MARGIN = 64  # tokens around the outermost matched places: an anchor lies in each run of min_tokens
+LEFT = 8  # equal tokens before a place where a document leaves another, at least
 BAND = 8  # words put in or left out between two runs of one passage, and around the shifts at which windows meet
 SEEDS = tuple(int(W.mixed(np.array([k + 1], np.uint64))[0]) for k in range(32))
 
 
-def window_centres(order: np.ndarray, least: int) -> list[int]:
-    """Nodes of the Cartesian tree over ``order`` whose range holds ``least`` places or more."""
-    centres, stack = [], [(0, len(order))]
-    while stack:
-        start, end = stack.pop()
-        if end - start < least:
-            continue
-        centre = start + int(order[start:end].argmin())
-        centres.append(centre)
-        stack.append((start, centre))
-        stack.append((centre + 1, end))
-    return centres
+def _row_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Per row, the smallest of each ``width`` values side by side, by doubling."""
+    span, reach = values, 1
+    while reach * 2 <= width:
+        span, reach = np.minimum(span[:, :-reach], span[:, reach:]), reach * 2
+    rest = width - reach
+    return np.minimum(span[:, : span.shape[1] - rest], span[:, rest:]) if rest else span
+
 
+def window_centres(hashes: np.ndarray, least: int) -> list[np.ndarray]:
+    """Per row of hashes, the nodes of its Cartesian tree whose range holds ``least`` places or more.
 
-def _side_minima(hashes: np.ndarray) -> np.ndarray:
-    """Smallest hash of each ``SIDE`` places in a row (fewer at the end), by doubling."""
-    padded = np.concatenate((hashes, np.full(SIDE, np.uint64(2**64 - 1))))
-    span, width = padded, 1
-    while width * 2 <= SIDE:
-        span, width = np.minimum(span[:-width], span[width:]), width * 2
-    return np.minimum(span[: len(hashes)], span[SIDE - width : SIDE - width + len(hashes)])
+    A place is such a node if it has the smallest hash of some ``least`` places side by side, so no tree is built. Of equal
+    hashes the leftmost counts, wherever in a text the places stand.
+    """
+    places = np.arange(hashes.shape[1], dtype=np.uint64)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    found = (_row_minima((hashes & ~low) | places, least) & low).astype(np.int64)
+    new = np.diff(found, axis=1, prepend=-1) != 0  # the smallest place moves to the right only
+    return [row[flags] for row, flags in zip(found, new)]
 
 
 def compact_windows(tokens: np.ndarray, functions: int, min_tokens: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,17 +69,14 @@ def compact_windows(tokens: np.ndarray, functions: int, min_tokens: int) -> tupl
         return np.empty(0, np.int64), np.empty(0, np.int64)
     if len(tokens) >> PLACE_BITS:
         raise ValueError(f"a text has more than 2**{PLACE_BITS} words")
-    spread = W.mixed(np.arange(len(tokens), dtype=np.uint64)) & np.uint64(0xFFFF)
+    hashes = W.mixed(tokens ^ np.array(SEEDS[:functions], np.uint64)[:, None])
+    # Sides by function: one unlucky side is not that of all. Places behind the end do not count.
+    sides = W.mixed(tokens ^ np.array(SEEDS[: -functions - 1 : -1], np.uint64)[:, None])
+    minima = _row_minima(np.pad(sides, ((0, 0), (0, SIDE - 1)), constant_values=np.uint64(2**64 - 1)), SIDE) >> np.uint64(48)
     keys, anchors = [], []
-    for f in range(functions):
-        hashes = W.mixed(tokens ^ np.uint64(SEEDS[f]))
-        order = (hashes & ~np.uint64(0xFFFF)) | spread  # equal tokens are told apart by place, so trees stay shallow
-        centres = np.array(window_centres(order, min_tokens), np.int64)
-        minima = _side_minima(W.mixed(tokens ^ np.uint64(SEEDS[-1 - f])))  # by function: one unlucky side is not that of all
-        right = minima[centres] >> np.uint64(48)
-        left = minima[np.maximum(centres - SIDE + 1, 0)] >> np.uint64(48)
-        keys.append(hashes[centres])
-        anchors.append((centres << 32) | (left.astype(np.int64) << 16) | right.astype(np.int64))
+    for own, side, centres in zip(hashes, minima.astype(np.int64), window_centres(hashes, min_tokens)):
+        keys.append(own[centres])
+        anchors.append((centres << 32) | (side[np.maximum(centres - SIDE + 1, 0)] << 16) | side[centres])
     return W.signed(np.concatenate(keys)), np.concatenate(anchors)
 
 
@@ -191,8 +194,24 @@ def _shingle_lists(column: pa.Array, size: int) -> list[np.ndarray]:
     return [hashes[start : max(start, end - size + 1)] for start, end in zip([0, *ends], ends)]
 
 
-def _verified(size: int, min_tokens: int):
-    names = ("doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "union")
+def _exits(one: np.ndarray, two: np.ndarray, low: int, high: int) -> list[tuple[int, int, int, int, int]]:
+    """``(place in one, place in two, side, next place, next token)`` where ``one`` leaves ``two``, to the right (0) and left (1)."""
+    out = []
+    for x, y, n in _diagonals(one, two, low, high):
+        if n < LEFT:
+            continue
+        if x + n < len(one):
+            out.append((x + n - 1, y + n - 1, 0, x + n, int(one[x + n])))
+        if x:
+            out.append((x, y, 1, x - 1, int(one[x - 1])))
+    return out
+
+
+FOUND = ("doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "union", "exit")
+
+
+def _verified(size: int, min_tokens: int, leaving: bool):
+    names = FOUND
     schema = pa.schema([(name, pa.int64()) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,17 +219,27 @@ def _verified(size: int, min_tokens: int):
             rows = []
             given = [batch.column(i).to_pylist() for i in range(6)] + [_shingle_lists(batch.column(i), size) for i in (6, 7)]
             for doc, first, start, other, low, high, one, two in zip(*given):
-                shifts = low - start + other - BAND, high - start + other + BAND
-                for begin, end, there, _, shared, union in _alike(one, two, min_tokens, shifts):
-                    rows.append((doc, start + begin, start + end + size - 1, first, other + there, shared, union))
+                shifts = low - start + other, high - start + other
+                found = _alike(one, two, min_tokens, (shifts[0] - BAND, shifts[1] + BAND))
+                for begin, end, there, _, shared, union in found:
+                    rows.append((doc, start + begin, start + end + size - 1, first, other + there, shared, union, None))
+                for place, there, side, beyond, token in _exits(one, two, *shifts) if leaving else ():
+                    left = hash((first, other + there, side, token))  # of integers: the same in every task
+                    known = any(begin <= beyond < end for begin, end, *_ in found)
+                    rows.append((doc, start + place, int(known), 0, 0, 0, 0, left))
             columns = list(zip(*rows)) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], schema=schema)
 
     return run
 
 
-def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int) -> DataFrame:
-    """Verified stretches of ``matches``: windows of ``doc_id`` and of an earlier document that share a bucket."""
+def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int, spent: tuple[DataFrame, ...], leaving: bool) -> DataFrame:
+    """Verified stretches of ``matches``, places of ``doc_id`` and of an earlier document that share a bucket.
+
+    ``spent`` are tables that only ``matches`` reads. With ``leaving`` there are rows with an ``exit`` (see ``_exits``) that
+    are no stretches: ``doc_id`` leaves the other document at token ``start_word``; ``end_word`` is 1 if what comes next lies
+    in a stretch found all the same.
+    """
     spans = matches.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
         F.min("place").alias("low"), F.max("place").alias("high"))
     # Spans of neighbouring shifts that lie near each other are one request: words may be put in or left out between them.
@@ -232,6 +261,7 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int)
     requests = written(islands.select(
         "doc_id", "first_doc_id", "shift", "last_shift", start_of("low").alias("start"), length_of("low", "high").alias("length"),
         start_of("first_low").alias("first_start"), length_of("first_low", "first_high").alias("first_length")), "passage-requests")
+    discard(*spent)
 
     ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
     maps = texts.sparkSession.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
@@ -245,26 +275,26 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int)
 
     both = requests.join(cut("doc_id", "start", "length"), ["doc_id", "start", "length"]).join(
         cut("first_doc_id", "first_start", "first_length"), ["first_doc_id", "first_start", "first_length"])
-    names = "doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "union"
     found = written(both.select(
         "doc_id", "first_doc_id", "start", "first_start", "shift", "last_shift", "start_words", "first_start_words").mapInArrow(
-        _verified(size, min_tokens), ", ".join(f"{name} bigint" for name in names)).distinct(), "passage-found")
+        _verified(size, min_tokens, leaving), ", ".join(f"{name} bigint" for name in FOUND)).distinct(), "passage-found")
     discard(requests, held)
     return found
 
 
-def repeated_passages(docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 6) -> DataFrame:
-    """``doc_id, start_word, end_word, first_doc_id, first_start, similarity``: passages that an earlier document holds.
+def _first_of_each(members: DataFrame, bucket: str, label: str, asking: str = "true") -> tuple[DataFrame, DataFrame]:
+    """Matches of ``bucket, doc_id, place`` rows with the smallest document of their bucket, and those heads, written.
 
-    A row says that the words ``start_word`` to before ``end_word`` of a document repeat those from ``first_start`` in the
-    document with the smaller id; the first holder of a passage has no row for it. Stretches have at least ``min_words``
-    words, the Jaccard similarity of their shingles of ``size`` words is 0.8 or more. Null and shorter texts hold no
-    passage; rows without ``doc_id`` take no part, rows of one ``doc_id`` are never compared with each other. Repeated
-    rows count once; other columns are ignored.
+    Any row may be a head, only ``asking`` ones are matched.
     """
-    min_tokens = min_words - size + 1
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
-        "doc_id is not null and text is not null")
+    heads = written(members.groupBy(bucket).agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
+        "head.doc_id < last").select(bucket, "head"), label)
+    return members.where(asking).join(heads, bucket).where("doc_id > head.doc_id").select(
+        "doc_id", "place", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).distinct(), heads
+
+
+def _between_holders(texts: DataFrame, size: int, min_tokens: int, functions: int) -> DataFrame:
+    """Passages among ``doc_id, text`` rows in which one ``doc_id`` has one text."""
     windows = written(texts.mapInArrow(
         _windowed(size, functions, min_tokens), "doc_id bigint, keys array<bigint>, anchors array<bigint>"), "passage-windows")
     rows = windows.select("doc_id", F.explode(F.arrays_zip("keys", "anchors")).alias("w")).select(
@@ -277,28 +307,42 @@ def repeated_passages(docs: DataFrame, size: int = 5, min_words: int = 50, funct
     sided = written(rows.join(shared, "key").select(
         sides.alias("bucket"), "doc_id", place.alias("place")), "passage-shared")
     discard(windows)
-    heads = written(sided.groupBy("bucket").agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
-        "head.doc_id < last").select("bucket", "head"), "passage-heads")
-    matches = sided.join(heads, "bucket").where("doc_id > head.doc_id").select(
-        "doc_id", "place", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).distinct()
-    first = _compared(texts, matches, size, min_tokens)
-
-    # A window that no passage found so far covers meets all earlier members of its buckets, not only their heads.
-    known = first.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", (F.col("end_word") - size).alias("last"))).alias("known"))
-    members = sided.join(heads, "bucket").select("bucket", "head", "doc_id", "place")
-    alone = members.where("doc_id > head.doc_id").join(known, "doc_id", "left").where(~F.coalesce(
-        F.exists("known", lambda k: F.col("place").between(k["start_word"], k["last"])), F.lit(False))).drop("known", "head")
-    earlier = members.where("doc_id <> head.doc_id or place <> head.place").select(
-        "bucket", F.col("doc_id").alias("first_doc_id"), F.col("place").alias("first_place"))
-    rest = alone.join(earlier, "bucket").where("first_doc_id < doc_id").drop("bucket").distinct()
-    more = _compared(texts, rest, size, min_tokens)
-    discard(sided, heads)
+    matches, heads = _first_of_each(sided, "bucket", "passage-heads")
+    first = _compared(texts, matches, size, min_tokens, (sided, heads), True)
 
+    exits = first.where("exit is not null").select("exit", "doc_id", F.col("start_word").alias("place"), F.col("end_word").alias("known"))
+    matches, heads = _first_of_each(exits, "exit", "passage-exits", "known = 0")
+    more = _compared(texts, matches, size, min_tokens, (heads,), False)
+    return first.union(more).where("exit is null").drop("exit").distinct()
+
+
+def repeated_passages(docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 6) -> DataFrame:
+    """``doc_id, start_word, end_word, first_doc_id, first_start, similarity``: passages that an earlier document holds.
+
+    A row says that the words ``start_word`` to before ``end_word`` of a document repeat those from ``first_start`` in the
+    document with the smaller id; the first holder of a passage has no row for it. Stretches have at least ``min_words``
+    words, the Jaccard similarity of their shingles of ``size`` words is 0.8 or more. Null and shorter texts hold no
+    passage; rows without ``doc_id`` take no part. Different texts of one ``doc_id`` are documents of their own (the one
+    with the smallest hash stands first); repeated rows count once; other columns are ignored. An empty table gives none.
+    """
+    named, several = with_holders(docs.select("doc_id", "text"))
+    found = _passages(named, size, min_words, functions)
+    if several:
+        names = named.select(HOLDER, F.col("doc_id").cast("bigint").alias("id")).where(F.col(HOLDER) != F.col("id")).distinct()
+        for column in ("doc_id", "first_doc_id"):
+            found = found.join(names.withColumnRenamed(HOLDER, column), column, "left").withColumn(column, F.coalesce("id", column)).drop("id")
+    return found.select("doc_id", "start_word", "end_word", "first_doc_id", "first_start", "similarity")
+
+
+def _passages(named: DataFrame, size: int, min_words: int, functions: int) -> DataFrame:
+    """The columns of ``repeated_passages`` by holder."""
+    texts = named.select(F.col(HOLDER).alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
+    found = _between_holders(texts, size, min_words - size + 1, functions)
     # Requests on one diagonal may show the same stretch in pieces; the widest one is kept.
     overlap = Window.partitionBy("doc_id", "first_doc_id", F.col("start_word") - F.col("first_start")).orderBy(
         "start_word", F.desc("end_word"))
     covered = F.max("end_word").over(overlap.rowsBetween(Window.unboundedPreceding, -1))
-    return first.union(more).distinct().withColumn("covered", covered).where("covered is null or end_word > covered").select(
+    return found.withColumn("covered", covered).where("covered is null or end_word > covered").select(
         "doc_id", "start_word", "end_word", "first_doc_id", "first_start",
         (F.col("shared") / F.col("union")).alias("similarity"))
 
@@ -339,14 +383,16 @@ def remove_words(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join(kept).decode()
 
 
-def without_repeats(docs: DataFrame, **settings) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 6) -> DataFrame:
     """``docs`` with every repeated passage left in its first document only; texts left empty by that go, columns stay.
 
-    ``n_chars``, where present, follows the text.
+    ``n_chars``, where present, follows the text. Rows without ``doc_id`` or text stay as they are; each text of a repeated
+    ``doc_id`` loses its own passages only.
     """
-    spans = written(repeated_passages(docs, **settings).groupBy("doc_id").agg(
+    named, _ = with_holders(docs)
+    spans = written(_passages(named, size, min_words, functions).groupBy(F.col("doc_id").alias("__span_of")).agg(
         F.array_sort(F.collect_set(F.struct("start_word", "end_word"))).alias("__spans")), "passage-spans")
-    joined = docs.join(spans, "doc_id", "left").select(*docs.columns, "__spans")
+    joined = named.join(spans, F.col(HOLDER) == F.col("__span_of"), "left").select(*docs.columns, "__spans")
     cut = joined.mapInArrow(
         _cut(len(docs.columns), docs.columns.index("text")),
         T.StructType([*docs.schema.fields, T.StructField("__cut", T.BooleanType())])).where(~F.col("__cut") | (F.trim("text") != ""))

@@ -179,6 +179,25 @@ def test_passages_with_words_put_in_or_left_out(spark):
         assert r.similarity == pytest.approx(len(one & whole) / (len(one) + 76 - len(one & whole)))
 
 
+def test_window_centres_are_the_wide_nodes_of_the_cartesian_tree():
+    def nodes(order, least):
+        out, stack = [], [(0, len(order))]
+        while stack:
+            start, end = stack.pop()
+            if end - start >= least:
+                centre = start + int(order[start:end].argmin())
+                out.append(centre)
+                stack += [(start, centre), (centre + 1, end)]
+        return sorted(out)
+
+    rng = np.random.default_rng(9)
+    for length in (46, 47, 100, 700):
+        tokens = rng.integers(0, 60 if length == 100 else 2**40, (3, length)).astype(np.uint64) << np.uint64(24)
+        tokens &= ~np.uint64((1 << P.PLACE_BITS) - 1)
+        for least in (1, 5, 46):
+            assert [c.tolist() for c in P.window_centres(tokens, least)] == [nodes(row, least) for row in tokens]
+
+
 def test_similarity_is_that_of_the_shingle_sets():
     rng = np.random.default_rng(6)
     for _ in range(200):
@@ -191,6 +210,68 @@ def test_similarity_is_that_of_the_shingle_sets():
             assert (shared, union) == (len(here & there), len(here | there)) and shared >= 0.8 * union and end - start >= 46
 
 
+def covered(rows, doc):
+    out = set()
+    for r in rows:
+        if r.doc_id == doc:
+            out |= set(range(r.start_word, r.end_word))
+    return out
+
+
+def test_what_two_documents_share_beyond_the_first_holder_is_found(spark):
+    """A holds 60 words, B and C hold them and 1 to 45 more on one side: C is covered as a whole."""
+    rng, out, wanted = random.Random(31), [], {}
+    for k, more in enumerate((1, 2, 3, 4, 6, 10, 17, 25, 33, 45) * 2):
+        passage, beyond = prose(rng, 60), prose(rng, more)
+        longer = beyond + passage if k % 2 else passage + beyond
+        for j, part in enumerate((passage, longer, longer)):
+            before = prose(rng, 30 + k)
+            out.append((10 * k + j, " ".join(before + part + prose(rng, 30))))
+        wanted[10 * k + 2] = set(range(len(before), len(before) + len(longer)))
+    rows = P.repeated_passages(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    assert all(covered(rows, doc) >= words for doc, words in wanted.items())
+
+
+def test_a_frequent_short_line_makes_no_pairs(spark, monkeypatch):
+    """45 words that many documents hold are no passage; what is compared grows with the documents, not with their square."""
+    rng, counts = random.Random(32), {}
+    line = prose(rng, 45)
+    docs = [(k, " ".join(prose(rng, 40) + line + prose(rng, 40))) for k in range(160)]
+    real = P._compared
+
+    def counted(texts, matches, *rest):
+        counts.setdefault(size, []).append(matches.count())
+        return real(texts, matches, *rest)
+
+    monkeypatch.setattr(P, "_compared", counted)
+    for size in (40, 80, 160):
+        assert P.repeated_passages(spark.createDataFrame(docs[:size], "doc_id long, text string")).count() == 0
+    assert sum(counts[160]) < 5 * sum(counts[40]) and sum(counts[160]) < 160 * 60
+
+
+def test_one_per_group_keeps_the_texts_of_a_repeated_id(spark):
+    rng = random.Random(34)
+    a, b = " ".join(prose(rng, 40)), " ".join(prose(rng, 40))
+    rows = [(1, a, 3), (2, a, 3), (2, b, 5), (2, b, 4), (3, None, 1), (None, a, 1)]
+    kept = N.one_per_group(spark.createDataFrame(rows, "doc_id long, text string, node long"))
+    found = sorted((r.doc_id or 0, r.text or "", r.node) for r in kept.collect())
+    assert (2, b, 4) in found and (3, "", 1) in found and (0, a, 1) in found
+    assert len(found) == 4 and len([r for r in found if r[0] and r[1] == a]) == 1
+
+
+def test_texts_of_a_repeated_id_are_cut_on_their_own(spark):
+    rng = random.Random(33)
+    passage, other = prose(rng, 70), [prose(rng, 60) for _ in range(4)]
+    rows = [(1, " ".join(passage)), (2, " ".join(other[0])), (2, " ".join(other[1] + passage)), (2, " ".join(other[2])), (3, " ".join(other[3]))]
+    df = spark.createDataFrame([(*r, 5, "clash") for r in rows], "doc_id long, text string, n_chars long, place string")
+    found = P.repeated_passages(df).collect()
+    assert [(r.doc_id, r.first_doc_id, r.start_word, r.end_word) for r in found] in ([(2, 1, 60, 130)], [(1, 2, 0, 70)])
+    kept = sorted((r.doc_id, r.text) for r in P.without_repeats(df).collect())
+    whole = sorted([(1, " ".join(passage)), *[(2, " ".join(o)) for o in other[:3]], (3, " ".join(other[3]))])
+    cut_other = sorted([(2, " ".join(other[0])), (2, " ".join(other[1] + passage)), (2, " ".join(other[2])), (3, " ".join(other[3]))])
+    assert [(i, t.strip()) for i, t in kept] in (whole, cut_other)
+
+
 def test_shortest_near_passages_are_found(spark):
     """50 words, the middle one replaced: 41 of 51 shingles are shared, just above 0.8."""
     rng, out = random.Random(50), []
