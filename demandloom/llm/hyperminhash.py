@@ -284,24 +284,34 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         crowded.withColumn("full", F.lit(True)), "band", "left")
     rooted = rooted.select("band", "node", "n", "room", "strict", F.coalesce("root", "node").alias("root"),
                            F.when(F.col("full"), F.col("strict")).otherwise(F.col("room")).alias("most"))
-    parts = rooted.groupBy("band", "root").agg(F.min("n").alias("low"), F.max("most").alias("room"))
+    parts = rooted.groupBy("band", "root").agg(F.min("n").alias("low"), F.max("most").alias("room"), F.count("*").alias("members"))
     mixed = parts.groupBy("band").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("band")
     parts = written(parts.join(mixed, "band"), "hyper-parts")
     rooted = written(rooted.join(mixed, "band", "left_semi"), "hyper-rooted")
     fits = _fits("p", "q", "room", "low", percent)
-    across = parts.alias("p").join(parts.alias("q"), "band").where((F.col("p.root") < F.col("q.root")) & fits).select(
-        "band", F.col("p.root").alias("one"), F.col("q.root").alias("other"))
-    left = rooted.select("band", F.col("root").alias("one"), F.struct("node", "n", "room", "strict").alias("x"))
-    right = rooted.select("band", F.col("root").alias("other"), F.struct("node", "n", "room", "strict").alias("y"))
+    across = written(parts.alias("p").join(parts.alias("q"), "band").where((F.col("p.root") < F.col("q.root")) & fits).select(
+        "band", F.col("p.root").alias("one"), F.col("q.root").alias("other"), (F.col("p.members") * F.col("q.members")).alias("pairs")), "hyper-across")
+    # Two components that meet in many bands: all their members once, if that is less than once per band.
+    held = rooted.select("root", "node", "n", "room", "strict").distinct()
+    size = held.groupBy("root").agg(F.count("*").alias("size"))
+    whole = across.groupBy("one", "other").agg(F.sum("pairs").alias("pairs")).join(
+        size.select(F.col("root").alias("one"), F.col("size").alias("size_one")), "one").join(
+        size.select(F.col("root").alias("other"), F.col("size").alias("size_other")), "other").where(
+        F.col("size_one") * F.col("size_other") < F.col("pairs")).select("one", "other")
+    whole = written(whole, "hyper-whole")
+    told = F.struct("node", "n", "room", "strict")
+    left, right = (rooted.select("band", F.col("root").alias(root), told.alias(side)) for root, side in (("one", "x"), ("other", "y")))
+    by_band = across.join(whole, ["one", "other"], "left_anti").select("band", "one", "other").join(left, ["band", "one"]).join(right, ["band", "other"])
+    ones, others = (held.select(F.col("root").alias(root), told.alias(side)) for root, side in (("one", "x"), ("other", "y")))
+    met = by_band.select("x", "y").union(whole.join(ones, "one").join(others, "other").select("x", "y"))
     loose, close = _fits("x", "y", "room", "n", percent), _fits("x", "y", "strict", "n", percent)
-    met = across.join(left, ["band", "one"]).join(right, ["band", "other"])
     rest = _met(met, F.when(F.col("x.strict").isNotNull() & F.col("y.strict").isNotNull(), close).otherwise(loose))
     held = rare.where("df > 1").join(tight, "node").join(roots, "node", "left").select(
         "h", F.struct("node", "n", "room", "strict", F.coalesce("root", "node").alias("root")).alias("x"))
     both = held.join(held.select("h", F.col("x").alias("y")), "h").where((F.col("x.root") < F.col("y.root")) & ~close)
     rest = rest.union(_met(both, loose)).distinct().join(first, ["a", "b"], "left_anti")
     more = written(_confirmed(_sifted(rest, sketches, percent), sets, percent), "hyper-links")
-    discard(parts, rooted, postings, first, sketches, sets, able, crowded, crowd, rare, tight)
+    discard(parts, rooted, across, whole, postings, first, sketches, sets, able, crowded, crowd, rare, tight)
     if not more.isEmpty():
         roots = components(links.union(more), "a", "b")
 
