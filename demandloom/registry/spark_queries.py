@@ -860,8 +860,18 @@ def batch_predict_rows(spark, sf_dir):
 # ---- whole runs ----------------------------------------------------------------------------------------------
 
 
+_RUNS: dict[tuple[str, str, str], tuple[PipelineConfig, list[dt.date]]] = {}
+
+
 def _loaded(spark, sf_dir) -> tuple[PipelineConfig, list[dt.date]]:
-    """Raw files to gold for every day of the calendar in one backfill."""
+    """Raw files to gold for every day of the calendar in one backfill; once per session and state of the given tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, X.stamp(spark, sf_dir))
+    if key not in _RUNS:
+        _RUNS[key] = _load(spark, sf_dir)
+    return _RUNS[key]
+
+
+def _load(spark, sf_dir) -> tuple[PipelineConfig, list[dt.date]]:
     cfg = X.pipeline(spark, X.SHIFTED_BASE)
     sales, calendar, prices = X.write_raw_files(spark, sf_dir)
     days = sorted(row["date"] for row in csv.read_calendar(spark, calendar).select("date").collect())
