@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.operators.storage import BATCH, Snapshot, snapshot_of
+from demandloom.operators.storage import BATCH, Snapshot, listed, snapshot_of
 from demandloom.schemas import DATE_COLUMN
 from demandloom.sources.csv import require_columns
 
@@ -25,7 +25,7 @@ def read_table(
     state = (at or snapshot_of(spark, path)).table(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if state is None:
-        table = reader.parquet(path)
+        table = listed(spark, lambda: reader.parquet(path))
         return table if schema is None else table.select(*schema.names)
     folders = state.folders(path)
     if not folders:
@@ -33,7 +33,7 @@ def read_table(
     if state.partition is None:
         table = reader.parquet(*folders)
     else:
-        table = reader.option("basePath", path).parquet(*folders).drop(BATCH)
+        table = listed(spark, lambda: reader.option("basePath", path).parquet(*folders).drop(BATCH))
     return table if schema is None else table.select(*schema.names)
 
 
@@ -48,7 +48,8 @@ def read_days(
     folders = state.folders(path, [day.isoformat() for day in days]) if state else []
     if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
+    reader = spark.read.schema(schema).option("basePath", path)
+    return listed(spark, lambda: reader.parquet(*folders)).select(*schema.names)
 
 
 def scan_partition(table: DataFrame, day: dt.date, column: str = DATE_COLUMN) -> DataFrame:
