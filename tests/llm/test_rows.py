@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from demandloom.llm import crossentropy, licenses, mixing, quality, queries, toxicity, warc
@@ -101,10 +102,10 @@ def test_license_scan(spark):
 
 RULE_NAMES = ["Apache 2.0", "MIT", "CC0 1.0", "GPL v3", "public domain", "PostgreSQL"]
 RULE_TEXTS = [text.format(name) for name in RULE_NAMES for text in (
-    "SPDX-License-Identifier: {}", "is licensed under the {}", "Released under {}.", "published in the {}", "available under {}", "placed into {}",
+    "SPDX-License-Identifier: {}", "is licensed under the {}", "Released under {}.", "available under {}",
     "provided under {}", "distributed under {}", "under the terms of the {}", "License: {}", "{} licence")] + [
     "copyright 2020", "(c) 2020", "without warranty", "Permission is hereby granted, free of charge, to all", "proprietary and confidential",
-    "Redistribution and use in source and binary forms", "for non-commercial use only"]
+    "Redistribution and use in source and binary forms", "for non-commercial use only", "published in the public domain", "placed into public domain"]
 
 
 def test_license_prefilter_drops_no_rule(spark):
@@ -136,6 +137,42 @@ def test_license_ids_and_wrapped_notices(spark):
     assert got == [(text, [label], score) for text, label, score in cases]
 
 
+LICENSE_PROSE = {
+    "The library is available in Python.": "", "provided in Ruby and PHP": "", "published in C and available in PHP": "", "mit license plates": "",
+    "a permit license": "", "licensed under Mitsubishi rules": "", "Eclipse Public License - v 1.0": "epl-1.0", "Eclipse Public License v2.0": "epl-2.0",
+    "Creative Commons Attribution 4.0 International License": "cc-by-4.0", "Creative Commons Attribution-ShareAlike 3.0 Unported": "cc-by-sa",
+    "CC BY 3.0 license": "cc-by,cc-by-3.0", "This work is MIT-licensed.": "mit", "Mozilla Public License, v. 2.0": "mpl-2.0",
+    "SPDX-License-Identifier: (MIT OR Apache-2.0)": "apache-2.0,mit", "SPDX-License-Identifier: MIT AND (ISC OR GPL-2.0-only)": "gpl-2.0,isc,mit",
+    "SPDX-License-Identifier: MIT. The isc chip": "mit", "licensed under the GNU General Public License, version 2": "gpl,gpl-2.0",
+    "GNU Lesser General Public License version 2.1": "gpl,lgpl-2.1", "GNU Affero General Public License v3.0": "agpl-3.0,gpl",
+    "Apache License, Version 2.0": "apache-2.0", "Apache License 2.01": "", "Apache License Version 2": "apache-2.0", "dedicated to the public domain": "public-domain"}
+
+
+def test_license_prose(spark):
+    docs = spark.createDataFrame(list(enumerate(LICENSE_PROSE)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in licenses.license_scan(docs).collect()}
+    assert {text: found[k] for k, text in enumerate(LICENSE_PROSE)} == LICENSE_PROSE
+    assert found == {r.doc_id: r.labels for r in licenses.license_scan(docs, prefilter=False).collect()}
+
+
+def test_license_each_name_is_hit_and_missed(spark):
+    """Every short name is found in its phrasing, and not where it is the end of a longer word."""
+    names = sorted({name for _, _, name in licenses.LICENSES if re.fullmatch(r"[a-z0-9 ]+", name)})
+    texts = [f"licensed under the {name}" for name in names] + [f"licensed under the q{name}q license" for name in names]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in licenses.license_scan(docs).collect()}
+    labels = {name: {label for label, _, other in licenses.LICENSES if other == name} for name in names}
+    for k, name in enumerate(names):
+        assert labels[name] & set(found[k].split(",")) and not labels[name] & set(found[len(names) + k].split(",")), name
+
+
+@pytest.mark.parametrize("count", [0, 1, 255, 256, 257, 1000])
+def test_license_intervals_equal_a_plain_search(spark, count):
+    text = "".join(f"{'x' * (k % 7)}mit{'y' * (k % 3)}" for k in range(count)) + "end"
+    row = spark.createDataFrame([(text, "mi?t|e")], "text string, pattern string").select(licenses._intervals(F.col("text"), F.col("pattern"))).first()[0]
+    assert [(r.start, r.end) for r in row] == [m.span() for m in re.finditer("mi?t|e", text)]
+
+
 def test_license_scan_of_given_documents(spark):
     docs = queries.table(spark, SF, "documents")
     texts = dict(docs.select("doc_id", "text").collect())
