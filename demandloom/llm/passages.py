@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from demandloom.llm.storage import discard, in_membership, membership, written
 SIDE = 23  # tokens whose min-hash tells contexts apart: half a shortest window
 PLACE_BITS = 28  # places of a text; longer texts fail rather than lose windows
 MARGIN = 64  # tokens around the outermost matched places: an anchor lies in each run of min_tokens
+BYTES = 1 << 20  # of text whose windows are taken at once
+CELLS = 1 << 20  # places on diagonals compared at once
 LEFT = 8  # equal tokens before a place where a document leaves another, at least
 BAND = 8  # words put in or left out between two runs of one passage, and around the shifts at which windows meet
 SEEDS = tuple(int(W.mixed(np.array([k + 1], np.uint64))[0]) for k in range(32))
@@ -50,34 +53,59 @@ def _row_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(span[:, : span.shape[1] - rest], span[:, rest:]) if rest else span
 
 
+def _centres(hashes: np.ndarray, least: int, whole: np.ndarray | slice) -> list[np.ndarray]:
+    """``window_centres`` over the runs of ``least`` places that begin at the chosen places."""
+    places = np.arange(hashes.shape[1], dtype=np.uint64)
+    low = np.uint64((1 << PLACE_BITS) - 1)
+    found = (_row_minima((hashes & ~low) | places, least) & low)[:, whole].astype(np.int64)
+    new = np.diff(found, axis=1, prepend=-1) != 0  # the smallest place moves to the right only
+    return [row[flags] for row, flags in zip(found, new)]
+
+
 def window_centres(hashes: np.ndarray, least: int) -> list[np.ndarray]:
     """Per row of hashes, the nodes of its Cartesian tree whose range holds ``least`` places or more.
 
     A place is such a node if it has the smallest hash of some ``least`` places side by side, so no tree is built. Of equal
     hashes the leftmost counts, wherever in a text the places stand.
     """
-    places = np.arange(hashes.shape[1], dtype=np.uint64)
-    low = np.uint64((1 << PLACE_BITS) - 1)
-    found = (_row_minima((hashes & ~low) | places, least) & low).astype(np.int64)
-    new = np.diff(found, axis=1, prepend=-1) != 0  # the smallest place moves to the right only
-    return [row[flags] for row, flags in zip(found, new)]
+    return _centres(hashes, least, slice(None))
 
 
-def compact_windows(tokens: np.ndarray, functions: int, min_tokens: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and anchors of the windows; an anchor packs place and 16 bits of either side's min-hash."""
-    if len(tokens) < min_tokens:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(tokens) >> PLACE_BITS:
+def compact_windows(texts: list[np.ndarray], functions: int, min_tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys and anchors of the windows of token lists, one list after the other, and how many windows each has.
+
+    An anchor packs place and 16 bits of either side's min-hash. The lists lie side by side in one array, with room between
+    them for sides to end in; no window spans two.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    if len(sizes) and sizes.max() >> PLACE_BITS:
         raise ValueError(f"a text has more than 2**{PLACE_BITS} words")
-    hashes = W.mixed(tokens ^ np.array(SEEDS[:functions], np.uint64)[:, None])
-    # Sides by function: one unlucky side is not that of all. Places behind the end do not count.
-    sides = W.mixed(tokens ^ np.array(SEEDS[: -functions - 1 : -1], np.uint64)[:, None])
-    minima = _row_minima(np.pad(sides, ((0, 0), (0, SIDE - 1)), constant_values=np.uint64(2**64 - 1)), SIDE) >> np.uint64(48)
-    keys, anchors = [], []
-    for own, side, centres in zip(hashes, minima.astype(np.int64), window_centres(hashes, min_tokens)):
+    chosen = np.flatnonzero(sizes >= min_tokens)
+    if not len(chosen):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(texts), np.int64)
+    gap = np.zeros(SIDE - 1, np.uint64)
+    tokens = np.concatenate([part for at in chosen for part in (texts[at], gap)])
+    starts = np.concatenate(([0], np.cumsum(sizes[chosen] + SIDE - 1)))
+    owner = np.repeat(np.arange(len(chosen)), sizes[chosen] + SIDE - 1)
+    after = starts[owner] + sizes[chosen][owner] - np.arange(len(tokens))  # places up to the end of the list
+    keys, anchors, owners = [], [], []
+    whole = np.flatnonzero(after[: len(tokens) - min_tokens + 1] >= min_tokens)
+    for at in range(functions):
+        own = W.mixed(tokens ^ np.uint64(SEEDS[at]))
+        # Sides by function: one unlucky side is not that of all. Places behind the end do not count.
+        side = W.mixed(tokens ^ np.uint64(SEEDS[-1 - at]))
+        side[after <= 0] = np.uint64(2**64 - 1)
+        side = (_row_minima(side[None, :], SIDE)[0] >> np.uint64(48)).astype(np.int64)
+        centres = _centres(own[None, :], min_tokens, whole)[0]
+        begin = starts[owner[centres]]
         keys.append(own[centres])
-        anchors.append((centres << 32) | (side[np.maximum(centres - SIDE + 1, 0)] << 16) | side[centres])
-    return W.signed(np.concatenate(keys)), np.concatenate(anchors)
+        anchors.append(((centres - begin) << 32) | (side[np.maximum(centres - SIDE + 1, begin)] << 16) | side[centres])
+        owners.append(owner[centres])
+    owners = np.concatenate(owners)
+    order = np.argsort(owners, kind="stable")
+    counts = np.zeros(len(texts), np.int64)
+    counts[chosen] = np.bincount(owners, minlength=len(chosen))
+    return W.signed(np.concatenate(keys))[order], np.concatenate(anchors)[order], counts
 
 
 def _tokens(text: bytes | None, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,14 +113,30 @@ def _tokens(text: bytes | None, size: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, W.shingle_hashes(hashes, size)
 
 
+def _by_bytes(texts: list[bytes | None], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of ``most`` bytes together; a longer one stands alone."""
+    start, held = 0, 0
+    for at, text in enumerate(texts):
+        if at > start and held + len(text or b"") > most:
+            yield start, at
+            start, held = at, 0
+        held += len(text or b"")
+    if texts:
+        yield start, len(texts)
+
+
 def _windowed(size: int, functions: int, min_tokens: int):
     schema = pa.schema([("doc_id", pa.int64()), ("keys", pa.list_(pa.int64())), ("anchors", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches):
-            both = [compact_windows(_tokens(text, size)[1], functions, min_tokens) for text in W.column_bytes(batch, "text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), W.long_lists([k for k, _ in both]), W.long_lists([a for _, a in both])], schema=schema)
+        for batch in W.slices(batches, 64):
+            texts = W.column_bytes(batch, "text")
+            for start, end in _by_bytes(texts, BYTES):
+                keys, anchors, counts = compact_windows([_tokens(text, size)[1] for text in texts[start:end]], functions, min_tokens)
+                ends = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(start, end - start), *[pa.ListArray.from_arrays(ends, pa.array(c)) for c in (keys, anchors)]
+                ], schema=schema)
 
     return run
 
@@ -104,28 +148,41 @@ def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _requested_ids(maps):
-    schema = pa.schema([("doc_id", pa.int64()), ("words", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("words", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             chosen = batch.filter(pa.array(in_membership(W.mixed(ids.view(np.uint64)), maps.value)))
-            hashes = [W.word_hashes(W.split_words(text)) >> np.uint64(33) for text in W.column_bytes(chosen, "text")]
-            yield pa.RecordBatch.from_arrays([chosen.column(0), W.long_lists([W.signed(h) for h in hashes])], schema=schema)
+            hashes = [(W.word_hashes(W.split_words(text)) >> np.uint64(33)).astype(np.int32) for text in W.column_bytes(chosen, "text")]
+            ends = np.concatenate(([0], np.cumsum([len(h) for h in hashes]))).astype(np.int32)
+            words = pa.array(np.concatenate([np.empty(0, np.int32), *hashes]))
+            yield pa.RecordBatch.from_arrays([chosen.column(0), pa.ListArray.from_arrays(pa.array(ends), words)], schema=schema)
 
     return run
 
 
 def _diagonals(one: np.ndarray, two: np.ndarray, low: int, high: int) -> list[tuple[int, int, int]]:
     """``(start in one, start in two, length)`` of the runs of equal tokens whose shift, place less place, is in the range."""
-    ends = np.zeros(1, bool)
-    runs = []
-    for shift in range(max(low, 1 - len(two)), min(high, len(one) - 1) + 1):
-        begin, other = max(shift, 0), max(-shift, 0)
-        count = min(len(one) - begin, len(two) - other)
-        equal = one[begin : begin + count] == two[other : other + count]
-        edges = np.flatnonzero(np.diff(np.concatenate((ends, equal, ends)).view(np.int8)))
-        runs += [(begin + x, other + x, y - x) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist())]
+    low, high = max(low, 1 - len(two)), min(high, len(one) - 1)
+    if low > high or not len(one):
+        return []
+    # Row k of the view stands for shift high - k: its place i is place i - shift of two, or a value that one does not hold.
+    before, width = max(high, 0), len(one)
+    other = one.max() + one.dtype.type(1) if one.max() < np.iinfo(one.dtype).max else np.setdiff1d(np.arange(width + 1, dtype=one.dtype), one)[0]
+    padded = np.full(before + len(two) + max(width - low - len(two), 0), other, one.dtype)
+    padded[before : before + len(two)] = two
+    view = np.lib.stride_tricks.as_strided(padded[before - high :], (high - low + 1, width), padded.strides * 2, writeable=False)[::-1]
+    runs: list[tuple[int, int, int]] = []
+    step = max(1, CELLS // width)
+    for at in range(0, len(view), step):
+        rows = view[at : at + step]
+        equal = np.zeros((len(rows), width + 2), bool)
+        np.equal(rows, one, out=equal[:, 1:-1])
+        edges = np.flatnonzero(equal[:, 1:] != equal[:, :-1])
+        starts, ends = edges[::2], edges[1::2]
+        shifts, places = np.divmod(starts, width + 1)
+        runs += zip(places.tolist(), (places - shifts - (low + at)).tolist(), (ends - starts).tolist())
     return runs
 
 
@@ -194,15 +251,19 @@ def _shingle_lists(column: pa.Array, size: int) -> list[np.ndarray]:
     return [hashes[start : max(start, end - size + 1)] for start, end in zip([0, *ends], ends)]
 
 
-def _exits(one: np.ndarray, two: np.ndarray, low: int, high: int) -> list[tuple[int, int, int, int, int]]:
-    """``(place in one, place in two, side, next place, next token)`` where ``one`` leaves ``two``, to the right (0) and left (1)."""
+def _exits(
+    one: np.ndarray, two: np.ndarray, low: int, high: int, found: list[tuple[int, ...]]
+) -> list[tuple[int, int, int, int, int]]:
+    """``(place in one, place in two, side, next place, next token)`` where ``one`` leaves ``two``, to the right (0) and left (1).
+
+    Behind ``LEFT`` equal tokens or more, and at the ends of stretches found, however few are equal there.
+    """
     out = []
+    firsts, lasts = {begin for begin, *_ in found}, {end for _, end, *_ in found}
     for x, y, n in _diagonals(one, two, low, high):
-        if n < LEFT:
-            continue
-        if x + n < len(one):
+        if x + n < len(one) and (n >= LEFT or x + n in lasts):
             out.append((x + n - 1, y + n - 1, 0, x + n, int(one[x + n])))
-        if x:
+        if x and (n >= LEFT or x in firsts):
             out.append((x, y, 1, x - 1, int(one[x - 1])))
     return out
 
@@ -210,20 +271,20 @@ def _exits(one: np.ndarray, two: np.ndarray, low: int, high: int) -> list[tuple[
 FOUND = ("doc_id", "start_word", "end_word", "first_doc_id", "first_start", "shared", "union", "exit")
 
 
-def _verified(size: int, min_tokens: int, leaving: bool):
+def _verified(size: int, min_tokens: int):
     names = FOUND
     schema = pa.schema([(name, pa.int64()) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches):
             rows = []
-            given = [batch.column(i).to_pylist() for i in range(6)] + [_shingle_lists(batch.column(i), size) for i in (6, 7)]
-            for doc, first, start, other, low, high, one, two in zip(*given):
+            given = [batch.column(i).to_pylist() for i in range(7)] + [_shingle_lists(batch.column(i), size) for i in (7, 8)]
+            for doc, first, start, other, low, high, leaving, one, two in zip(*given):
                 shifts = low - start + other, high - start + other
                 found = _alike(one, two, min_tokens, (shifts[0] - BAND, shifts[1] + BAND))
                 for begin, end, there, _, shared, union in found:
                     rows.append((doc, start + begin, start + end + size - 1, first, other + there, shared, union, None))
-                for place, there, side, beyond, token in _exits(one, two, *shifts) if leaving else ():
+                for place, there, side, beyond, token in _exits(one, two, *shifts, found) if leaving else ():
                     left = hash((first, other + there, side, token))  # of integers: the same in every task
                     known = any(begin <= beyond < end for begin, end, *_ in found)
                     rows.append((doc, start + place, int(known), 0, 0, 0, 0, left))
@@ -233,15 +294,17 @@ def _verified(size: int, min_tokens: int, leaving: bool):
     return run
 
 
-def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int, spent: tuple[DataFrame, ...], leaving: bool) -> DataFrame:
-    """Verified stretches of ``matches``, places of ``doc_id`` and of an earlier document that share a bucket.
+def _compared(
+    texts: DataFrame, matches: DataFrame, size: int, min_tokens: int, spent: tuple[DataFrame, ...], held: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Verified stretches of ``matches``, places of ``doc_id`` and of an earlier document that share a bucket, and ``held``.
 
-    ``spent`` are tables that only ``matches`` reads. With ``leaving`` there are rows with an ``exit`` (see ``_exits``) that
-    are no stretches: ``doc_id`` leaves the other document at token ``start_word``; ``end_word`` is 1 if what comes next lies
-    in a stretch found all the same.
+    ``spent`` are tables that only ``matches`` reads; ``held`` are the words of the documents that an earlier round has
+    compared, those of ``matches`` among them. Rows with an ``exit`` (see ``_exits``), which ``leaving`` matches have, are no
+    stretches: ``doc_id`` leaves the other document at token ``start_word``; ``end_word`` is 1 if what comes next lies in a stretch found all the same.
     """
     spans = matches.groupBy("doc_id", "first_doc_id", (F.col("place") - F.col("first_place")).alias("shift")).agg(
-        F.min("place").alias("low"), F.max("place").alias("high"))
+        F.min("place").alias("low"), F.max("place").alias("high"), F.max("leaving").alias("leaving"))
     # Spans of neighbouring shifts that lie near each other are one request: words may be put in or left out between them.
     # Sorted by shift, places rise where words were put in and fall where they were left out.
     pair = Window.partitionBy("doc_id", "first_doc_id").orderBy("shift", "low")
@@ -250,7 +313,8 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int,
     islands = spans.withColumn("apart", F.coalesce(apart, F.lit(True)).cast("int")).withColumn("island", F.sum("apart").over(pair)).groupBy(
         "doc_id", "first_doc_id", "island").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.min(F.col("low") - F.col("shift")).alias("first_low"),
-        F.max(F.col("high") - F.col("shift")).alias("first_high"), F.min("shift").alias("shift"), F.max("shift").alias("last_shift"))
+        F.max(F.col("high") - F.col("shift")).alias("first_high"), F.min("shift").alias("shift"), F.max("shift").alias("last_shift"),
+        F.max("leaving").alias("leaving"))
 
     def start_of(low: str) -> Column:  # multiples of 64 let requests coincide
         return F.greatest(F.lit(0), F.floor((F.col(low) - MARGIN) / F.lit(MARGIN)) * MARGIN).cast("bigint")
@@ -259,13 +323,14 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int,
         return (F.ceil((F.col(high) + MARGIN + size) / F.lit(MARGIN)) * MARGIN - start_of(low)).cast("bigint")
 
     requests = written(islands.select(
-        "doc_id", "first_doc_id", "shift", "last_shift", start_of("low").alias("start"), length_of("low", "high").alias("length"),
+        "doc_id", "first_doc_id", "shift", "last_shift", "leaving", start_of("low").alias("start"), length_of("low", "high").alias("length"),
         start_of("first_low").alias("first_start"), length_of("first_low", "first_high").alias("first_length")), "passage-requests")
     discard(*spent)
 
-    ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
-    maps = texts.sparkSession.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
-    held = written(texts.mapInArrow(_requested_ids(maps), "doc_id bigint, words array<bigint>"), "passage-words")
+    if held is None:
+        ends = requests.select(F.col("doc_id").alias("holder")).union(requests.select("first_doc_id")).distinct()
+        maps = texts.sparkSession.sparkContext.broadcast(membership(ends.mapInArrow(_slots, "slot bigint"), "slot"))
+        held = written(texts.mapInArrow(_requested_ids(maps), "doc_id bigint, words array<int>"), "passage-words")
 
     def cut(holder: str, start: str, length: str) -> DataFrame:
         wanted = requests.select(F.col(holder).alias("doc_id"), F.col(start).alias("start"), F.col(length).alias("length")).distinct()
@@ -276,21 +341,32 @@ def _compared(texts: DataFrame, matches: DataFrame, size: int, min_tokens: int,
     both = requests.join(cut("doc_id", "start", "length"), ["doc_id", "start", "length"]).join(
         cut("first_doc_id", "first_start", "first_length"), ["first_doc_id", "first_start", "first_length"])
     found = written(both.select(
-        "doc_id", "first_doc_id", "start", "first_start", "shift", "last_shift", "start_words", "first_start_words").mapInArrow(
-        _verified(size, min_tokens, leaving), ", ".join(f"{name} bigint" for name in FOUND)).distinct(), "passage-found")
-    discard(requests, held)
-    return found
+        "doc_id", "first_doc_id", "start", "first_start", "shift", "last_shift", "leaving", "start_words", "first_start_words").mapInArrow(
+        _verified(size, min_tokens), ", ".join(f"{name} bigint" for name in FOUND)).distinct(), "passage-found")
+    discard(requests)
+    return found, held
 
 
-def _first_of_each(members: DataFrame, bucket: str, label: str, asking: str = "true") -> tuple[DataFrame, DataFrame]:
-    """Matches of ``bucket, doc_id, place`` rows with the smallest document of their bucket, and those heads, written.
+def _firsts_of_each(members: DataFrame, bucket: str, label: str, firsts: int = 1, asking: str = "true") -> tuple[DataFrame, DataFrame]:
+    """Matches of ``bucket, doc_id, place`` rows with the ``firsts`` smallest documents of their bucket, and those heads, written.
 
-    Any row may be a head, only ``asking`` ones are matched.
+    Any row may be a head, only ``asking`` ones are matched; ``leaving`` are the matches with the last head, which all that
+    are no heads have.
     """
-    heads = written(members.groupBy(bucket).agg(F.min(F.struct("doc_id", "place")).alias("head"), F.max("doc_id").alias("last")).where(
-        "head.doc_id < last").select(bucket, "head"), label)
-    return members.where(asking).join(heads, bucket).where("doc_id > head.doc_id").select(
-        "doc_id", "place", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).distinct(), heads
+    last = F.max(F.when(F.expr(asking), F.col("doc_id"))).alias("last")
+    heads = members.groupBy(bucket).agg(F.min(F.struct("doc_id", "place")).alias("head"), last).where("head.doc_id < last")
+    if firsts > 1:
+        order = Window.partitionBy(bucket).orderBy("doc_id")
+        several = members.groupBy(bucket, "doc_id").agg(F.min("place").alias("place")).withColumn("nth", F.row_number().over(order)).where(
+            F.col("nth") <= firsts).withColumn("leaving", F.col("nth") == firsts)
+        heads = several.join(heads.select(bucket, "last"), bucket).where("doc_id < last").select(
+            bucket, F.struct("doc_id", "place").alias("head"), "leaving")
+    else:
+        heads = heads.select(bucket, "head", F.lit(True).alias("leaving"))
+    heads = written(heads, label)
+    return members.where(asking).join(heads, bucket).where("doc_id > head.doc_id").groupBy(
+        "doc_id", "place", F.col("head.doc_id").alias("first_doc_id"), F.col("head.place").alias("first_place")).agg(
+        F.max("leaving").alias("leaving")), heads
 
 
 def _between_holders(texts: DataFrame, size: int, min_tokens: int, functions: int) -> DataFrame:
@@ -307,13 +383,18 @@ def _between_holders(texts: DataFrame, size: int, min_tokens: int, functions: in
     sided = written(rows.join(shared, "key").select(
         sides.alias("bucket"), "doc_id", place.alias("place")), "passage-shared")
     discard(windows)
-    matches, heads = _first_of_each(sided, "bucket", "passage-heads")
-    first = _compared(texts, matches, size, min_tokens, (sided, heads), True)
-
-    exits = first.where("exit is not null").select("exit", "doc_id", F.col("start_word").alias("place"), F.col("end_word").alias("known"))
-    matches, heads = _first_of_each(exits, "exit", "passage-exits", "known = 0")
-    more = _compared(texts, matches, size, min_tokens, (heads,), False)
-    return first.union(more).where("exit is null").drop("exit").distinct()
+    matches, heads = _firsts_of_each(sided, "bucket", "passage-heads")
+    spent, held, rounds = (sided, heads), None, []
+    while True:
+        found, held = _compared(texts, matches, size, min_tokens, spent, held)
+        rounds.append(found)
+        exits = found.where("exit is not null").select("exit", "doc_id", F.col("start_word").alias("place"), F.col("end_word").alias("known"))
+        matches, heads = _firsts_of_each(exits, "exit", "passage-exits", 1 << len(rounds) - 1, "known = 0")
+        spent = (heads,)
+        if heads.isEmpty():
+            break
+    discard(heads, held)
+    return reduce(DataFrame.union, rounds).where("exit is null").drop("exit").distinct()
 
 
 def repeated_passages(docs: DataFrame, size: int = 5, min_words: int = 50, functions: int = 6) -> DataFrame:

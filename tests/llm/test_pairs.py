@@ -232,6 +232,20 @@ def test_what_two_documents_share_beyond_the_first_holder_is_found(spark):
     assert all(covered(rows, doc) >= words for doc, words in wanted.items())
 
 
+def test_passages_behind_a_row_of_partial_holders(spark):
+    """Each earlier document holds some words more than the one before it, none has 50 of them."""
+    rng, out, wanted = random.Random(41), [], set()
+    for k in range(40):
+        passage, side = prose(rng, 50), k % 2
+        for j in range(11):
+            part = passage[: 29 + 2 * j] if side else passage[21 - 2 * j :]
+            out.append((20 * k + j, " ".join(prose(rng, 30) + part + prose(rng, 30))))
+        out += [(20 * k + i, " ".join(prose(rng, 30) + passage + prose(rng, 30))) for i in (15, 16)]
+        wanted.add((20 * k + 16, 20 * k + 15, 30, 80))
+    rows = P.repeated_passages(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_doc_id, r.start_word, r.end_word) for r in rows} == wanted
+
+
 def test_a_frequent_short_line_makes_no_pairs(spark, monkeypatch):
     """45 words that many documents hold are no passage; what is compared grows with the documents, not with their square."""
     rng, counts = random.Random(32), {}
