@@ -14,6 +14,7 @@ from demandloom.llm import passages as P
 from demandloom.llm import tiling as G
 from demandloom.llm.components import components
 from demandloom.llm.neighbours import nearest
+from demandloom.llm.storage import CLEANUP, written
 
 
 def prose(rng: random.Random, count: int) -> list[str]:
@@ -377,6 +378,19 @@ def test_nearest_equals_brute_force(spark):
         assert np.allclose([r[2] for r in sorted(rows)], [-s for s, _ in expected], atol=1e-9)
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = spark.conf.get(CLEANUP, None)
+    docs = spark.range(0, 10_000, 1, 4).groupBy((F.col("id") % 977).alias("key")).count()
+
+    def files():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return sum("shuffle_" in blocks.apply(i).name() for i in range(blocks.size()))
+
+    held = files()
+    table = written(docs, "shuffled")
+    assert files() <= held and table.count() == 977 and spark.conf.get(CLEANUP, None) == before
+
+
 @pytest.mark.parametrize("operator", [N.ngram_join, N.one_per_group, P.repeated_passages, P.without_repeats])
 def test_empty_tables_give_no_rows(spark, operator):
     assert operator(spark.createDataFrame([], "doc_id long, text string")).count() == 0
