@@ -247,6 +247,50 @@ def test_passages_behind_a_row_of_partial_holders(spark):
     assert {(r.doc_id, r.first_doc_id, r.start_word, r.end_word) for r in rows} == wanted
 
 
+def test_all_words_of_long_rows_of_one_word_are_found(spark):
+    """A word repeated on and on is met on every shift; each stretch of it that an earlier document holds is repeated."""
+    rng, texts = random.Random(51), {}
+    for k in range(20):
+        word, pair = prose(rng, 1), prose(rng, 2)
+        for j, (many, more) in enumerate(((60, 30), (100, 26), (400, 130), (401, 131))):
+            texts[10 * k + j] = " ".join(prose(rng, 20) + word * many + prose(rng, 35 + j) + pair * more + prose(rng, 20))
+    rows = P.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    words, expected = repeated_places(texts, 50)
+    assert len(expected) == 60 and all(places <= covered(rows, doc) for doc, places in expected.items())
+    for r in rows:
+        one, two = words[r.doc_id][r.start_word : r.end_word], words[r.first_doc_id][r.first_start :]
+        assert r.similarity < 1 or one == two[: len(one)]
+
+
+def test_partial_holders_make_no_rounds(spark, monkeypatch):
+    """Documents are compared once, however many of them share a little more than the one before."""
+    rng, out, calls, wanted = random.Random(52), [], [], set()
+    real = P._compared
+    monkeypatch.setattr(P, "_compared", lambda *given: calls.append(1) or real(*given))
+    for k in range(10):
+        passage = prose(rng, 60)
+        for j in range(20):
+            out.append((40 * k + j, " ".join(prose(rng, 30) + passage[: 30 + j] + prose(rng, 30))))
+        out += [(40 * k + i, " ".join(prose(rng, 30) + passage + prose(rng, 30))) for i in (25, 26)]
+        wanted.add((40 * k + 26, 40 * k + 25, 30, 90))
+    rows = P.repeated_passages(spark.createDataFrame(out, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_doc_id, r.start_word, r.end_word) for r in rows} == wanted and len(calls) == 1
+
+
+def test_a_run_left_out_joins_its_other_neighbour(spark):
+    """Joined from the left, the third run would make the whole too unlike; with the second alone it is similar enough."""
+    rng = np.random.default_rng(53)
+    one = rng.integers(1000, 2**30, 160)
+    two = one.copy()
+    for place in (22, 55, 60, 65, 70, 75, 106, 135):
+        two[place] = place
+    found = set()
+    for begin, end, other, _, shared, union in P.alike(one, two, 5, 46):
+        found |= set(range(begin, end + 4))
+        assert begin == other and 5 * shared >= 4 * union
+    assert found >= set(range(76, 160))
+
+
 def test_a_frequent_short_line_makes_no_pairs(spark, monkeypatch):
     """45 words that many documents hold are no passage; what is compared grows with the documents, not with their square."""
     rng, counts = random.Random(32), {}
